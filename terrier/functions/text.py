@@ -26,8 +26,13 @@ def to_date_or_null(c: Column | str, *formats: str) -> Column:
 
 
 def to_double_or_null(c: Column | str) -> Column:
-    """Number or NULL; a NaN spelled out counts as missing."""
-    return F.nullif(F.trim(as_column(c).cast("string")).try_cast("double"), F.lit(float("nan")))
+    """Number or NULL; a NaN spelled out counts as missing.
+
+    The cast also takes Java suffixes ('12d', '12f'), which are not numbers here.
+    """
+    text = F.trim(as_column(c).cast("string"))
+    number = F.when(~F.lower(F.right(text, F.lit(1))).isin("d", "f"), text.try_cast("double"))
+    return F.nullif(number, F.lit(float("nan")))
 
 
 def to_int_or_null(c: Column | str) -> Column:
