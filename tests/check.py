@@ -17,6 +17,7 @@ def main():
     parts = sys.argv[2:]
     spark = build_session("check", master="local[8]", **{
         "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "12g", "spark.driver.host": "127.0.0.1"})
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf)
