@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("marts", "parsing")
+MODULES = ("marts", "parsing", "analysis")
 
 
 def _load() -> None:

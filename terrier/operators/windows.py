@@ -71,29 +71,30 @@ def fill_series(
 
 
 def sliding_sequences(
-    df: DataFrame, entity: str, order: list[str], features: list[str], target: str,
+    df: DataFrame, entity: str, order: list[str], features: list[str], ahead: dict[str, str],
     lookback: int = 12, horizon: int = 3, period: str | None = None,
 ) -> DataFrame:
-    """Windows of ``lookback`` rows x features with the next ``horizon`` targets.
+    """Windows of ``lookback`` rows x features with what comes in the next ``horizon`` rows.
 
-    ``x`` holds the rows before the current one, ``y`` the targets from the
-    current row on; only complete windows are kept. Inputs must be filled, as
-    collected lists skip NULLs. ``period`` adds the first period of ``x`` and
-    the period of every target.
+    ``x`` holds the rows before the current one. ``ahead`` maps an output array
+    to the column it takes from the current row on. Only complete windows are
+    kept. Inputs must be filled, as collected lists skip NULLs. ``period`` adds
+    the first period of ``x`` and the periods ahead.
     """
     w = series(entity, *order)
     before = w.rowsBetween(-lookback, -1)
+
+    def upcoming(column: str) -> Column:
+        return F.array(*[F.lead(column, h).over(w) if h else F.col(column) for h in range(horizon)])
+
     vector = F.array(*[F.col(c).cast("double") for c in features])
-    ahead = [F.lead(target, h).over(w) if h else F.col(target) for h in range(horizon)]
     columns = {
         "x": F.collect_list(vector).over(before),
         "_left": F.lead(F.lit(1), horizon - 1).over(w) if horizon > 1 else F.lit(1),
-        "y": F.array(*[a.cast("double") for a in ahead]),
+        **{name: upcoming(column) for name, column in ahead.items()},
     }
     if period:
         columns["x_first_period"] = F.first(period).over(before)
-        columns["y_periods"] = F.array(
-            *[F.lead(period, h).over(w) if h else F.col(period) for h in range(horizon)]
-        )
+        columns["y_periods"] = upcoming(period)
     made = df.withColumns(columns)
     return made.where((F.size("x") == lookback) & F.col("_left").isNotNull()).drop("_left")

@@ -28,6 +28,9 @@ def build_session(app: str = "terrier", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+_LOCAL: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach.
 
@@ -36,13 +39,22 @@ def shared_folder(spark: SparkSession) -> str:
     the end of the process.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="terrier-")
-        atexit.register(shutil.rmtree, folder, ignore_errors=True)
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if folder:
+        return folder
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    if context.applicationId not in _LOCAL:
+        made = tempfile.mkdtemp(prefix="terrier-")
+        atexit.register(shutil.rmtree, made, ignore_errors=True)
+        _LOCAL[context.applicationId] = made
+    return _LOCAL[context.applicationId]
+
+
+def use_checkpoints(spark: SparkSession) -> None:
+    """Let iterative fits cut their lineage in the shared folder."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
