@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("marts", "parsing", "analysis")
+MODULES = ("marts", "parsing", "analysis", "forecast", "io")
 
 
 def _load() -> None:

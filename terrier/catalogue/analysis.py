@@ -225,7 +225,7 @@ def sequences(spark, sf):
 
 # --- orders, sets, samples -------------------------------------------------------------------
 
-@query("O01_multi_key_order")
+@query("O01_multi_key_order", compose("SELECT * FROM features_dense"))
 def ordered(spark, sf):
     return features_dense(spark, sf).orderBy("annee", "mois", "code_commune")
 

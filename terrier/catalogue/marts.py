@@ -10,10 +10,15 @@ from terrier.catalogue.registry import query
 from terrier.catalogue.sql import compose, select
 from terrier.functions.numeric import settle
 from terrier.plans import features, staging, warehouse
+from terrier.session import cut_lineage
 
 
 class Warehouse:
-    """Lazy tables of the warehouse over one data folder, each built once."""
+    """Tables of the warehouse over one data folder, each built once.
+
+    Views are lazy. ``table`` gives the transactions as a written table, for the
+    reports that read them more than once.
+    """
 
     def __init__(self, spark: SparkSession, sf: str):
         self.spark, self.sf = spark, sf
@@ -35,6 +40,10 @@ class Warehouse:
     def transactions(self):
         return self._once("tx", lambda: warehouse.fct_transactions(self.stg("dvf")))
 
+    @property
+    def table(self):
+        return self._once("tx_table", lambda: cut_lineage(self.transactions, "transactions"))
+
     @property
     def dpe(self):
         return self._once("dpe", lambda: warehouse.fct_dpe_commune(self.stg("dpe")))
@@ -68,7 +77,7 @@ class Warehouse:
     @property
     def panel(self):
         return self._once("panel", lambda: features.panel_commune_mois(
-            self.transactions, self.communes, self.ecln_year))
+            self.table, self.communes, self.ecln_year))
 
     @property
     def features(self):
@@ -143,21 +152,21 @@ def enriched(spark, sf):
 
 @query("A23_rpt_prix_commune", select("rpt_prix_commune"))
 def rpt_prix_commune(spark, sf):
-    return warehouse.rpt_prix_commune(Warehouse(spark, sf).transactions)
+    return warehouse.rpt_prix_commune(Warehouse(spark, sf).table)
 
 
 @query("A24_rpt_dynamique_marche_dept", select("rpt_dynamique_marche_dept"))
 def rpt_dynamique(spark, sf):
     w = Warehouse(spark, sf)
     return warehouse.rpt_dynamique_marche_dept(
-        w.transactions, w.ecln_year, w.construction, w.dpe, w.departements)
+        w.table, w.ecln_year, w.construction, w.dpe, w.departements)
 
 
 @query("A25_rpt_tension_immobiliere_dept", select("rpt_tension_immobiliere_dept"))
 def rpt_tension(spark, sf):
     w = Warehouse(spark, sf)
     return warehouse.rpt_tension_immobiliere_dept(
-        w.transactions, w.ecln_year, w.construction, w.social, w.departements)
+        w.table, w.ecln_year, w.construction, w.social, w.departements)
 
 
 @query("A26_rpt_performance_energetique_dept", select("rpt_performance_energetique_dept"))
@@ -179,7 +188,7 @@ def rpt_features(spark, sf):
 @query("A29_rpt_shap_commune", select("rpt_shap_commune"))
 def rpt_shap_commune(spark, sf):
     w = Warehouse(spark, sf)
-    return features.rpt_shap_commune(w.transactions, w.communes, w.ecln_year)
+    return features.rpt_shap_commune(w.table, w.communes, w.ecln_year)
 
 
 def lots_dense(spark, sf):

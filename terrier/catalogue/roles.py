@@ -39,17 +39,22 @@ def _orders_placed(spark: SparkSession, sf: str) -> DataFrame:
     return orders.join(places, orders.o_custkey == places["_cust"])
 
 
+def _placed_items(spark: SparkSession, sf: str) -> DataFrame:
+    """Line items with their order and place: two large sides, so a merge join."""
+    items = table(spark, sf, "lineitem")
+    placed = _orders_placed(spark, sf)
+    return items.hint("merge").join(placed, items.l_orderkey == placed.o_orderkey)
+
+
 def raw_dvf(spark: SparkSession, sf: str) -> DataFrame:
     """Lots: line items placed in the customer's commune."""
-    items = table(spark, sf, "lineitem").drop("l_suppkey")
-    placed = _orders_placed(spark, sf)
     kind = (
         F.when(F.col("l_returnflag") == "A", "Appartement")
         .when(F.col("l_returnflag") == "R", "Maison")
         .when(F.col("l_linestatus") == "F", "Dépendance")
         .otherwise("")
     )
-    return items.join(placed, items.l_orderkey == placed.o_orderkey).select(
+    return _placed_items(spark, sf).select(
         F.col("l_orderkey").cast("string").alias("id_mutation"),
         F.to_date("l_shipdate").alias("date_mutation"),
         F.year("l_shipdate").alias("annee"),
@@ -134,10 +139,8 @@ FROM orders JOIN customer ON o_custkey = c_custkey
 
 def raw_sitadel(spark: SparkSession, sf: str) -> DataFrame:
     """Permits: lots by month and kind, plus the line that totals the kinds."""
-    items = table(spark, sf, "lineitem")
-    placed = _orders_placed(spark, sf)
     kinds = (
-        items.join(placed, items.l_orderkey == placed.o_orderkey)
+        _placed_items(spark, sf)
         .groupBy(
             F.year("l_shipdate").alias("annee"), F.month("l_shipdate").alias("mois"),
             "code_commune", "code_departement", F.col("l_returnflag").alias("type_logement"),
@@ -250,13 +253,9 @@ GROUP BY GROUPING SETS (
 
 def raw_rpls(spark: SparkSession, sf: str) -> DataFrame:
     """Social housing: line items by kind of part; many dwellings share one key."""
-    items = table(spark, sf, "lineitem")
     part = table(spark, sf, "part")
-    placed = _orders_placed(spark, sf)
     brand = F.regexp_extract("p_brand", r"(\d+)", 1).cast("int")
-    joined = items.join(placed, items.l_orderkey == placed.o_orderkey).join(
-        part, items.l_partkey == part.p_partkey
-    )
+    joined = _placed_items(spark, sf).join(part, F.col("l_partkey") == part.p_partkey)
     return joined.select(
         F.year("l_shipdate").alias("annee"), "code_commune", "code_departement", "code_region",
         F.when(F.col("p_type") == "ECONOMY", "PLAI").when(F.col("p_type") == "STANDARD", "PLUS")

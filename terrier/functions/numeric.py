@@ -47,9 +47,12 @@ def rate(num: Column | str, den: Column | str, digits: int, scale: float = 1.0)
     return settle(F.try_divide(top, as_column(den).cast("double")), digits)
 
 
-def share(predicate: Column, digits: int = 1) -> Column:
-    """Percentage of the rows of a group that satisfy ``predicate``."""
-    return rate(F.count_if(predicate), F.count(F.lit(1)), digits, 100.0)
+def share(predicate: Column, digits: int = 1, of: Column | str | None = None) -> Column:
+    """Percentage of the rows of a group that satisfy ``predicate``.
+
+    With ``of`` only rows where that column is known are rows.
+    """
+    return rate(F.count_if(predicate), F.count(F.lit(1) if of is None else of), digits, 100.0)
 
 
 def cyclic(c: Column | str, period: int, digits: int = 6) -> tuple[Column, Column]:

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from terrier.functions.numeric import mean
 
 
-def count_rows(name: str) -> Column:
-    return F.count(F.lit(1)).alias(name)
+def count_rows(name: str, of: str | None = None) -> Column:
+    """Number of rows; with ``of``, of rows where that column is known."""
+    return F.count(F.lit(1) if of is None else of).alias(name)
 
 
 def count_where(predicate: Column, name: str) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from terrier.functions.numeric import clip, mean, settle
 from terrier.operators.aggregates import count_rows
-from terrier.operators.quantiles import exact_quantiles, with_quantiles
+from terrier.operators.quantiles import aggregate_with_quantiles, exact_quantiles
 
 
 def error(actual: str, predicted: str) -> Column:
@@ -54,10 +54,9 @@ def error_metrics(
 
 def metrics_by_group(df: DataFrame, actual: str, predicted: str, group: str) -> DataFrame:
     """Error, rows and median actual of every group."""
-    errors = df.groupBy(group).agg(
-        mae(actual, predicted, 2).alias("mae"), F.count(actual).alias("n")
-    )
-    return with_quantiles(errors, df, [group], actual, {"prix_reel_med": 0.5}, 2)
+    parts = {"mae": mae(actual, predicted, 2), "n": F.count(actual)}
+    rows = df.select(group, actual, predicted)
+    return aggregate_with_quantiles(rows, [group], parts, actual, {"prix_reel_med": 0.5}, 2)
 
 
 def mean_over_folds(metrics: DataFrame, digits: int = 1) -> DataFrame:

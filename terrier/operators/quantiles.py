@@ -9,6 +9,10 @@ the bands that hold a wanted rank are ranked value by value:
    number of bands is bounded by the range of a double, not by the data;
 3. keep the few bands a wanted rank falls into and rank their values;
 4. interpolate between the two neighbours of every rank.
+
+The keys travel as one struct: a struct with NULL fields still equals itself, so
+NULL keys need no null-safe join, and one partitioning serves both the join and
+the window of step 3.
 """
 
 from __future__ import annotations
@@ -22,39 +26,33 @@ from pyspark.sql import functions as F
 from terrier.functions.numeric import settle
 
 BANDS_PER_E_FOLD = 256
+ROW = "_row"
 
 
 def value_band(value: Column) -> Column:
-    """Order-preserving band of a number: equal steps on a logarithmic scale."""
-    scaled = F.signum(value) * F.log1p(F.abs(value)) * BANDS_PER_E_FOLD
-    return F.floor(scaled).cast("int")
+    """Order-preserving band of a number: equal steps on a logarithmic scale.
 
+    Never NULL, so that no plan around it adds a filter on it.
+    """
+    scaled = F.signum(value) * F.log1p(F.abs(value)) * BANDS_PER_E_FOLD
+    return F.coalesce(F.floor(scaled), F.lit(0).cast("bigint"))
 
-def exact_quantiles(
-    df: DataFrame,
-    keys: list[str],
-    value: str,
-    wanted: dict[str, float],
-    digits: int | None = None,
-) -> DataFrame:
-    """Quantiles per group, linear between neighbours, NULLs ignored.
 
-    ``wanted`` maps output column to probability. Groups without any value are
-    absent. With ``digits`` the results are rounded.
-    """
+def _edges(df: DataFrame, keys: list[str], value: str, wanted: dict[str, float]) -> DataFrame:
+    """Rows ``(_g, _size, _lo_*, _hi_*)`` with the neighbours of every wanted rank."""
     v = F.col(value).cast("double")
-    counts = (
+    group = F.struct(*keys) if keys else F.struct(F.lit(0).alias("_"))
+    cells = (
         df.where(v.isNotNull())
-        .groupBy(*keys, value_band(v).alias("_band"), v.alias("_v"))
+        .groupBy(group.alias("_g"), value_band(v).alias("_band"), v.alias("_v"))
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    group = Window.partitionBy(*keys)
-    upto = group.orderBy("_band").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    of_group = Window.partitionBy("_g")
+    upto = of_group.orderBy("_band").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     bands = (
-        counts.groupBy(*keys, "_band")
+        cells.groupBy("_g", "_band")
         .agg(F.sum("_n").alias("_m"))
-        .withColumn("_end", F.sum("_m").over(upto))
-        .withColumn("_size", F.sum("_m").over(group))
+        .withColumns({"_end": F.sum("_m").over(upto), "_size": F.sum("_m").over(of_group)})
         .withColumn("_start", F.col("_end") - F.col("_m"))
     )
     ranks = {name: F.lit(float(p)) * (F.col("_size") - 1) for name, p in wanted.items()}
@@ -63,53 +61,73 @@ def exact_quantiles(
         return (rank >= F.col("_start")) & (rank < F.col("_end"))
 
     hit = reduce(or_, [inside(end(r)) for r in ranks.values() for end in (F.floor, F.ceil)])
-    bands = bands.where(hit).select(
-        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-        F.col("_band").alias("_b"), F.col("_start").alias("_before"), "_size",
-    )
-    on = reduce(
-        lambda a, b: a & b,
-        [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)],
-        F.col("_band") == F.col("_b"),
-    )
+    bands = bands.where(hit).select("_g", "_band", F.col("_start").alias("_before"), "_size")
     within = (
-        Window.partitionBy(*keys, "_band")
+        Window.partitionBy("_g", "_band")
         .orderBy("_v")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     ranked = (
-        counts.join(bands, on)
+        cells.join(bands, ["_g", "_band"])
         .withColumn("_end", F.col("_before") + F.sum("_n").over(within))
         .withColumn("_start", F.col("_end") - F.col("_n"))
     )
-    picked = [F.max("_size").alias("_size")]
+    picked = {"_size": F.col("_size")}
     for name, rank in ranks.items():
-        picked.append(F.max(F.when(inside(F.floor(rank)), F.col("_v"))).alias(f"_lo_{name}"))
-        picked.append(F.max(F.when(inside(F.ceil(rank)), F.col("_v"))).alias(f"_hi_{name}"))
-    edges = ranked.groupBy(*keys).agg(*picked)
+        picked[f"_lo_{name}"] = F.when(inside(F.floor(rank)), F.col("_v"))
+        picked[f"_hi_{name}"] = F.when(inside(F.ceil(rank)), F.col("_v"))
+    useful = reduce(or_, [c.isNotNull() for n, c in picked.items() if n != "_size"])
+    return ranked.where(useful).select("_g", *[c.alias(n) for n, c in picked.items()])
+
+
+def _interpolated(wanted: dict[str, float], digits: int | None) -> list[Column]:
     result = []
-    for name, rank in ranks.items():
+    for name, p in wanted.items():
+        rank = F.lit(float(p)) * (F.col("_size") - 1)
         lo, hi = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
         q = lo + (hi - lo) * (rank - F.floor(rank))
         result.append((settle(q, digits) if digits is not None else q).alias(name))
-    return edges.select(*keys, *result)
+    return result
 
 
-def with_quantiles(
-    grouped: DataFrame,
-    df: DataFrame,
-    keys: list[str],
-    value: str,
-    wanted: dict[str, float],
-    digits: int | None = None,
+def aggregate_with_quantiles(
+    df: DataFrame, keys: list[str], parts: dict[str, Column], value: str,
+    wanted: dict[str, float], digits: int | None = None,
 ) -> DataFrame:
-    """Add quantile columns to an aggregate of ``df`` by the same keys."""
-    q = exact_quantiles(df, keys, value, wanted, digits)
-    q = q.select(*[F.col(k).alias(f"_q{i}") for i, k in enumerate(keys)], *wanted)
-    on = reduce(
-        lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_q{i}")) for i, k in enumerate(keys)]
+    """Aggregates of a group together with exact quantiles of one column.
+
+    The rows and the rank neighbours are grouped in the same shuffle. The rows
+    carry a column ``_row``; the aggregates in ``parts`` must skip NULLs and
+    count rows with ``count_rows`` / ``share``, which count that column.
+
+    ``df`` is read twice, so it should be a table or a short plan. Groups
+    without any value get NULL quantiles. Quantiles are linear between
+    neighbours and ignore NULLs; with ``digits`` they are rounded.
+    """
+    edges = _edges(df, keys, value, wanted)
+    found = [c for c in edges.columns if c != "_g"]
+    edges = edges.select(*[F.col(f"_g.{k}").alias(k) for k in keys], *found)
+    rows = df.withColumn(ROW, F.lit(True))
+    both = rows.unionByName(edges, allowMissingColumns=True)
+    grouped = both.groupBy(*keys).agg(
+        *[c.alias(n) for n, c in parts.items()], *[F.max(c).alias(c) for c in found]
     )
-    return grouped.join(q, on, "left").drop(*[f"_q{i}" for i in range(len(keys))])
+    return grouped.select(*keys, *parts, *_interpolated(wanted, digits))
+
+
+def exact_quantiles(
+    df: DataFrame, keys: list[str], value: str, wanted: dict[str, float],
+    digits: int | None = None,
+) -> DataFrame:
+    """Quantiles per group; groups without any value are absent.
+
+    ``wanted`` maps output column to probability.
+    """
+    edges = _edges(df, keys, value, wanted)
+    found = [c for c in edges.columns if c != "_g"]
+    grouped = edges.groupBy("_g").agg(*[F.max(c).alias(c) for c in found])
+    names = [F.col(f"_g.{k}").alias(k) for k in keys]
+    return grouped.select(*names, *_interpolated(wanted, digits))
 
 
 def small_group_quantiles(value: str, wanted: dict[str, float], digits: int) -> list[Column]:

@@ -53,8 +53,11 @@ def category_filter(df: DataFrame, column: str, value: str) -> DataFrame:
     return df.where(F.col(column) == value)
 
 
-def valid_period(df: DataFrame, year: str = "annee", month: str = "mois") -> DataFrame:
-    return df.where(F.col(month).between(1, 12) & (F.col(year) > 2000))
+def valid_period(
+    df: DataFrame, year: str = "annee", month: str = "mois", after: int = 2000
+) -> DataFrame:
+    """Months 1 to 12 of years after ``after``; the rest is corrupt."""
+    return df.where(F.col(month).between(1, 12) & (F.col(year) > after))
 
 
 def null_share(columns: list[str]) -> Column:

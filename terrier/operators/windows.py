@@ -79,7 +79,7 @@ def sliding_sequences(
     ``x`` holds the rows before the current one. ``ahead`` maps an output array
     to the column it takes from the current row on. Only complete windows are
     kept. Inputs must be filled, as collected lists skip NULLs. ``period`` adds
-    the first period of ``x`` and the periods ahead.
+    the first period of ``x``, the last one ahead and all periods ahead.
     """
     w = series(entity, *order)
     before = w.rowsBetween(-lookback, -1)
@@ -95,6 +95,7 @@ def sliding_sequences(
     }
     if period:
         columns["x_first_period"] = F.first(period).over(before)
+        columns["y_last_period"] = F.lead(period, horizon - 1).over(w)
         columns["y_periods"] = upcoming(period)
     made = df.withColumns(columns)
     return made.where((F.size("x") == lookback) & F.col("_left").isNotNull()).drop("_left")

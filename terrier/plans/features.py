@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrier.functions.numeric import cyclic, mean, rate, share
-from terrier.operators.aggregates import count_rows, latest_of
-from terrier.operators.quantiles import with_quantiles
+from terrier.operators.aggregates import latest_of
+from terrier.operators.quantiles import ROW, aggregate_with_quantiles
 from terrier.operators.rows import min_group_size, open_range
 from terrier.operators.sampling import hash_sample
 from terrier.operators.windows import lags, pct_changes, rolling_means, series
@@ -33,11 +33,15 @@ SECTION_NAMES = {
 MONTH_GRAIN = ["annee", "mois", "code_commune", "code_departement"]
 
 
-def _type_mix():
-    return [
-        share(F.col("type_local") == FLAT).alias("pct_appt"),
-        share(F.col("type_local") == HOUSE).alias("pct_maison"),
-    ]
+def _sold(digits: int) -> dict[str, Column]:
+    """Aggregates of the sold lots."""
+    return {
+        "prix_m2_moy": mean("prix_m2", digits),
+        "surface_moy": mean("surface_reelle_bati", 1),
+        "nb_pieces_moy": mean("nombre_pieces_principales", 1),
+        "pct_appt": share(F.col("type_local") == FLAT, of=ROW),
+        "pct_maison": share(F.col("type_local") == HOUSE, of=ROW),
+    }
 
 
 def panel_commune_mois(
@@ -49,15 +53,9 @@ def panel_commune_mois(
     and not to every transaction: the join sees one row per group.
     """
     priced = transactions.where("prix_m2 > 0").withColumn("mois", F.month("date_mutation"))
-    base = priced.groupBy(*MONTH_GRAIN).agg(
-        mean("prix_m2", 2).alias("prix_m2_moy"),
-        count_rows("nb_transactions"),
-        mean("surface_reelle_bati", 1).alias("surface_moy"),
-        mean("nombre_pieces_principales", 1).alias("nb_pieces_moy"),
-        *_type_mix(),
-    )
+    parts = {"nb_transactions": F.count(ROW), **_sold(2)}
     quantiles = {"prix_m2_med": 0.5, "prix_m2_p10": 0.1, "prix_m2_p90": 0.9}
-    panel = with_quantiles(base, priced, MONTH_GRAIN, "prix_m2", quantiles, 2)
+    panel = aggregate_with_quantiles(priced, MONTH_GRAIN, parts, "prix_m2", quantiles, 2)
     if communes is not None:
         kept = [*panel.columns, *PANEL_CONTEXT]
         panel = enrich(panel, communes, ecln_year).select(*kept)
@@ -90,21 +88,17 @@ def rpt_shap_commune(
     """
     keys = ["code_commune", "code_departement"]
     plausible = open_range(transactions, "prix_m2", low, high)
-    base = plausible.groupBy(*keys).agg(
-        mean("prix_m2", 0).alias("prix_m2_moy"),
-        count_rows("nb_transactions_total"),
-        *_type_mix(),
-        mean("surface_reelle_bati", 1).alias("surface_moy"),
-        mean("nombre_pieces_principales", 1).alias("nb_pieces_moy"),
-        F.min("annee").alias("annee_min"),
-        F.max("annee").alias("annee_max"),
-    )
-    base = min_group_size(base, "nb_transactions_total", minimum)
-    base = base.withColumn(
+    parts = {
+        "nb_transactions_total": F.count(ROW),
+        **_sold(0),
+        "annee_min": F.min("annee"),
+        "annee_max": F.max("annee"),
+    }
+    quantiles = {"prix_m2_med": 0.5, "prix_m2_q25": 0.25, "prix_m2_q75": 0.75}
+    base = aggregate_with_quantiles(plausible, keys, parts, "prix_m2", quantiles, 0)
+    base = min_group_size(base, "nb_transactions_total", minimum).withColumn(
         "transactions_par_mois", rate("nb_transactions_total", F.lit(float(months)), 1)
     )
-    quantiles = {"prix_m2_med": 0.5, "prix_m2_q25": 0.25, "prix_m2_q75": 0.75}
-    base = with_quantiles(base, plausible, keys, "prix_m2", quantiles, 0)
     years = plausible.select(*keys, "annee").distinct()
     kept = [c for c in PANEL_CONTEXT if c != "nb_reservations"]
     context = enrich(years, communes, ecln_year).groupBy(*keys).agg(

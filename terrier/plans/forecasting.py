@@ -193,14 +193,14 @@ def permutation_importance(
 def prepare_sequences(
     df: DataFrame, features: list[str] = SEQUENCE_FEATURES, target: str = TARGET,
     entity: str = ENTITY, lookback: int = LOOKBACK, horizon: int = HORIZON,
-    forward_only: bool = False,
+    forward_only: bool = False, after: int = 2000,
 ) -> tuple[DataFrame, DataFrame]:
     """Scaled sequences with their split, and the scaler of every entity.
 
     ``x`` and ``y`` are scaled, ``y_actual`` is in the unit of the target.
     """
     train_last, val_year, test_year = last_years(df)
-    filled = fill_monthly(df, entity, features, forward_only)
+    filled = fill_monthly(df, entity, features, forward_only, after)
     kept = eligible_entities(df, filled, entity, val_year, lookback, horizon).select(entity)
     filled = filled.join(kept, entity, "left_semi").withColumn("_actual", F.col(target))
     stats = fit_scaler(filled, entity, features, F.col("annee") < val_year)

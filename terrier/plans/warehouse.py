@@ -13,7 +13,7 @@ from terrier.operators.aggregates import (
     coarsen, constant_of, count_by_value, count_rows, count_where,
 )
 from terrier.operators.joins import left_enrich, merge_contexts, one_row_per_key, with_defaults
-from terrier.operators.quantiles import with_quantiles
+from terrier.operators.quantiles import ROW, aggregate_with_quantiles
 from terrier.operators.rows import category_filter, positive_filter, require_key
 
 # Categories of the sources.
@@ -211,17 +211,17 @@ def fct_transactions_enriched(
 def rpt_prix_commune(transactions: DataFrame) -> DataFrame:
     """Price statistics by year, commune and kind of property."""
     keys = [*COMMUNE_YEAR, "nom_commune", "code_departement", "type_local"]
-    base = transactions.groupBy(*keys).agg(
-        count_rows("nb_transactions"),
-        mean("prix_m2", 0).alias("prix_m2_moyen"),
-        round_he(F.min("prix_m2"), 0).alias("prix_m2_min"),
-        round_he(F.max("prix_m2"), 0).alias("prix_m2_max"),
-        mean("valeur_fonciere", 0).alias("prix_moyen"),
-        mean("surface_reelle_bati", 1).alias("surface_moy"),
-        mean("nombre_pieces_principales", 1).alias("nb_pieces_moy"),
-    )
+    parts = {
+        "nb_transactions": F.count(ROW),
+        "prix_m2_moyen": mean("prix_m2", 0),
+        "prix_m2_min": round_he(F.min("prix_m2"), 0),
+        "prix_m2_max": round_he(F.max("prix_m2"), 0),
+        "prix_moyen": mean("valeur_fonciere", 0),
+        "surface_moy": mean("surface_reelle_bati", 1),
+        "nb_pieces_moy": mean("nombre_pieces_principales", 1),
+    }
     quartiles = {"prix_m2_median": 0.5, "prix_m2_q1": 0.25, "prix_m2_q3": 0.75}
-    return with_quantiles(base, transactions, keys, "prix_m2", quartiles, 0)
+    return aggregate_with_quantiles(transactions, keys, parts, "prix_m2", quartiles, 0)
 
 
 def _permits_by_dept(construction: DataFrame) -> DataFrame:
@@ -236,15 +236,16 @@ def rpt_dynamique_marche_dept(
 ) -> DataFrame:
     """Resale, new-build, construction and energy by year and department.
 
-    Each side is aggregated to the report's grain before the joins.
+    Each side is aggregated to the report's grain before the joins. The
+    transactions are read twice: pass a table.
     """
-    old = transactions.groupBy(*DEPT_YEAR).agg(
-        count_rows("nb_transactions"),
-        mean("prix_m2", 0).alias("prix_m2_moyen_ancien"),
-        mean("surface_reelle_bati", 1).alias("surface_moy"),
-    )
-    old = with_quantiles(
-        old, transactions, DEPT_YEAR, "prix_m2", {"prix_m2_median_ancien": 0.5}, 0
+    parts = {
+        "nb_transactions": F.count(ROW),
+        "prix_m2_moyen_ancien": mean("prix_m2", 0),
+        "surface_moy": mean("surface_reelle_bati", 1),
+    }
+    old = aggregate_with_quantiles(
+        transactions, DEPT_YEAR, parts, "prix_m2", {"prix_m2_median_ancien": 0.5}, 0
     )
     energy = dpe.groupBy(*DEPT_YEAR).agg(
         rate(F.sum(F.col("nb_dpe_f") + F.col("nb_dpe_g")), F.sum("nb_dpe_total"), 1, 100.0)
@@ -272,14 +273,16 @@ def rpt_tension_immobiliere_dept(
     departements: DataFrame,
 ) -> DataFrame:
     """Demand and supply by year and department."""
-    demand = transactions.groupBy(*DEPT_YEAR).agg(
-        count_rows("nb_ventes"),
-        count_where(F.col("type_local") == FLAT, "nb_ventes_appt"),
-        count_where(F.col("type_local") == HOUSE, "nb_ventes_maison"),
-        mean("prix_m2", 0).alias("prix_m2_moy"),
-        mean("surface_reelle_bati", 1).alias("surface_moy"),
+    parts = {
+        "nb_ventes": F.count(ROW),
+        "nb_ventes_appt": F.count_if(F.col("type_local") == FLAT),
+        "nb_ventes_maison": F.count_if(F.col("type_local") == HOUSE),
+        "prix_m2_moy": mean("prix_m2", 0),
+        "surface_moy": mean("surface_reelle_bati", 1),
+    }
+    demand = aggregate_with_quantiles(
+        transactions, DEPT_YEAR, parts, "prix_m2", {"prix_m2_med": 0.5}, 0
     )
-    demand = with_quantiles(demand, transactions, DEPT_YEAR, "prix_m2", {"prix_m2_med": 0.5}, 0)
     housing = social.groupBy(*DEPT_YEAR).agg(
         F.sum("nb_entrees_ls").alias("nb_entrees_ls"),
         mean("pct_passoires_ls", 1).alias("pct_passoires_ls"),

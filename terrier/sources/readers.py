@@ -12,57 +12,47 @@ def text_schema(columns: list[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
-def _header(spark: SparkSession, path: str, sep: str) -> list[str]:
-    """Column names from the first line of the first file."""
-    first = spark.read.option("sep", sep).option("header", True).option("inferSchema", False)
-    return first.csv(path).columns
-
-
-def read_csv(
-    spark: SparkSession, path: str, sep: str = ";", columns: list[str] | None = None
-) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, sep: str = ";") -> DataFrame:
     """CSV with a header, all columns as text.
 
-    ``columns`` are the expected names. A file that names others keeps its own
-    header: columns are matched by name, so an unknown or missing one does no
-    harm.
+    The columns are those of the header, so an unknown or missing one does no
+    harm; the parsers pick what they know. Files of one path must agree: a file
+    whose header differs fails the job instead of shifting its columns.
     """
-    named = text_schema(columns) if columns else text_schema(_header(spark, path, sep))
-    reader = spark.read.option("sep", sep).option("header", True).option("enforceSchema", False)
-    return reader.schema(named).csv(path)
+    options = {"sep": sep, "header": True, "inferSchema": False}
+    names = spark.read.options(**options).csv(path).columns
+    reader = spark.read.options(**options, enforceSchema=False)
+    return reader.schema(text_schema(names)).csv(path)
 
 
-def read_plain_csv(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
+def read_plain_csv(spark: SparkSession, path: str) -> DataFrame:
     """Uncompressed comma-separated file(s)."""
-    return read_csv(spark, path, ",", columns)
+    return read_csv(spark, path, ",")
 
 
-def read_csv_gz(
-    spark: SparkSession, path: str, columns: list[str] | None = None, tasks: int | None = None
-) -> DataFrame:
-    """Gzip CSV. One task must unpack a whole file, so the rows are spread afterwards."""
-    df = read_csv(spark, path, ",", columns)
-    return df.repartition(tasks) if tasks else df.repartition()
+def read_csv_gz(spark: SparkSession, path: str) -> DataFrame:
+    """Gzip CSV. One task must unpack a whole file; its rows are then spread evenly."""
+    return read_csv(spark, path, ",").hint("rebalance")
 
 
 def read_json_pages(
-    spark: SparkSession, path: str, record: T.StructType | str, data_key: str = "data"
+    spark: SparkSession, path: str, record: T.StructType | str, data_key: str = "data",
+    lines: bool = False,
 ) -> DataFrame:
     """Records of landed API pages, whatever the paging style.
 
     A page is one JSON object that holds a list of records under ``data_key``
     ('data' for offset and numbered pages, 'results' for cursor pages). The
-    other keys of the envelope are not read. An empty page adds nothing.
+    other keys of the envelope are not read. An empty page adds nothing. ``lines``
+    reads files with one page a line, which Spark can split.
     """
     fields = T.StructType.fromDDL(record) if isinstance(record, str) else record
     envelope = T.StructType([T.StructField(data_key, T.ArrayType(fields))])
-    pages = spark.read.schema(envelope).option("multiLine", True).json(path)
+    pages = spark.read.schema(envelope).option("multiLine", not lines).json(path)
     return pages.select(F.inline(F.col(data_key)))
 
 
-CATALOGUE = T.StructType.fromDDL(
-    "datafiles ARRAY<STRUCT<rid: STRING, millesimes: ARRAY<STRUCT<millesime: STRING>>>>"
-)
+CATALOGUE = "datafiles ARRAY<STRUCT<rid: STRING, millesimes: ARRAY<STRUCT<millesime: STRING>>>>"
 
 
 def read_catalogue(spark: SparkSession, path: str) -> DataFrame:

@@ -8,6 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
+_TYPES = {
+    "STRING": T.StringType(), "DATE": T.DateType(), "INT": T.IntegerType(), "BIGINT": T.LongType(),
+    "FLOAT": T.FloatType(), "DOUBLE": T.DoubleType(), "TIMESTAMP": T.TimestampType(),
+}
+
+
 @dataclass(frozen=True)
 class TableSpec:
     """A declared table. ``ties`` settle equal versions of one key."""
@@ -22,7 +28,9 @@ class TableSpec:
 
     @property
     def schema(self) -> T.StructType:
-        return T.StructType.fromDDL(f"{self.columns}, {self.version} TIMESTAMP")
+        """Built without a session, so that modules can read it on import."""
+        pairs = [c.split() for c in f"{self.columns}, {self.version} TIMESTAMP".split(",")]
+        return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
     @property
     def data_columns(self) -> list[str]:
