@@ -393,11 +393,11 @@ def period_key(spark, sf):
 
 
 @query("F13_to_json", """
-SELECT r_regionkey, '{"lookback":12,"nom":"' || r_name || '"}' AS params FROM region""")
+SELECT c_custkey, '{"lookback":12,"nom":"' || c_name || '"}' AS params FROM customer""")
 def to_json(spark, sf):
-    return table(spark, sf, "region").select(
-        "r_regionkey",
-        F.to_json(F.struct(F.lit(12).alias("lookback"), F.col("r_name").alias("nom"))).alias("params"))
+    return table(spark, sf, "customer").select(
+        "c_custkey",
+        F.to_json(F.struct(F.lit(12).alias("lookback"), F.col("c_name").alias("nom"))).alias("params"))
 
 
 @query("F14_json_navigation", """

@@ -59,13 +59,11 @@ def read_plain_csv(spark, sf):
     return readers.read_plain_csv(spark, _landed_csv(spark, sf, "insee_text", ","))
 
 
-def _landed_pages(spark, sf, name: str, key: str, pages: int = 32) -> str:
-    """Pages of records, one JSON object a line; rows go to pages by hash."""
+def _landed_pages(spark, sf, name: str, key: str) -> str:
+    """Pages as they land: one JSON object a line with its records under ``key``."""
     columns = list(TEXTS[name][1])
-    df = text_table(spark, sf, name).withColumn(
-        "_page", F.pmod(F.xxhash64(*columns), F.lit(pages * 997)))
     path = fresh_path(spark, name)
-    df.groupBy("_page").agg(F.collect_list(F.struct(*columns)).alias(key)).drop("_page").write.json(path)
+    text_table(spark, sf, name).select(F.array(F.struct(*columns)).alias(key)).write.json(path)
     return path
 
 

@@ -10,13 +10,29 @@ from pyspark.sql import functions as F
 SHAPE = ["check", "table", "column", "failures"]
 
 
+def row_checks(
+    df: DataFrame, table: str, known: list[str], accepted: dict[str, list] | None = None
+) -> DataFrame:
+    """All checks of single rows in one pass: missing and unexpected values."""
+    wrong = [("not_null", c, F.col(c).isNull()) for c in known]
+    wrong += [("accepted_values", c, ~F.col(c).isin(*v)) for c, v in (accepted or {}).items()]
+    counts = df.agg(*[F.count_if(bad).alias(f"_{i}") for i, (_, _, bad) in enumerate(wrong)])
+    lines = F.array(*[
+        F.struct(F.lit(check).alias("check"), F.lit(table).alias("table"),
+                 F.lit(column).alias("column"), F.col(f"_{i}").alias("failures"))
+        for i, (check, column, _) in enumerate(wrong)
+    ])
+    return counts.select(F.inline(lines))
+
+
 def not_null(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
     """Missing values of all columns in one pass."""
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
-    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("failures")) for c in columns])
-    return counts.select(F.inline(pairs)).select(
-        F.lit("not_null").alias("check"), F.lit(table).alias("table"), "column", "failures"
-    )
+    return row_checks(df, table, columns)
+
+
+def accepted_values(df: DataFrame, table: str, column: str, values: list) -> DataFrame:
+    """Rows with a value outside the list; NULLs pass."""
+    return row_checks(df, table, [], {column: values})
 
 
 def _repeated(df: DataFrame, check: str, table: str, keys: list[str]) -> DataFrame:
@@ -37,14 +53,6 @@ def unique_grain(df: DataFrame, table: str, keys: list[str]) -> DataFrame:
     return _repeated(df, "unique_grain", table, keys)
 
 
-def accepted_values(df: DataFrame, table: str, column: str, values: list) -> DataFrame:
-    """Rows with a value outside the list; NULLs pass."""
-    return df.agg(F.count_if(~F.col(column).isin(*values)).alias("failures")).select(
-        F.lit("accepted_values").alias("check"), F.lit(table).alias("table"),
-        F.lit(column).alias("column"), "failures",
-    )
-
-
 def quality_report(checks: list[DataFrame]) -> DataFrame:
     """All checks in one table."""
     return reduce(lambda a, b: a.unionByName(b), checks).select(*SHAPE)
@@ -118,8 +126,7 @@ DECLARED: dict[str, dict] = {
 def declared_checks(df: DataFrame, table: str) -> list[DataFrame]:
     """The declared checks of one table."""
     rules = DECLARED[table]
-    checks = [not_null(df, table, rules["not_null"])]
+    checks = [row_checks(df, table, rules["not_null"], rules.get("accepted"))]
     checks += [unique(df, table, c) for c in rules.get("unique", [])]
-    checks += [accepted_values(df, table, c, v) for c, v in rules.get("accepted", {}).items()]
     checks += [unique_grain(df, table, keys) for keys in rules.get("grain", [])]
     return checks

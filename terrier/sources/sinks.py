@@ -10,7 +10,21 @@ from pyspark.sql import functions as F
 
 from terrier.sources.schemas import TABLES, TableSpec, conform, declare_table
 
-SPREAD = 64  # tasks that may write one partition value
+
+def laid_out(df: DataFrame, sort_key: list[str], partition: str | None = None) -> DataFrame:
+    """Rows arranged for writing: clustered by the sort key, evenly over tasks.
+
+    With a partition column the rows are rebalanced by it: adaptive execution
+    cuts a large partition into pieces of the advisory size and joins small
+    ones, so one year with a third of the rows is still written by many tasks.
+    Without one, rows are ranged by the sort key and then by a hash, so that
+    rows with equal keys can be cut too.
+    """
+    if partition:
+        return df.hint("rebalance", partition).sortWithinPartitions(
+            partition, *[k for k in sort_key if k != partition])
+    spread = F.xxhash64(*df.columns)
+    return df.repartitionByRange(*sort_key, spread).sortWithinPartitions(*sort_key)
 
 
 def stamped(df: DataFrame, spec: TableSpec, at: datetime | None = None) -> DataFrame:
@@ -39,10 +53,8 @@ def append_observed(
     name = declare_table(spark, spec, table)
     out = stamped(df, spec, at)
     if spec.partition:
-        # Rows of one year may be a large share of all: spread them over tasks.
-        out = out.repartition(spec.partition, F.pmod(F.xxhash64(*spec.keys), F.lit(SPREAD)))
         order = [spec.partition, *[k for k in spec.keys if k != spec.partition]]
-        out = out.sortWithinPartitions(*order)
+        out = laid_out(out, order, spec.partition)
     seen = Observation()
     columns = spark.table(name).columns
     out = out.select(*columns).observe(
@@ -61,13 +73,11 @@ def append_with_load_ts(
 
 def materialize(
     df: DataFrame, name: str, mode: str = "view", sort_key: list[str] | None = None,
-    partition: str | None = None, spread: int = SPREAD,
+    partition: str | None = None,
 ) -> DataFrame:
     """Keep a model as a view, or as a table laid out by its sort key.
 
-    The sort key clusters rows so that file statistics can skip row groups. Rows
-    are spread by partition and a hash of the key, so that a large partition is
-    written by several tasks.
+    The sort key clusters rows so that file statistics can skip row groups.
     """
     spark = df.sparkSession
     if mode == "view":
@@ -75,14 +85,7 @@ def materialize(
         return spark.table(name)
     if mode != "table":
         raise ValueError("mode is 'view' or 'table'")
-    out = df
-    if sort_key:
-        rest = [k for k in sort_key if k != partition]
-        if partition:
-            out = out.repartition(partition, F.pmod(F.xxhash64(*rest), F.lit(spread)))
-        else:
-            out = out.repartitionByRange(*sort_key)
-        out = out.sortWithinPartitions(*([partition] if partition else []), *rest)
+    out = laid_out(df, sort_key, partition) if sort_key else df
     writer = out.write.mode("overwrite").format("parquet")
     if partition:
         writer = writer.partitionBy(partition)
