@@ -16,8 +16,9 @@ from terrier.operators import aggregates as ag
 from terrier.operators import quality as qa
 from terrier.operators import rows, sampling
 from terrier.operators import windows as wn
-from terrier.operators.quantiles import approx_quantiles, exact_quantiles
+from terrier.operators.quantiles import approx_quantiles, exact_quantiles, profile_columns
 from terrier.plans import warehouse
+from terrier.session import cut_lineage
 
 # --- aggregates ------------------------------------------------------------------------
 
@@ -127,9 +128,18 @@ def count_distinct(spark, sf):
         F.countDistinct("o_custkey").alias("n_communes"))
 
 
-@query("A11_profile")
+_PROFILED = ["prix_m2_moy", "nb_transactions", "evol_12m_pct"]
+
+
+@query("A11_profile", compose(" UNION ALL ".join(
+    f"SELECT '{c}' AS colonne, count({c}) AS n, {avg(c, 4)} AS moyenne, "
+    f"{rnd(f'stddev_samp({c})', 4)} AS ecart_type, {rnd_once(f'min({c})', 4)} AS mini, "
+    f"{rnd_once(f'max({c})', 4)} AS maxi, "
+    + ", ".join(f"{quantile(c, q, 4)} AS {n}" for n, q in
+                (("q25", 0.25), ("q50", 0.5), ("q75", 0.75)))
+    + " FROM features_dense" for c in _PROFILED)))
 def profile(spark, sf):
-    return ag.profile(features_dense(spark, sf), ["prix_m2_moy", "nb_transactions", "evol_12m_pct"])
+    return profile_columns(cut_lineage(features_dense(spark, sf), "features"), _PROFILED)
 
 
 # --- windows --------------------------------------------------------------------------------
@@ -276,7 +286,9 @@ def hash_sample_fast(spark, sf):
     return sampling.hash_sample(orders, ["o_custkey", "o_orderkey"], 20, portable=False)
 
 
-@query("R02_random_split")
+@query("R02_random_split", """
+SELECT o_orderkey, CASE WHEN ('0x' || substr(md5(o_orderkey || ',42'), 1, 8))::BIGINT % 10000 < 8000
+  THEN 'train' ELSE 'test' END AS part FROM orders""")
 def random_split(spark, sf):
     train, test = sampling.random_split(table(spark, sf, "orders"), ["o_orderkey"], 0.8, 42)
     return rows.union_pages([
@@ -284,9 +296,12 @@ def random_split(spark, sf):
         for part, name in ((train, "train"), (test, "test"))])
 
 
-@query("R03_random_sample")
+@query("R03_random_sample", """
+SELECT o_orderkey, o_custkey, o_totalprice FROM orders
+ORDER BY md5(o_orderkey || ',42'), o_orderkey LIMIT 5000""")
 def random_sample(spark, sf):
-    return sampling.random_sample(table(spark, sf, "orders"), ["o_orderkey"], 5000, 42)
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    return sampling.random_sample(orders, ["o_orderkey"], 5000, 42)
 
 
 # --- scalar functions ------------------------------------------------------------------------

@@ -47,7 +47,3 @@ def coarsen(
         parts.append(count_rows(count_name))
     return df.groupBy(*keys).agg(*parts)
 
-
-def profile(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Count, mean, deviation, extremes and quartiles of every column."""
-    return df.select(*columns).summary("count", "mean", "stddev", "min", "25%", "50%", "75%", "max")

@@ -23,7 +23,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrier.functions.numeric import settle
+from terrier.functions.numeric import mean, round_he, settle
 
 BANDS_PER_E_FOLD = 256
 ROW = "_row"
@@ -130,6 +130,28 @@ def exact_quantiles(
     return grouped.select(*names, *_interpolated(wanted, digits))
 
 
+def profile_columns(df: DataFrame, columns: list[str], digits: int = 4) -> DataFrame:
+    """One row per column: count, mean, deviation, extremes and exact quartiles.
+
+    Every column is one group of the quantile plan, which splits a group of any
+    size over tasks.
+    """
+    pairs = F.array(*[
+        F.struct(F.lit(c).alias("colonne"), F.col(c).cast("double").alias("_v0")) for c in columns
+    ])
+    parts = {
+        "n": F.count("_v0"),
+        "moyenne": mean("_v0", digits),
+        "ecart_type": settle(F.stddev_samp("_v0"), digits),
+        "mini": round_he(F.min("_v0"), digits),
+        "maxi": round_he(F.max("_v0"), digits),
+    }
+    quartiles = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
+    return aggregate_with_quantiles(
+        df.select(F.inline(pairs)), ["colonne"], parts, "_v0", quartiles, digits
+    )
+
+
 def small_group_quantiles(value: str, wanted: dict[str, float], digits: int) -> list[Column]:
     """Aggregates for groups whose distinct values are few by construction."""
     return [settle(F.percentile(F.col(value), F.lit(float(p))), digits).alias(name)

@@ -8,10 +8,18 @@ from pyspark.sql import functions as F
 PORTABLE_SEPARATOR = ","
 
 
-def hash_bucket(keys: list[str], buckets: int) -> Column:
-    """Bucket of a row by its keys, the same on every run and in other engines."""
-    text = F.concat_ws(PORTABLE_SEPARATOR, *[F.col(k).cast("string") for k in keys])
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint") % buckets
+def key_digest(keys: list[str], seed: int | None = None) -> Column:
+    """Digest of a row's keys, the same on every run and in other engines."""
+    parts = [F.col(k).cast("string") for k in keys]
+    if seed is not None:
+        parts.append(F.lit(str(seed)))
+    return F.md5(F.concat_ws(PORTABLE_SEPARATOR, *parts))
+
+
+def hash_bucket(keys: list[str], buckets: int, seed: int | None = None) -> Column:
+    """Bucket of a row by the first 32 bits of its digest."""
+    head = F.substring(key_digest(keys, seed), 1, 8)
+    return F.conv(head, 16, 10).cast("bigint") % buckets
 
 
 def fast_bucket(keys: list[str], buckets: int) -> Column:
@@ -33,10 +41,10 @@ def random_split(df: DataFrame, keys: list[str], train_share: float = 0.8, seed:
     The side of a row depends on its keys and the seed, not on its partition, so
     a task that runs again puts every row on the same side.
     """
-    side = F.pmod(F.xxhash64(*keys, F.lit(seed)), F.lit(10_000)) < int(train_share * 10_000)
-    return df.where(side), df.where(~side)
+    train = hash_bucket(keys, 10_000, seed) < round(train_share * 10_000)
+    return df.where(train), df.where(~train)
 
 
 def random_sample(df: DataFrame, keys: list[str], n: int, seed: int = 42) -> DataFrame:
-    """At most ``n`` rows: the smallest hashes, taken task by task, then merged."""
-    return df.orderBy(F.xxhash64(*keys, F.lit(seed)), *keys).limit(n)
+    """At most ``n`` rows: the smallest digests, taken task by task, then merged."""
+    return df.orderBy(key_digest(keys, seed), *keys).limit(n)
