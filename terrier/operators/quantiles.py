@@ -17,10 +17,7 @@ the window of step 3.
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrier.functions.numeric import mean, round_he, settle
@@ -29,63 +26,78 @@ BANDS_PER_E_FOLD = 256
 ROW = "_row"
 
 
-def value_band(value: Column) -> Column:
-    """Order-preserving band of a number: equal steps on a logarithmic scale.
+def _name(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
+
+
+def value_band(value: str) -> str:
+    """SQL for the order-preserving band of a number: equal steps on a logarithmic scale.
 
     Never NULL, so that no plan around it adds a filter on it.
     """
-    scaled = F.signum(value) * F.log1p(F.abs(value)) * BANDS_PER_E_FOLD
-    return F.coalesce(F.floor(scaled), F.lit(0).cast("bigint"))
+    return f"coalesce(floor(signum({value}) * log1p(abs({value})) * {BANDS_PER_E_FOLD}), 0L)"
+
+
+def _rank(p: float) -> str:
+    return f"({float(p)!r}D * (_size - 1))"
+
+
+def _inside(rank: str) -> str:
+    return f"({rank} >= _start AND {rank} < _end)"
 
 
 def _edges(df: DataFrame, keys: list[str], value: str, wanted: dict[str, float]) -> DataFrame:
-    """Rows ``(_g, _size, _lo_*, _hi_*)`` with the neighbours of every wanted rank."""
-    v = F.col(value).cast("double")
-    group = F.struct(*keys) if keys else F.struct(F.lit(0).alias("_"))
+    """Rows ``(_g, _size, _lo_*, _hi_*)`` with the neighbours of every wanted rank.
+
+    The expressions are SQL text: they are many, and each text is one call to the JVM.
+    """
+    group = ", ".join(f"'{k}', {_name(k)}" for k in keys) if keys else "'_', 0"
+    v = f"CAST({_name(value)} AS DOUBLE)"
     cells = (
-        df.where(v.isNotNull())
-        .groupBy(group.alias("_g"), value_band(v).alias("_band"), v.alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_n"))
+        df.selectExpr(f"named_struct({group}) AS _g", f"{v} AS _v")
+        .where("_v IS NOT NULL")
+        .selectExpr("_g", f"{value_band('_v')} AS _band", "_v")
+        .groupBy("_g", "_band", "_v")
+        .agg(F.expr("count(1) AS _n"))
     )
-    of_group = Window.partitionBy("_g")
-    upto = of_group.orderBy("_band").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     bands = (
         cells.groupBy("_g", "_band")
-        .agg(F.sum("_n").alias("_m"))
-        .withColumns({"_end": F.sum("_m").over(upto), "_size": F.sum("_m").over(of_group)})
-        .withColumn("_start", F.col("_end") - F.col("_m"))
-    )
-    ranks = {name: F.lit(float(p)) * (F.col("_size") - 1) for name, p in wanted.items()}
-
-    def inside(rank: Column) -> Column:
-        return (rank >= F.col("_start")) & (rank < F.col("_end"))
-
-    hit = reduce(or_, [inside(end(r)) for r in ranks.values() for end in (F.floor, F.ceil)])
-    bands = bands.where(hit).select("_g", "_band", F.col("_start").alias("_before"), "_size")
-    within = (
-        Window.partitionBy("_g", "_band")
-        .orderBy("_v")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        .agg(F.expr("sum(_n) AS _m"))
+        .selectExpr(
+            "_g", "_band", "_m",
+            "sum(_m) OVER (PARTITION BY _g ORDER BY _band ROWS UNBOUNDED PRECEDING) AS _end",
+            "sum(_m) OVER (PARTITION BY _g) AS _size",
+        )
+        .selectExpr("*", "_end - _m AS _start")
     )
+    ends = {
+        name: (f"floor({_rank(p)})", f"ceil({_rank(p)})") for name, p in wanted.items()
+    }
+    hit = " OR ".join(_inside(end) for pair in ends.values() for end in pair)
+    bands = bands.where(hit).selectExpr("_g", "_band", "_start AS _before", "_size")
     ranked = (
         cells.join(bands, ["_g", "_band"])
-        .withColumn("_end", F.col("_before") + F.sum("_n").over(within))
-        .withColumn("_start", F.col("_end") - F.col("_n"))
+        .selectExpr(
+            "_g", "_v", "_n", "_size",
+            "_before + sum(_n) OVER (PARTITION BY _g, _band ORDER BY _v ROWS UNBOUNDED PRECEDING)"
+            " AS _end",
+        )
+        .selectExpr("*", "_end - _n AS _start")
+        .where(hit)
     )
-    picked = {"_size": F.col("_size")}
-    for name, rank in ranks.items():
-        picked[f"_lo_{name}"] = F.when(inside(F.floor(rank)), F.col("_v"))
-        picked[f"_hi_{name}"] = F.when(inside(F.ceil(rank)), F.col("_v"))
-    useful = reduce(or_, [c.isNotNull() for n, c in picked.items() if n != "_size"])
-    return ranked.where(useful).select("_g", *[c.alias(n) for n, c in picked.items()])
+    picked = [
+        f"CASE WHEN {_inside(end)} THEN _v END AS {_name(side + name)}"
+        for name, pair in ends.items() for side, end in zip(("_lo_", "_hi_"), pair)
+    ]
+    return ranked.selectExpr("_g", "_size", *picked)
 
 
 def _interpolated(wanted: dict[str, float], digits: int | None) -> list[Column]:
     result = []
     for name, p in wanted.items():
-        rank = F.lit(float(p)) * (F.col("_size") - 1)
-        lo, hi = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
-        q = lo + (hi - lo) * (rank - F.floor(rank))
+        rank = _rank(p)
+        lo, hi = _name("_lo_" + name), _name("_hi_" + name)
+        q = F.expr(f"{lo} + ({hi} - {lo}) * ({rank} - floor({rank}))")
         result.append((settle(q, digits) if digits is not None else q).alias(name))
     return result
 
