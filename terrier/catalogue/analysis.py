@@ -116,8 +116,10 @@ SELECT o_custkey, max(c_name) AS nom, arg_max(o_orderpriority, o_orderkey) AS de
 FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1""")
 def any_value(spark, sf):
     orders, customer = table(spark, sf, "orders"), table(spark, sf, "customer")
-    return orders.join(customer, orders.o_custkey == customer.c_custkey).groupBy("o_custkey").agg(
-        ag.constant_of("c_name", "nom"), ag.latest_of("o_orderpriority", "o_orderkey", "derniere"))
+    named = orders.join(customer, orders.o_custkey == customer.c_custkey)
+    names = ag.constants(named.withColumnRenamed("c_name", "nom"), "o_custkey", ["nom"])
+    last = orders.groupBy("o_custkey").agg(ag.latest_of("o_orderpriority", "o_orderkey", "derniere"))
+    return names.join(last, "o_custkey")
 
 
 @query("A10_count_distinct", """

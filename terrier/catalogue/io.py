@@ -30,6 +30,12 @@ def _name(label: str) -> str:
     return f"{label}_{uuid.uuid4().hex[:12]}"
 
 
+def _declared(spark, spec: str) -> str:
+    """A new empty table of a declared kind, its files in the shared folder."""
+    name = _name(spec.strip("_"))
+    return declare_table(spark, TABLES[spec], name, fresh_path(spark, name))
+
+
 # --- readers -----------------------------------------------------------------------------
 
 def _landed_csv(spark, sf, name: str, sep: str, gzip: bool = False) -> str:
@@ -119,7 +125,7 @@ SELECT annee, count(*) AS n, count(DISTINCT id_mutation) AS mutations,
   (SELECT count(*) FROM raw_dvf) AS ecrites FROM raw_dvf GROUP BY 1"""))
 def append(spark, sf):
     raw = roles.raw_dvf(spark, sf).drop("_loaded_at")
-    name = _name("raw_dvf")
+    name = _declared(spark, "raw_dvf")
     written = sinks.append_with_load_ts(raw, TABLES["raw_dvf"], name, AT)
     return spark.table(name).groupBy("annee").agg(
         F.count(F.lit(1)).alias("n"), F.countDistinct("id_mutation").alias("mutations"),
@@ -129,7 +135,7 @@ def append(spark, sf):
 @query("S11_declare_table", compose("SELECT annee, mois, code_commune, nb_logements_autorises "
                                     "FROM raw_sitadel"))
 def declare(spark, sf):
-    name = declare_table(spark, TABLES["raw_sitadel"], _name("raw_sitadel"))
+    name = _declared(spark, "raw_sitadel")
     declare_table(spark, TABLES["raw_sitadel"], name)
     raw = roles.raw_sitadel(spark, sf).drop("_loaded_at")
     sinks.append_with_load_ts(raw, TABLES["raw_sitadel"], name, AT)
@@ -143,7 +149,8 @@ def materialize(spark, sf):
     view = sinks.materialize(
         roles.raw_sitadel(spark, sf).select(*columns), _name("v_sitadel"), "view")
     return sinks.materialize(
-        view, _name("t_sitadel"), "table", ["annee", "code_commune", "mois"], "annee"
+        view, _name("t_sitadel"), "table", ["annee", "code_commune", "mois"], "annee",
+        fresh_path(spark, "t_sitadel"),
     ).select(*columns)
 
 
@@ -151,7 +158,7 @@ def materialize(spark, sf):
 SELECT 'essai' AS run_id, code_commune, annee AS annee_pred, mois AS mois_pred,
   prix_m2_lag_1m::FLOAT AS prix_m2_pred, prix_m2_med::FLOAT AS prix_m2_reel FROM loaded_dense"""))
 def write_predictions(spark, sf):
-    name = _name("preds")
+    name = _declared(spark, "preds_ml_prix_m2")
     sinks.write_predictions(fc.predictions_frame(_naive(spark, sf), "essai"), False, name)
     return spark.table(name).drop("predicted_at")
 
@@ -166,7 +173,7 @@ SELECT 'essai' AS run_id, 'naif' AS model_name, count(*) AS n_samples,
   {rnd(f'avg(abs(({_E}) / prix_m2_med)) * 100', 4)}::FLOAT AS mape, 0 AS horizon,
   2001 AS annee_test, '{{"retard": 1}}' AS params FROM loaded_dense"""))
 def write_metrics(spark, sf):
-    name = _name("perf")
+    name = _declared(spark, "model_perf_runs")
     frame = fc.metrics_frame(_naive(spark, sf), "essai", "naif", 0, 2001, {"retard": 1})
     sinks.write_metrics(frame, name)
     return spark.table(name).drop("run_date", "logged_at")
@@ -190,7 +197,7 @@ def get_watermark(spark, sf):
 @query("I02_set_watermark", """
 SELECT 'events' AS source, strftime(max(ts), '%Y-%m-%d') AS last_value FROM events""")
 def set_watermark(spark, sf):
-    name = state.ensure_state(spark, _name("marks"))
+    name = _declared(spark, state.STATE)
     mark = state.max_mark(table(spark, sf, "events"), "date", "ts").first()["last_value"]
     state.set_watermark(spark, "events", "2000-01-01", name)
     state.set_watermark(spark, "events", mark, name)
@@ -279,7 +286,7 @@ UNION ALL SELECT 'second', 0, strftime(max(d), '%Y-%m-%d') FROM (
 def incremental(spark, sf):
     """Two runs of one load: the second finds nothing after the mark."""
     path = _landed_pages(spark, sf, "dpe_text", "results")
-    raw, marks = _name("raw_dpe"), _name("marks")
+    raw, marks = _declared(spark, "raw_dpe"), _declared(spark, state.STATE)
     record = _record("dpe_text")
 
     def units(session, mark):
@@ -306,7 +313,7 @@ def reload(spark, sf):
     from terrier.plans.staging import stg_eptb
 
     rows = parsers.parse_eptb(*roles.land_and_houses(spark, sf))
-    name = _name("raw_eptb")
+    name = _declared(spark, "raw_eptb")
     for _ in range(2):
         loaders.full_reload(spark, rows, "raw_eptb", name=name)
     return stg_eptb(spark.table(name)).select(
@@ -325,7 +332,7 @@ def stream_ingest(spark, sf):
     landed = fresh_path(spark, "landing")
     raw = roles.raw_dvf(spark, sf).drop("_loaded_at")
     raw.write.parquet(landed)
-    name = declare_table(spark, TABLES["raw_dvf"], _name("raw_dvf"))
+    name = _declared(spark, "raw_dvf")
     for _ in range(2):  # the second run finds no new files
         streams.stream_ingest(
             streams.read_landing(spark, landed, raw.schema), TABLES["raw_dvf"], lambda b: b,

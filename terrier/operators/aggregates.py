@@ -27,6 +27,16 @@ def constant_of(column: str, name: str | None = None) -> Column:
     return F.max(column).alias(name or column)
 
 
+def constants(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """One row per key with columns that are the same in all its rows, NULLs aside.
+
+    Text cannot be aggregated by hash, so ``max`` over all rows would sort them.
+    Distinct rows can, and leave about one row per key for the ``max``.
+    """
+    distinct = df.select(key, *columns).distinct()
+    return distinct.groupBy(key).agg(*[constant_of(c) for c in columns])
+
+
 def latest_of(column: str, order: str, name: str | None = None) -> Column:
     """Value in the last row (by ``order``) that has one."""
     known = F.when(F.col(column).isNotNull(), F.col(order))

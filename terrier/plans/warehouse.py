@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from terrier.functions.numeric import mean, rate, round_he, settle, share
 from terrier.operators.aggregates import (
-    coarsen, constant_of, count_by_value, count_rows, count_where,
+    coarsen, constants, count_by_value, count_rows, count_where,
 )
 from terrier.operators.joins import left_enrich, merge_contexts, one_row_per_key, with_defaults
 from terrier.operators.quantiles import ROW, aggregate_with_quantiles
@@ -108,20 +108,18 @@ def fct_prix_terrain(stg_eptb: DataFrame) -> DataFrame:
 
 def dim_commune(stg_dvf: DataFrame, stg_rpls: DataFrame) -> DataFrame:
     """One row per commune with its region."""
-    named = require_key(stg_dvf, "code_commune").groupBy("code_commune").agg(
-        *[constant_of(c) for c in ("nom_commune", "code_departement", "code_postal")]
-    )
-    regions = require_key(stg_rpls, "code_commune").groupBy("code_commune").agg(
-        constant_of("code_region")
+    named = constants(
+        require_key(stg_dvf, "code_commune"), "code_commune",
+        ["nom_commune", "code_departement", "code_postal"],
     )
+    regions = constants(require_key(stg_rpls, "code_commune"), "code_commune", ["code_region"])
     return left_enrich(named, regions, ["code_commune"], JOIN_DEFAULTS)
 
 
 def dim_departement(stg_ecln: DataFrame) -> DataFrame:
     """One label per department."""
-    return require_key(stg_ecln, "code_departement").groupBy("code_departement").agg(
-        constant_of("libelle_departement")
-    )
+    known = require_key(stg_ecln, "code_departement")
+    return constants(known, "code_departement", ["libelle_departement"])
 
 
 # --- intermediate ----------------------------------------------------------------

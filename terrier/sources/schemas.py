@@ -156,13 +156,19 @@ TABLES: dict[str, TableSpec] = {
 }
 
 
-def declare_table(spark: SparkSession, spec: TableSpec, name: str | None = None) -> str:
-    """Create the table if it is absent, with its fixed schema."""
+def declare_table(
+    spark: SparkSession, spec: TableSpec, name: str | None = None, location: str | None = None
+) -> str:
+    """Create the table if it is absent, with its fixed schema.
+
+    ``location`` puts its files there instead of the warehouse folder.
+    """
     name = name or spec.name
     by = f" PARTITIONED BY ({spec.partition})" if spec.partition else ""
+    at = f" LOCATION '{location}'" if location else ""
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} ({spec.columns}, {spec.version} TIMESTAMP) "
-        f"USING parquet{by}"
+        f"USING parquet{by}{at}"
     )
     return name
 

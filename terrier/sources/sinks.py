@@ -73,11 +73,12 @@ def append_with_load_ts(
 
 def materialize(
     df: DataFrame, name: str, mode: str = "view", sort_key: list[str] | None = None,
-    partition: str | None = None,
+    partition: str | None = None, location: str | None = None,
 ) -> DataFrame:
     """Keep a model as a view, or as a table laid out by its sort key.
 
     The sort key clusters rows so that file statistics can skip row groups.
+    ``location`` puts the files there instead of the warehouse folder.
     """
     spark = df.sparkSession
     if mode == "view":
@@ -89,6 +90,8 @@ def materialize(
     writer = out.write.mode("overwrite").format("parquet")
     if partition:
         writer = writer.partitionBy(partition)
+    if location:
+        writer = writer.option("path", location)
     writer.saveAsTable(name)
     return spark.table(name)
 
