@@ -517,7 +517,7 @@ def _report_sql() -> str:
 
 @query("Q05_quality_report", _report_sql())
 def quality_report(spark, sf):
-    w = Warehouse(spark, sf)
+    w = Warehouse(spark, sf, landed=True)
     made = {
         "stg_dvf": w.stg("dvf"), "stg_dpe": w.stg("dpe"), "fct_transactions": w.transactions,
         "dim_commune": warehouse.dim_commune(w.stg("dvf"), w.stg("rpls")),

@@ -383,7 +383,7 @@ def explain(spark, sf):
     "SELECT * EXCLUDE (code_commune, annee_min, annee_max, prix_m2_moy, prix_m2_q25, prix_m2_q75, "
     "prix_m2_med) FROM rpt_shap_commune"))
 def exclude(spark, sf):
-    w = Warehouse(spark, sf)
+    w = Warehouse(spark, sf, landed=True)
     from terrier.plans.features import rpt_shap_commune
 
     section = rpt_shap_commune(w.table, w.communes, w.ecln_year)

@@ -17,11 +17,12 @@ class Warehouse:
     """Tables of the warehouse over one data folder, each built once.
 
     Views are lazy. ``table`` gives the transactions as a written table, for the
-    reports that read them more than once.
+    reports that read them more than once. With ``landed`` the placed line items,
+    from which three raw tables derive, are written once as well.
     """
 
-    def __init__(self, spark: SparkSession, sf: str):
-        self.spark, self.sf = spark, sf
+    def __init__(self, spark: SparkSession, sf: str, landed: bool = False):
+        self.spark, self.sf, self.landed = spark, sf, landed
         self._made: dict[str, DataFrame] = {}
 
     def _once(self, name: str, make) -> DataFrame:
@@ -30,7 +31,12 @@ class Warehouse:
         return self._made[name]
 
     def raw(self, name: str) -> DataFrame:
-        return self._once(f"raw_{name}", lambda: getattr(roles, f"raw_{name}")(self.spark, self.sf))
+        make = getattr(roles, f"raw_{name}")
+        if self.landed and name in ("dvf", "sitadel", "rpls"):
+            placed = self._once("placed", lambda: cut_lineage(
+                roles.placed_items(self.spark, self.sf), "placed"))
+            return self._once(f"raw_{name}", lambda: make(self.spark, self.sf, placed))
+        return self._once(f"raw_{name}", lambda: make(self.spark, self.sf))
 
     def stg(self, name: str) -> DataFrame:
         make = getattr(staging, f"stg_{name}")
@@ -145,7 +151,7 @@ def int_sitadel(spark, sf):
 @query("A22_fct_transactions_enriched",
        compose(f"SELECT {', '.join(warehouse.ENRICHED_COLUMNS)} FROM fct_transactions_enriched"))
 def enriched(spark, sf):
-    w = Warehouse(spark, sf)
+    w = Warehouse(spark, sf, landed=True)
     return warehouse.fct_transactions_enriched(
         w.transactions, w.dpe, w.social, w.construction, w.ecln_year)
 
@@ -157,14 +163,14 @@ def rpt_prix_commune(spark, sf):
 
 @query("A24_rpt_dynamique_marche_dept", select("rpt_dynamique_marche_dept"))
 def rpt_dynamique(spark, sf):
-    w = Warehouse(spark, sf)
+    w = Warehouse(spark, sf, landed=True)
     return warehouse.rpt_dynamique_marche_dept(
         w.table, w.ecln_year, w.construction, w.dpe, w.departements)
 
 
 @query("A25_rpt_tension_immobiliere_dept", select("rpt_tension_immobiliere_dept"))
 def rpt_tension(spark, sf):
-    w = Warehouse(spark, sf)
+    w = Warehouse(spark, sf, landed=True)
     return warehouse.rpt_tension_immobiliere_dept(
         w.table, w.ecln_year, w.construction, w.social, w.departements)
 
@@ -177,17 +183,17 @@ def rpt_energy(spark, sf):
 
 @query("A27_panel_commune_mois", select("panel_commune_mois"))
 def panel(spark, sf):
-    return Warehouse(spark, sf).panel
+    return Warehouse(spark, sf, landed=True).panel
 
 
 @query("A28_rpt_features_commune_mois", select("rpt_features_commune_mois"))
 def rpt_features(spark, sf):
-    return Warehouse(spark, sf).features
+    return Warehouse(spark, sf, landed=True).features
 
 
 @query("A29_rpt_shap_commune", select("rpt_shap_commune"))
 def rpt_shap_commune(spark, sf):
-    w = Warehouse(spark, sf)
+    w = Warehouse(spark, sf, landed=True)
     return features.rpt_shap_commune(w.table, w.communes, w.ecln_year)
 
 

@@ -47,14 +47,19 @@ def _orders_placed(spark: SparkSession, sf: str) -> DataFrame:
     return orders.join(places, orders.o_custkey == places["_cust"])
 
 
-def _placed_items(spark: SparkSession, sf: str) -> DataFrame:
+def placed_items(spark: SparkSession, sf: str) -> DataFrame:
     """Line items with their order and place: two large sides, so a merge join."""
-    items = table(spark, sf, "lineitem")
-    placed = _orders_placed(spark, sf)
+    items = table(spark, sf, "lineitem").drop("l_suppkey")
+    placed = _orders_placed(spark, sf).select(
+        "o_orderkey", "code_commune", "nom_commune", "code_departement", "code_postal",
+        "code_region", "segment",
+    )
     return items.hint("merge").join(placed, items.l_orderkey == placed.o_orderkey)
 
 
-def raw_dvf(spark: SparkSession, sf: str) -> DataFrame:
+def raw_dvf(
+    spark: SparkSession, sf: str, placed: DataFrame | None = None
+) -> DataFrame:
     """Lots: line items placed in the customer's commune."""
     kind = (
         F.when(F.col("l_returnflag") == "A", "Appartement")
@@ -62,7 +67,8 @@ def raw_dvf(spark: SparkSession, sf: str) -> DataFrame:
         .when(F.col("l_linestatus") == "F", "Dépendance")
         .otherwise("")
     )
-    return _placed_items(spark, sf).select(
+    items = placed_items(spark, sf) if placed is None else placed
+    return items.select(
         F.col("l_orderkey").cast("string").alias("id_mutation"),
         F.to_date("l_shipdate").alias("date_mutation"),
         F.year("l_shipdate").alias("annee"),
@@ -145,10 +151,13 @@ FROM orders JOIN customer ON o_custkey = c_custkey
 """
 
 
-def raw_sitadel(spark: SparkSession, sf: str) -> DataFrame:
+def raw_sitadel(
+    spark: SparkSession, sf: str, placed: DataFrame | None = None
+) -> DataFrame:
     """Permits: lots by month and kind, plus the line that totals the kinds."""
+    items = placed_items(spark, sf) if placed is None else placed
     kinds = (
-        _placed_items(spark, sf)
+        items
         .groupBy(
             F.year("l_shipdate").alias("annee"), F.month("l_shipdate").alias("mois"),
             "code_commune", "code_departement", F.col("l_returnflag").alias("type_logement"),
@@ -259,11 +268,14 @@ GROUP BY GROUPING SETS (
 """
 
 
-def raw_rpls(spark: SparkSession, sf: str) -> DataFrame:
+def raw_rpls(
+    spark: SparkSession, sf: str, placed: DataFrame | None = None
+) -> DataFrame:
     """Social housing: line items by kind of part; many dwellings share one key."""
     part = table(spark, sf, "part")
     brand = F.regexp_extract("p_brand", r"(\d+)", 1).cast("int")
-    joined = _placed_items(spark, sf).join(part, F.col("l_partkey") == part.p_partkey)
+    items = placed_items(spark, sf) if placed is None else placed
+    joined = items.join(part, F.col("l_partkey") == part.p_partkey)
     return joined.select(
         F.year("l_shipdate").alias("annee"), "code_commune", "code_departement", "code_region",
         F.when(F.col("p_type") == "ECONOMY", "PLAI").when(F.col("p_type") == "STANDARD", "PLUS")
