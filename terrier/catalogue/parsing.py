@@ -11,8 +11,7 @@ from terrier.catalogue.marts import Warehouse
 from terrier.catalogue.registry import query
 from terrier.catalogue.roles import table
 from terrier.catalogue.sql import compose as _compose
-from terrier.catalogue.sql import newest
-from terrier.catalogue.texts import NBSP, TEXT_BLOCKS, TEXTS, cents_text, text_table
+from terrier.catalogue.texts import NBSP, TEXT_BLOCKS, text_table
 from terrier.functions import text as tx
 from terrier.operators import rows
 from terrier.operators.dedup import dedup_latest

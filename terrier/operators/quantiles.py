@@ -164,12 +164,6 @@ def profile_columns(df: DataFrame, columns: list[str], digits: int = 4) -> DataF
     )
 
 
-def small_group_quantiles(value: str, wanted: dict[str, float], digits: int) -> list[Column]:
-    """Aggregates for groups whose distinct values are few by construction."""
-    return [settle(F.percentile(F.col(value), F.lit(float(p))), digits).alias(name)
-            for name, p in wanted.items()]
-
-
 def approx_quantiles(
     value: str, wanted: dict[str, float], digits: int, accuracy: int = 10000
 ) -> list[Column]:
