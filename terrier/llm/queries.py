@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from terrier.llm import bpe, packing, quality, rules
+from terrier.llm import bpe, dedup, licenses, packing, pii, quality, rules, search, urls
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -46,3 +46,41 @@ def op5_bpe(spark, sf):
 def op6_quality_rules(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
     return rules.judge(docs, rules.fit(docs, table(spark, sf, "labels"))).drop("text")
+
+
+@query
+def op8_pii(spark, sf):
+    return pii.digest(pii.detect(table(spark, sf, "documents").select("doc_id", "text")))
+
+
+@query
+def op9_license_scan(spark, sf):
+    return licenses.scan(table(spark, sf, "documents"))
+
+
+@query
+def op4_url_filter(spark, sf):
+    return urls.judge(table(spark, sf, "pages"), table(spark, sf, "labels"))
+
+
+@query
+def op10_topk_search(spark, sf):
+    return search.top_k(table(spark, sf, "embeddings"))
+
+
+ORACLES["op10_topk_search"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM p QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5
+"""
+
+
+@query
+def op7_minhash_near_dedup(spark, sf):
+    return dedup.classes(table(spark, sf, "documents").select("doc_id", "text"))
