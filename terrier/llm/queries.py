@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from terrier.llm import bpe, dedup, licenses, packing, pii, quality, rules, search, urls
+from terrier.llm import bpe, dedup, licenses, lm, packing, pii, quality, rules, search, urls
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -84,3 +84,8 @@ FROM p QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec
 @query
 def op7_minhash_near_dedup(spark, sf):
     return dedup.classes(table(spark, sf, "documents").select("doc_id", "text"))
+
+
+@query
+def op1_lm_scoring(spark, sf):
+    return lm.score(table(spark, sf, "documents"))
