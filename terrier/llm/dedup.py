@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 from terrier.llm.blocks import blocks, grams, mix, whole_windows
 from terrier.session import cut_lineage
 
-SHINGLE, SIMILARITY, SKETCHES, SAMPLED, CHUNK, BAND = 5, 0.8, 20, 3, 128, 32
-_SKETCHED = "doc_id long, h1 long, h2 long, sketches array<long>, words binary"
+SHINGLE, SIMILARITY, SKETCHES, SAMPLED, CHUNK, BAND = 5, 0.8, 20, 3, 512, 32
+_SKETCHED = "doc_id long, h1 long, h2 long, sketches array<long>"
 
 
 def shingles(words: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -96,7 +96,7 @@ def sketch(keys: np.ndarray, owners: np.ndarray, n: int) -> np.ndarray:
 
 
 def sketched(docs: DataFrame) -> DataFrame:
-    """Per row: 128-bit digest of the words, sketches, word hashes (32 bits each)."""
+    """Per row: 128-bit digest of the words, sketches; a text without words has NULL sketches."""
     def run(batches):
         for block in blocks(batches, "text", 2 << 20):
             starts, ends = block.words
@@ -104,7 +104,6 @@ def sketched(docs: DataFrame) -> DataFrame:
             keys, owners = shingles(words, counts)
             rows = sketch(keys, owners, block.count).astype(np.int64)
             stops = np.cumsum(counts)
-            own = [words[e - n: e] for e, n in zip(stops, counts)]
             digests = []
             for k in (1, 2):
                 place = np.arange(len(words)) - np.repeat(stops - counts, counts)
@@ -113,12 +112,24 @@ def sketched(docs: DataFrame) -> DataFrame:
                 digests.append(mix(total[stops] - total[stops - counts] + counts.astype(np.uint64)).astype(np.int64))
             yield pa.RecordBatch.from_arrays([
                 block.rows.column("doc_id").cast(pa.int64()), pa.array(digests[0]), pa.array(digests[1]),
-                pa.array(list(rows), pa.list_(pa.int64())),
-                pa.array([w.astype(np.uint32).tobytes() for w in own], pa.binary())], names=["doc_id", "h1", "h2", "sketches", "words"])
+                pa.array([r if n else None for r, n in zip(rows, counts)], pa.list_(pa.int64()))], names=["doc_id", "h1", "h2", "sketches"])
 
     return docs.select("doc_id", "text").mapInArrow(run, _SKETCHED)
 
 
+def word_hashes(docs: DataFrame) -> DataFrame:
+    """id and word hashes (32 bits each) of the texts of ``docs``."""
+    def run(batches):
+        for block in blocks(batches, "text", 2 << 20):
+            words, counts = block.hashes(*block.words).astype(np.uint32), block.counts(block.words[0])
+            stops = np.cumsum(counts)
+            yield pa.RecordBatch.from_arrays([
+                block.rows.column("doc_id").cast(pa.int64()),
+                pa.array([words[e - n: e].tobytes() for e, n in zip(stops, counts)], pa.binary())], names=["id", "words"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, "id long, words binary")
+
+
 class Chunk:
     """Members of a chunk with their shingles, and the classes that links have joined."""
 
@@ -141,6 +152,9 @@ class Chunk:
 
     def shared(self) -> np.ndarray:
         """Shared distinct shingles of all members, counted by columns of shared shingles."""
+        if len(self.sets) == 2:
+            n = len(np.intersect1d(*self.sets, assume_unique=True))
+            return np.array([[len(self.sets[0]), n], [n, len(self.sets[1])]], np.float32)
         every = np.concatenate(self.sets) if self.sets else np.zeros(0, np.uint64)
         rows = np.repeat(np.arange(len(self.sets)), [len(s) for s in self.sets])
         keys, columns, counts = np.unique(every, return_inverse=True, return_counts=True)
@@ -273,14 +287,11 @@ def classes(docs: DataFrame) -> DataFrame:
     """
     known = docs.where(F.col("doc_id").isNotNull())
     rows = cut_lineage(sketched(known), "sketches")
-    firsts = rows.groupBy("h1", "h2").agg(F.min("doc_id").alias("id"))
-    reps = cut_lineage(rows.select("doc_id", "h1", "h2").join(firsts, ["h1", "h2"]).select("doc_id", F.col("id").alias("rep")), "representatives")
-    heads = rows.join(reps.where("doc_id = rep").select("doc_id").distinct(), "doc_id").where(F.length("words") > 0)
-    heads = cut_lineage(heads.groupBy(F.col("doc_id").alias("id")).agg(F.first("sketches").alias("sketches"), F.first("words").alias("words")), "heads")
-    links = near_links(heads)
-    found = components(links) if links is not None else None
-    named = reps.join(found.withColumnRenamed("id", "rep"), "rep", "left") if found is not None else reps.withColumn("class", F.lit(None).cast("long"))
-    out = named.select("doc_id", F.coalesce("class", "rep").alias("class_id"))
+    firsts = cut_lineage(rows.groupBy("h1", "h2").agg(F.min("doc_id").alias("id"), F.min_by("sketches", "doc_id").alias("sketches")), "heads")
+    reps = rows.select("doc_id", "h1", "h2").join(firsts.select("h1", "h2", "id"), ["h1", "h2"]).select("doc_id", F.col("id").alias("rep"))
+    links = near_links(firsts.where("sketches IS NOT NULL").select("id", "sketches"), known)
+    named = reps.join(components(links).withColumnRenamed("id", "rep"), "rep", "left")
+    out = cut_lineage(named.select("doc_id", F.coalesce("class", "rep").alias("class_id")), "classes")
     sizes = out.groupBy("class_id").agg(F.count("*").alias("class_size"))
     out = out.join(sizes, "class_id").select("doc_id", "class_id", "class_size")
     lost = docs.where(F.col("doc_id").isNull()).select(F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("long").alias("class_id"), F.lit(1).cast("long").alias("class_size"))
@@ -296,13 +307,19 @@ def buckets(heads: DataFrame) -> DataFrame:
     return placed.join(once, "bucket")
 
 
-def near_links(heads: DataFrame) -> DataFrame:
-    """Links (a, b) that join all near-duplicate representatives."""
+def near_links(heads: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links (a, b) that join all near-duplicate representatives.
+
+    Only texts of documents in a bucket are read again and moved; those of one id twice
+    count with the text of the smallest order. The join is a sort-merge join at every size.
+    """
     members = cut_lineage(buckets(heads), "buckets")
     chunks = F.expr(f"cast(ceil(n / {CHUNK}) as long)")
     dealt = members.withColumns({"chunk": F.pmod(F.xxhash64("id"), chunks), "side": F.lit(0), "class": F.col("id")})
     schema = "a long, b long"
-    words = heads.select("id", "words")
+    asked = members.select(F.col("id").alias("doc_id")).distinct()
+    texts = docs.select("doc_id", "text").join(asked.hint("merge"), "doc_id", "left_semi")
+    words = cut_lineage(word_hashes(texts).groupBy("id").agg(F.min("words").alias("words")), "words")
     first = cut_lineage(dealt.join(words, "id").groupBy("bucket", "chunk").applyInArrow(_compare, schema), "links")
     large = members.where(f"n > {CHUNK}")
     if not large.head(1):
