@@ -20,6 +20,8 @@ Similarity is shared over all distinct shingles (Jaccard); links have 0.8 or mor
 
 from __future__ import annotations
 
+from bisect import bisect_left
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -140,6 +142,7 @@ class Chunk:
             seq = np.frombuffer(data, np.uint32).astype(np.uint64)
             self.runs.append(shingles(seq, np.array([len(seq)]))[0])
         self.sets = [np.unique(r) for r in self.runs]
+        self.labelled = [mix(r + mix(occurrences(r, np.zeros(len(r), np.int64)).astype(np.uint64))) for r in self.runs]
         self.parent = {c: c for c in classes}
         self.classes = classes
         self.links: list[tuple[int, int]] = []
@@ -189,7 +192,7 @@ class Chunk:
         return self.links
 
     def similar(self, i: int, j: int, both: float) -> bool:
-        aligned = banded(self.runs[i], self.runs[j])
+        aligned = np.unique(self.runs[i][banded(self.labelled[i], self.labelled[j])])
         union = len(self.sets[i]) + len(self.sets[j]) - both
         if len(aligned) >= SIMILARITY * union:
             return True
@@ -197,48 +200,28 @@ class Chunk:
 
 
 def banded(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Distinct shingles that a banded alignment of two runs matches in order.
+    """Places in ``a`` that the longest alignment within the band matches with ``b``.
 
-    Equal beginnings and ends are matched first; the rest is aligned by dynamic programming
-    over the diagonals within the band. Rests over 4 million cells keep the matched ends only.
+    Labelled shingles are distinct within a text, so an alignment is an increasing chain of
+    equal places; places further apart than the band (and the difference in length) are
+    left out, and the longest chain is found by bisection.
     """
-    n = min(len(a), len(b))
-    head = int(np.argmin(np.append(a[:n] == b[:n], False)))
-    tail = int(np.argmin(np.append(a[::-1][: n - head] == b[::-1][: n - head], False)))
-    matched = [a[:head], a[len(a) - tail:]]
-    x, y = a[head: len(a) - tail], b[head: len(b) - tail]
-    band = BAND + abs(len(x) - len(y))
-    if len(x) and len(y) and len(x) * (2 * band + 1) <= 4_000_000:
-        # Row by row over the band: best[d] is the longest match ending on diagonal d.
-        width = 2 * band + 1
-        best, steps = np.zeros(width + 1, np.int32), np.zeros((len(x), width), np.int8)
-        offsets = np.arange(width) - band
-        for i in range(len(x)):
-            j = offsets + i
-            inside = (j >= 0) & (j < len(y))
-            equal = np.zeros(width, bool)
-            equal[inside] = y[j[inside]] == x[i]
-            diagonal = best[:-1] + equal
-            above = best[1:]
-            row = np.maximum(diagonal, above)
-            run = np.maximum.accumulate(row)
-            steps[i] = np.where(equal & (diagonal == run), 1, np.where(row == run, np.where(diagonal == run, 0, 2), 3))
-            best[:-1] = run
-            best[-1] = 0
-        i, d, found = len(x) - 1, int(np.clip(len(y) - 1 - (len(x) - 1) + band, 0, width - 1)), []
-        while i >= 0 and d >= 0 and d < width and 0 <= i + d - band:
-            step = steps[i, d]
-            if step == 1:
-                found.append(x[i])
-                i -= 1
-            elif step == 0:
-                i -= 1
-            elif step == 2:
-                i, d = i - 1, d + 1
-            else:
-                d -= 1
-        matched.append(np.array(found, np.uint64))
-    return np.unique(np.concatenate(matched))
+    _, x, y = np.intersect1d(a, b, assume_unique=True, return_indices=True)
+    near = np.abs(x - y) <= BAND + abs(len(a) - len(b))
+    order = np.argsort(x[near])
+    x, y = x[near][order], y[near][order]
+    if not len(y) or (np.diff(y) > 0).all():
+        return x
+    tails, heads, back = [], [], np.empty(len(y), np.int64)
+    for k, v in enumerate(y.tolist()):
+        at = bisect_left(tails, v)
+        back[k] = heads[at - 1] if at else -1
+        tails[at: at + 1], heads[at: at + 1] = [v], [k]
+    chain, k = [], heads[-1]
+    while k >= 0:
+        chain.append(k)
+        k = back[k]
+    return x[chain[::-1]]
 
 
 def _compare(table: pa.Table) -> pa.Table:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrier.llm.blocks import Block, blocks, mix
-from terrier.llm.training import PARTS, emit, summed
+from terrier.llm.training import PARTS, averaged, emit
 from terrier.session import cut_lineage
 
 CLASSES, BUCKETS, BATCH = 32, 1 << 13, 1 << 14
@@ -49,7 +49,7 @@ def coded(docs: DataFrame, modulus: int, remainder: int) -> DataFrame:
     """Blocks of coded texts. Token 0 of a block is the end of a text (empty bytes)."""
     def run(batches):
         number = 0
-        for block in blocks(batches, "text", 8 << 20, lower=True):
+        for block in blocks(batches, "text", 16 << 20, lower=True):
             starts, ends = block.words
             words, codes = block.codes(starts, ends)
             per = block.counts(starts)
@@ -106,9 +106,12 @@ def filled(parts: DataFrame) -> DataFrame:
     all blocks counts every token once.
     """
     asked = parts.select("block", F.posexplode(F.arrays_zip("tokens", "counts")).alias("code", "x"))
-    asked = asked.select("block", "code", F.col("x")["tokens"].alias("token"), F.col("x")["counts"].alias("count"))
+    # Code and count travel in one number, and so do the count found and the mark of its first block.
+    half = F.lit(1 << 32)
+    asked = asked.select("block", F.col("x")["tokens"].alias("token"), (F.col("code").cast("long") * half + F.col("x")["counts"]).alias("told"))
     same = Window.partitionBy("token")
-    told = asked.select("block", "code", F.sum("count").over(same).alias("known"), (F.col("block") == F.min("block").over(same)).alias("first"))
+    told = asked.select("block", F.shiftright("told", 32).cast("int").alias("code"),
+                        (F.sum(F.col("told").bitwiseAND(half - 1)).over(same) * 2 + (F.col("block") == F.min("block").over(same)).cast("long")).alias("known"))
 
     def join(left: pa.Table, right: pa.Table) -> pa.Table:
         if not len(left):
@@ -116,7 +119,7 @@ def filled(parts: DataFrame) -> DataFrame:
         kinds = _unpacked(left["kinds"][0].as_py(), np.uint8)
         known, first = np.zeros(len(kinds), np.int64), np.zeros(len(kinds), bool)
         at = right["code"].to_numpy()
-        known[at], first[at] = right["known"].to_numpy(), right["first"].to_numpy(zero_copy_only=False)
+        known[at], first[at] = right["known"].to_numpy() >> 1, (right["known"].to_numpy() & 1) > 0
         use = first & (known > 0)
         totals = np.stack([np.bincount(kinds[use], weights=known[use], minlength=CLASSES), np.bincount(kinds[use], minlength=CLASSES)])
         return left.append_column("known", pa.array([_packed(known)], pa.binary())).append_column("totals", pa.array([totals.astype(np.float64).tobytes()], pa.binary()))
@@ -183,12 +186,12 @@ def train(parts: DataFrame, rounds: int = 2, rate: float = 0.5) -> np.ndarray:
             for batch in batches:
                 for k in range(len(batch)):
                     tokens += train_on(batch.slice(k, 1).to_pylist()[0], mine, seen, rate)
-            yield emit((mine - shared.value) * np.float32(tokens), float(tokens))
+            yield emit(mine - shared.value, float(tokens))
 
         share = parts.where(F.pmod(F.xxhash64("block"), F.lit(rounds)) == r)
-        change, tokens = summed(share.select("held", "sizes", "codes", "kinds", "hashes").mapInArrow(run, PARTS))
+        change, tokens = averaged(share.select("held", "sizes", "codes", "kinds", "hashes").mapInArrow(run, PARTS))
         if tokens:
-            weights = weights + (change / tokens).reshape(weights.shape).astype(np.float32)
+            weights = weights + change.reshape(weights.shape)
         shared.unpersist()
     return weights
 

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from terrier.llm.blocks import LOWER, WHITE, Block, blocks, mix
-from terrier.llm.training import PARTS, emit, labelled_sample, summed
+from terrier.llm.training import PARTS, averaged, emit, labelled_sample
 from terrier.session import cut_lineage
 
 BUCKETS, DIMENSIONS, NONZERO, WINDOW = 1 << 14, 48, 4, 2
@@ -168,9 +168,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int =
             words, shapes, owner = tokens(block)
             contexts(words, owner, index, out)
             n += len(words)
-        yield emit(out, float(n))
+        yield emit(out / max(n, 1) * 1e3, float(n))
 
-    total, _ = summed(sample.mapInArrow(learn, PARTS))
+    total, _ = averaged(sample.mapInArrow(learn, PARTS))
     vectors = unit(total.reshape(BUCKETS, DIMENSIONS)) if len(total) else np.zeros((BUCKETS, DIMENSIONS), np.float32)
     shared = docs.sparkSession.sparkContext.broadcast(vectors)
 

@@ -1,4 +1,4 @@
-"""Sums of large arrays over all tasks, and bounded samples of labelled rows."""
+"""Means of large arrays over all tasks, and bounded samples of labelled rows."""
 
 from __future__ import annotations
 
@@ -12,8 +12,8 @@ SCHEMA = pa.schema([("part", pa.int32()), ("weight", pa.float64()), ("data", pa.
 
 
 def emit(array: np.ndarray, weight: float, parts: int = 16) -> pa.RecordBatch:
-    """Rows that ``summed`` adds up: the array in a few parts, with a weight."""
-    pieces = np.array_split(np.ascontiguousarray(array, np.float32).reshape(-1), parts)
+    """Rows that ``averaged`` takes, with their weight: the array in a few parts, in half precision."""
+    pieces = np.array_split(np.ascontiguousarray(np.clip(array, -6e4, 6e4), np.float16).reshape(-1), parts)
     return pa.RecordBatch.from_arrays([
         pa.array(range(len(pieces)), pa.int32()), pa.array([weight] * len(pieces)),
         pa.array([x.tobytes() for x in pieces], pa.binary())], schema=SCHEMA)
@@ -23,21 +23,21 @@ def _add(batches):
     sums: dict[int, list] = {}
     for batch in batches:
         for row in batch.to_pylist():
-            values = np.frombuffer(row["data"], np.float32).astype(np.float64)
+            values = np.frombuffer(row["data"], np.float16).astype(np.float64) * row["weight"]
             if row["part"] in sums:
                 sums[row["part"]][0] += row["weight"]
                 sums[row["part"]][1] += values
             else:
                 sums[row["part"]] = [row["weight"], values]
     for part, (weight, values) in sums.items():
-        yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([weight]), pa.array([values.astype(np.float32).tobytes()], pa.binary())], schema=SCHEMA)
+        yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([weight]), pa.array([(values / max(weight, 1e-9)).astype(np.float16).tobytes()], pa.binary())], schema=SCHEMA)
 
 
-def summed(parts: DataFrame, fan_in: int = 64) -> tuple[np.ndarray, float]:
-    """The sum of the arrays of all tasks (rows of ``emit``) and of their weights.
+def averaged(parts: DataFrame, fan_in: int = 64) -> tuple[np.ndarray, float]:
+    """The weighted mean of the arrays of all tasks (rows of ``emit``) and the sum of weights.
 
     Tasks of the first level add up the rows of ``fan_in`` sources or so, those of the
-    second the rest; each holds one array at a time. Only the sum reaches the driver.
+    second the rest; each holds one array at a time. Only the mean reaches the driver.
     """
     sources = max(1, parts.rdd.getNumPartitions())
     if sources > fan_in:
@@ -45,7 +45,7 @@ def summed(parts: DataFrame, fan_in: int = 64) -> tuple[np.ndarray, float]:
     rows = sorted(parts.repartition(8, "part").mapInArrow(_add, PARTS).collect(), key=lambda r: r["part"])
     if not rows:
         return np.zeros(0, np.float32), 0.0
-    return np.concatenate([np.frombuffer(r["data"], np.float32) for r in rows]), rows[0]["weight"]
+    return np.concatenate([np.frombuffer(r["data"], np.float16) for r in rows]).astype(np.float32), rows[0]["weight"]
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int) -> DataFrame:
