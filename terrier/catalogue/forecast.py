@@ -215,7 +215,7 @@ def backtest(spark, sf):
 
 @query("M10_backtest_gbt_metrics")
 def backtest_metrics(spark, sf):
-    done = fc.backtest_gbt(_loaded(spark, sf), "essai", DENSE_NUMBERS, SMALL_TREES, last_only=True)
+    done = fc.backtest_gbt(_loaded(spark, sf), "essai", DENSE_NUMBERS, SMALL_TREES)
     return done.metrics.drop("run_date")
 
 
@@ -240,7 +240,7 @@ def permutation(spark, sf):
     df = cut_lineage(_loaded(spark, sf), "loaded")
     done = fc.backtest_gbt(df, "essai", DENSE_NUMBERS, SMALL_TREES, last_only=True)
     return fc.permutation_importance(
-        df, list(done.models.values())[-1], DENSE_NUMBERS[:4], [ENTITY, "annee", "mois"])
+        df, list(done.models.values())[-1], DENSE_NUMBERS, [ENTITY, "annee", "mois"])
 
 
 # --- metrics, on the naive forecast (last month's mean) ----------------------------------------

@@ -40,7 +40,7 @@ def _declared(spark, spec: str) -> str:
 
 def _landed_csv(spark, sf, name: str, sep: str, gzip: bool = False) -> str:
     path = fresh_path(spark, name)
-    writer = text_table(spark, sf, name).write.option("header", True).option("sep", sep)
+    writer = text_table(spark, sf, name).write.options(header=True, sep=sep, escape='"')
     if gzip:
         writer = writer.option("compression", "gzip")
     writer.csv(path)

@@ -16,7 +16,7 @@ def newest(table: str, key: str | None, blanks: tuple[str, ...], have: set[str]
     spec = TABLES[table]
     cols = [c for c in spec.data_columns]
     picked = ", ".join(f"nullif({c}, '') AS {c}" if c in blanks else c for c in cols)
-    order = ", ".join(f"{c} DESC NULLS LAST" for c in (spec.version, *spec.ties))
+    order = ", ".join(f"{c} DESC NULLS LAST" for c in (spec.version, *spec.all_ties))
     where = f"WHERE {key} <> ''" if key else ""
     return (
         f"SELECT {picked} FROM {table} {where} "

@@ -33,9 +33,11 @@ def _name(column: str) -> str:
 def value_band(value: str) -> str:
     """SQL for the order-preserving band of a number: equal steps on a logarithmic scale.
 
-    Never NULL, so that no plan around it adds a filter on it.
+    Never NULL, so that no plan around it adds a filter on it. Infinities have the bands
+    at the ends, NaN the one after them, as it sorts last.
     """
-    return f"coalesce(floor(signum({value}) * log1p(abs({value})) * {BANDS_PER_E_FOLD}), 0L)"
+    scaled = f"signum({value}) * least(log1p(abs({value})), 1000D) * {BANDS_PER_E_FOLD}"
+    return f"CASE WHEN isnan({value}) THEN 1000000L ELSE coalesce(floor({scaled}), 0L) END"
 
 
 def _rank(p: float) -> str:

@@ -171,14 +171,15 @@ def feature_importance(model: PipelineModel, numeric: list[str], k: int = 20) ->
 
 def permutation_importance(
     df: DataFrame, model: PipelineModel, numeric: list[str], keys: list[str],
-    rows_per_block: int = 100_000, seed: int = 42,
+    blocks: int = 64, seed: int = 42,
 ) -> DataFrame:
-    """Growth of the error when one feature is exchanged between rows.
+    """Growth of the error when one feature is exchanged between rows of a block.
+
+    ``blocks`` is the number of random blocks at every size of the data; give a few per
+    task, so that a block fits in one.
 
     This ranks features of a tree model; it is not an additive attribution.
     """
-    n = df.count()
-    blocks = max(1, -(-n // rows_per_block))
     base = model.transform(df).agg(mae(TARGET, "prediction").alias("b"))
     pages = []
     for feature in numeric:

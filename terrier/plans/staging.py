@@ -18,7 +18,7 @@ def _stage(
     # The key is part of the replacing key, so dropping empty ones first is the
     # same and lets the filter reach the scan.
     kept = require_key(raw, key) if key else raw
-    newest = dedup_latest(kept, list(spec.keys), spec.version, list(spec.ties))
+    newest = dedup_latest(kept, list(spec.keys), spec.version, spec.all_ties)
     return newest.select(*[
         null_blank(c).alias(c) if c in blanks else F.col(c) for c in spec.data_columns
     ])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import os
+import re
 import shutil
 import tempfile
 import uuid
@@ -42,7 +43,7 @@ def shared_folder(spark: SparkSession) -> str:
     if folder:
         return folder
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     if context.applicationId not in _LOCAL:
         made = tempfile.mkdtemp(prefix="terrier-")

@@ -118,11 +118,16 @@ def parse_ecln(raw: DataFrame, since: str | None = None) -> DataFrame:
 
 
 def parse_eptb(land: DataFrame, houses: DataFrame) -> DataFrame:
-    """Land and house prices side by side; a missing side is NULL."""
+    """Land and house prices side by side; a missing side is NULL.
+
+    A missing part of a zone's key is blank on both sides, so its halves meet.
+    """
     zone = list(ZONE_NAMES.values())
-    both = rename_to_schema(land, LAND_NAMES).join(
-        rename_to_schema(houses, HOUSE_NAMES), zone, "full"
-    )
+    sides = [
+        df.withColumns({c: tx.blank_null(c) for c in zone if c in df.columns})
+        for df in (rename_to_schema(land, LAND_NAMES), rename_to_schema(houses, HOUSE_NAMES))
+    ]
+    both = sides[0].join(sides[1], zone, "full")
     return _ordered(_typed(both, "raw_eptb"), "raw_eptb")
 
 

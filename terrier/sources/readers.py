@@ -12,17 +12,31 @@ def text_schema(columns: list[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
-def read_csv(spark: SparkSession, path: str, sep: str = ";") -> DataFrame:
+# Texts that mean a missing value in the source files.
+MISSING = ("NA", "N/A", "n/a", "NULL", "null", "NaN", "nan", "None", "#N/A", "<NA>")
+
+
+def read_csv(
+    spark: SparkSession, path: str, sep: str = ";", missing: tuple[str, ...] = MISSING,
+    line_breaks: bool = True,
+) -> DataFrame:
     """CSV with a header, all columns as text.
 
+    A quoted value may hold the separator, doubled quotes and, with ``line_breaks``,
+    line breaks; a file is then read by one task. Where no value has line breaks, False
+    lets Spark split large uncompressed files. Texts in ``missing`` become NULL.
+
     The columns are those of the header, so an unknown or missing one does no
     harm; the parsers pick what they know. Files of one path must agree: a file
     whose header differs fails the job instead of shifting its columns.
     """
-    options = {"sep": sep, "header": True, "inferSchema": False}
+    options = {"sep": sep, "header": True, "inferSchema": False, "quote": '"', "escape": '"',
+               "multiLine": line_breaks}
     names = spark.read.options(**options).csv(path).columns
     reader = spark.read.options(**options, enforceSchema=False)
-    return reader.schema(text_schema(names)).csv(path)
+    rows = reader.schema(text_schema(names)).csv(path)
+    quoted = {n: F.col("`" + n.replace("`", "``") + "`") for n in names}
+    return rows.select(*[F.when(~c.isin(*missing), c).alias(n) for n, c in quoted.items()])
 
 
 def read_plain_csv(spark: SparkSession, path: str) -> DataFrame:

@@ -32,6 +32,12 @@ class TableSpec:
         pairs = [c.split() for c in f"{self.columns}, {self.version} TIMESTAMP".split(",")]
         return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
+    @property
+    def all_ties(self) -> list[str]:
+        """The declared ties, then every other data column, so that only equal rows tie."""
+        rest = [c for c in self.data_columns if c not in (*self.keys, *self.ties)]
+        return [*self.ties, *rest]
+
     @property
     def data_columns(self) -> list[str]:
         return [f.name for f in self.schema.fields if f.name != self.version]

@@ -184,3 +184,11 @@ def test_quality_report(spark):
 def test_declared_checks_cover_the_tables():
     for rules in qa.DECLARED.values():
         assert rules["not_null"]
+
+
+def test_quantiles_rank_nan_last(spark):
+    from terrier.operators.quantiles import value_band
+
+    rows = spark.createDataFrame([(x,) for x in (5.0, float("nan"), float("inf"), float("-inf"))], "v double")
+    bands = [r[0] for r in rows.selectExpr(f"{value_band('v')} AS b").collect()]
+    assert bands[3] < bands[0] < bands[2] < bands[1]

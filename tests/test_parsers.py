@@ -126,3 +126,22 @@ def test_rpls_insee_macro(spark):
 def test_label_of(spark):
     df = spark.createDataFrame([("a",), ("z",)], "v STRING")
     assert [r[0] for r in df.select(tx.label_of(F.col("v"), {"a": "A!"})).collect()] == ["A!", "z"]
+
+
+def test_csv_keeps_quotes_separators_and_line_breaks(spark, tmp_path):
+    from terrier.sources.readers import read_csv
+
+    (tmp_path / "a.csv").write_text('id,nom\n1,"dit ""le Clos"" nord, bis"\n2,"deux\nlignes"\n3,NA\n')
+    rows = {r["id"]: r["nom"] for r in read_csv(spark, str(tmp_path / "a.csv"), ",").collect()}
+    assert rows == {"1": 'dit "le Clos" nord, bis', "2": "deux\nlignes", "3": None}
+
+
+def test_zone_without_a_label_keeps_both_halves(spark):
+    from terrier.sources.parsers import HOUSE_NAMES, LAND_NAMES, ZONE_NAMES, parse_eptb
+
+    zone = {v: k for k, v in ZONE_NAMES.items()}
+    def side(names):
+        back = {v: k for k, v in names.items()}
+        values = {back.get(c, zone.get(c)): v for c, v in {"annee": "2020", "zone_code": "7", "zone_libelle": None}.items() if back.get(c, zone.get(c))}
+        return spark.createDataFrame([tuple(values.values())], ", ".join(f"`{c}` string" for c in values))
+    assert parse_eptb(side(LAND_NAMES), side(HOUSE_NAMES)).count() == 1
