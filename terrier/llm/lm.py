@@ -30,7 +30,7 @@ from terrier.llm.blocks import Block, blocks, mix
 from terrier.llm.training import PARTS, averaged, emit
 from terrier.session import cut_lineage
 
-CLASSES, BUCKETS, BATCH = 32, 1 << 13, 1 << 14
+CLASSES, BUCKETS, BATCH = 32, 1 << 12, 1 << 14
 _FEATURES = 3 * BUCKETS + 1                      # the last row is the bias
 _BEGIN = np.uint32(0x51ED270B)
 CODED = "block long, ids binary, held binary, sizes binary, codes binary, kinds binary, hashes binary, tokens array<binary>, counts array<long>"
@@ -49,7 +49,7 @@ def coded(docs: DataFrame, modulus: int, remainder: int) -> DataFrame:
     """Blocks of coded texts. Token 0 of a block is the end of a text (empty bytes)."""
     def run(batches):
         number = 0
-        for block in blocks(batches, "text", 16 << 20, lower=True):
+        for block in blocks(batches, "text", 12 << 20, lower=True):
             starts, ends = block.words
             words, codes = block.codes(starts, ends)
             per = block.counts(starts)
