@@ -13,7 +13,9 @@ that the shared shingles stand in the same order, as they do after small edits.
    A pair is settled by a banded alignment of its shingles; a pair whose shingles moved
    further than the band is settled on the shingle sets.
 4. Links give connected components. Where a bucket has several chunks and still several
-   components, chunks of different components are compared in the same way.
+   components, one member of each component is compared first, so that a large group of
+   near copies becomes one component; then chunks of different components are compared
+   in the same way.
 
 Similarity is shared over all distinct shingles (Jaccard); links have 0.8 or more.
 """
@@ -31,6 +33,8 @@ from terrier.llm.blocks import blocks, grams, mix, whole_windows
 from terrier.session import cut_lineage
 
 SHINGLE, SIMILARITY, SKETCHES, SAMPLED, CHUNK, BAND = 5, 0.8, 20, 3, 512, 32
+#: Turns in which only heads of classes meet; what they leave apart is compared whole.
+HEAD_TURNS = 3
 _SKETCHED = "doc_id long, h1 long, h2 long, sketches array<long>"
 
 
@@ -307,9 +311,16 @@ def near_links(heads: DataFrame, docs: DataFrame) -> DataFrame:
     large = members.where(f"n > {CHUNK}")
     if not large.head(1):
         return first
-    # Buckets of several chunks: compare what is still apart.
-    grown = components(first)
-    known = large.join(grown, "id", "left").withColumn("class", F.coalesce("class", "id"))
+    # Buckets of several chunks: heads of classes first, so that large groups become one class.
+    links, known = first, with_classes(large, first)
+    for turn in range(HEAD_TURNS):
+        met = class_heads(known, turn).join(words, "id").groupBy("bucket", "chunk").applyInArrow(_compare, schema)
+        met = cut_lineage(met, "links")
+        if not met.head(1):
+            break
+        links = links.unionByName(met)
+        known = with_classes(large, links)
+    # Then compare all that is still apart.
     apart = known.groupBy("bucket").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo <> hi").select("bucket")
     # Chunks in order of class, so that chunks of one class are told apart from mixed ones.
     place = F.row_number().over(Window.partitionBy("bucket").orderBy("class", "id")) - 1
@@ -323,7 +334,22 @@ def near_links(heads: DataFrame, docs: DataFrame) -> DataFrame:
         F.array(F.struct(F.lit(0).alias("side"), F.col("left").alias("chunk")), F.struct(F.lit(1).alias("side"), F.col("right").alias("chunk"))))).alias("s"))
     sides = sides.select("bucket", "left", "right", F.col("s")["side"].alias("side"), F.col("s")["chunk"].alias("chunk"))
     second = sides.join(placed, ["bucket", "chunk"]).join(words, "id").groupBy("bucket", "left", "right").applyInArrow(_compare, schema)
-    return cut_lineage(first.unionByName(second), "links")
+    return cut_lineage(links.unionByName(second), "links")
+
+
+def with_classes(members: DataFrame, links: DataFrame) -> DataFrame:
+    """``members`` with the class that ``links`` give each; an id without a link is its own."""
+    known = members.join(components(links), "id", "left").withColumn("class", F.coalesce("class", "id"))
+    return cut_lineage(known, "known")
+
+
+def class_heads(known: DataFrame, turn: int) -> DataFrame:
+    """One member of each class of a bucket with several, dealt into chunks; another one each turn."""
+    mark = F.xxhash64("id", F.lit(turn))
+    heads = known.groupBy("bucket", "class").agg(F.min_by("id", mark).alias("id"))
+    sizes = heads.groupBy("bucket").agg(F.count("*").alias("heads")).where("heads > 1")
+    chunks = F.ceil(F.col("heads") / CHUNK).cast("long")
+    return heads.join(sizes, "bucket").select("bucket", "id", "class", F.pmod(mark, chunks).alias("chunk"), F.lit(0).alias("side"))
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
