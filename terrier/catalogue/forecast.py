@@ -29,8 +29,6 @@ DENSE_NUMBERS = [
 SPARSE = ["prix", "prix_f"]
 NAIVE = "prix_m2_lag_1m"
 FIRST = 1900  # the orders lie before 2000
-# Small trees: the registered queries show the work, a cluster run uses the defaults.
-SMALL_TREES = fc.TreeParams(trees=5, depth=4, step=0.3)
 
 
 def _loaded(spark, sf):
@@ -209,36 +207,42 @@ def folds(spark, sf):
 
 @query("M10_backtest_gbt")
 def backtest(spark, sf):
-    done = fc.backtest_gbt(_loaded(spark, sf), "essai", DENSE_NUMBERS, SMALL_TREES)
+    done = fc.backtest_gbt(_loaded(spark, sf), "essai", DENSE_NUMBERS)
     return done.predictions
 
 
 @query("M10_backtest_gbt_metrics")
 def backtest_metrics(spark, sf):
-    done = fc.backtest_gbt(_loaded(spark, sf), "essai", DENSE_NUMBERS, SMALL_TREES)
+    done = fc.backtest_gbt(_loaded(spark, sf), "essai", DENSE_NUMBERS)
     return done.metrics.drop("run_date")
 
 
-@query("M11_forecast_multi_horizon")
-def multi_horizon(spark, sf):
+def _horizons(spark, sf):
     s = Sparse(spark, sf)
     sequences, stats = fc.prepare_sequences(s.panel, SPARSE, "prix", after=FIRST)
-    stats = cut_lineage(stats, "scaler")
-    predictions, _ = fc.forecast_multi_horizon(
-        sequences, stats, "essai", "prix", params=SMALL_TREES)
-    return predictions
+    return fc.forecast_multi_horizon(sequences, cut_lineage(stats, "scaler"), "essai", "prix")
+
+
+@query("M11_forecast_multi_horizon")
+def multi_horizon(spark, sf):
+    return _horizons(spark, sf)[0]
+
+
+@query("M11_horizon_metrics")
+def multi_horizon_metrics(spark, sf):
+    return _horizons(spark, sf)[1].drop("run_date")
 
 
 @query("M18_feature_importance")
 def importance(spark, sf):
-    done = fc.backtest_gbt(_loaded(spark, sf), "essai", DENSE_NUMBERS, SMALL_TREES, last_only=True)
+    done = fc.backtest_gbt(_loaded(spark, sf), "essai", DENSE_NUMBERS, last_only=True)
     return fc.feature_importance(list(done.models.values())[-1], DENSE_NUMBERS, 20)
 
 
 @query("M19_permutation_importance")
 def permutation(spark, sf):
     df = cut_lineage(_loaded(spark, sf), "loaded")
-    done = fc.backtest_gbt(df, "essai", DENSE_NUMBERS, SMALL_TREES, last_only=True)
+    done = fc.backtest_gbt(df, "essai", DENSE_NUMBERS, last_only=True)
     return fc.permutation_importance(
         df, list(done.models.values())[-1], DENSE_NUMBERS, [ENTITY, "annee", "mois"])
 
@@ -346,36 +350,72 @@ def attribute(spark, sf):
         settle(f"contrib_{c}", 2).alias(f"contrib_{c}") for c in LINEAR])
 
 
-_RANKING = f"""
-SELECT (row_number() OVER (ORDER BY importance DESC, feature))::INTEGER AS rang, feature,
-  CASE feature WHEN 'surface_moy' THEN 'Surface moyenne' ELSE 'Prix du mois précédent' END AS label,
-  importance, {rnd('100::DOUBLE * importance / sum(importance) OVER ()', 1)} AS part_pct FROM (
-  SELECT 'surface_moy' AS feature, {rnd('avg(abs(contrib_surface_moy))', 2)} AS importance
-  FROM contributions UNION ALL
-  SELECT 'prix_m2_lag_1m', {rnd('avg(abs(contrib_prix_m2_lag_1m))', 2)} FROM contributions)"""
+# The summaries run on all features of the panel, with declared weights.
+WEIGHTS = {
+    "nb_transactions": 1.5, "pct_appt": -0.4, "pct_maison": 0.3, "surface_moy": -2.5,
+    "nb_pieces_moy": 6.0, "prix_m2_lag_1m": 0.35, "prix_m2_lag_3m": 0.2, "prix_m2_lag_6m": 0.1,
+    "prix_m2_lag_12m": 0.15, "prix_m2_roll3m": 0.25, "prix_m2_roll6m": 0.12,
+    "prix_m2_roll12m": 0.08, "evol_1m_pct": -1.2, "evol_12m_pct": 0.7, "mois_sin": 9.0,
+    "mois_cos": -4.0,
+}
+ALL_LABELS = {**at.FEATURE_LABELS, **LABELS}
+
+EXTRA["contributions_all"] = (
+    "SELECT code_commune, code_departement, annee, mois, "
+    + ", ".join(f"{w}::DOUBLE * ({c} - avg({c}) OVER ()) AS contrib_{c}" for c, w in WEIGHTS.items())
+    + " FROM loaded_dense"
+)
+
+
+def _all_contributions(spark, sf):
+    df = cut_lineage(_loaded(spark, sf), "linear")
+    means = df.agg(*[F.avg(c).alias(c) for c in WEIGHTS]).first().asDict()
+    return at.linear_contributions(df, WEIGHTS, means)
+
+
+@query("M19_attribute_linear_all", sql("SELECT code_commune, annee, mois, " + ", ".join(
+    f"{rnd(f'contrib_{c}', 2)} AS contrib_{c}" for c in WEIGHTS) + " FROM contributions_all"))
+def attribute_all(spark, sf):
+    return _all_contributions(spark, sf).select(ENTITY, "annee", "mois", *[
+        settle(f"contrib_{c}", 2).alias(f"contrib_{c}") for c in WEIGHTS])
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+_RANKING = (
+    "SELECT (row_number() OVER (ORDER BY importance DESC, feature))::INTEGER AS rang, feature, "
+    "label, importance, " + rnd("100::DOUBLE * importance / sum(importance) OVER ()", 1)
+    + " AS part_pct FROM (" + " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, {_text(ALL_LABELS.get(c, c))} AS label, "
+        f"{rnd(f'avg(abs(contrib_{c}))', 2)} AS importance FROM contributions_all" for c in WEIGHTS)
+    + ")"
+)
 
 
 @query("M20_attribution_ranking", sql(_RANKING))
 def ranking(spark, sf):
-    return at.attribution_ranking(_contributions(spark, sf), LINEAR, LABELS)
+    return at.attribution_ranking(_all_contributions(spark, sf), list(WEIGHTS), ALL_LABELS)
 
 
-@query("O03_top_k_features", sql(f"SELECT * FROM ({_RANKING}) WHERE rang <= 1"))
+@query("O03_top_k_features", sql(f"SELECT * FROM ({_RANKING}) WHERE rang <= 10"))
 def top_features(spark, sf):
-    return at.top_features(ranking(spark, sf), 1)
+    return at.top_features(ranking(spark, sf), 10)
 
 
-@query("M21_attribution_by_group", sql(f"""
-SELECT code_departement, {rnd('avg(contrib_surface_moy)', 2)} AS impact FROM contributions GROUP BY 1"""))
+@query("M21_attribution_by_group", sql(
+    f"SELECT code_departement, {rnd('avg(contrib_surface_moy)', 2)} AS impact "
+    "FROM contributions_all GROUP BY 1"))
 def impact_by_group(spark, sf):
-    return at.attribution_by_group(_contributions(spark, sf), "surface_moy", "code_departement")
+    return at.attribution_by_group(_all_contributions(spark, sf), "surface_moy", "code_departement")
 
 
 @query("M22_explain_entity", sql(" UNION ALL ".join(
     f"SELECT annee, mois, '{c}' AS feature, {rnd(f'contrib_{c}', 2)} AS contribution "
-    "FROM contributions WHERE code_commune = '1'" for c in LINEAR)))
+    "FROM contributions_all WHERE code_commune = '1'" for c in WEIGHTS)))
 def explain(spark, sf):
-    rows_ = at.explain_entity(_contributions(spark, sf), ENTITY, "1", ["annee", "mois"], LINEAR)
+    rows_ = at.explain_entity(_all_contributions(spark, sf), ENTITY, "1", ["annee", "mois"], list(WEIGHTS))
     return rows_.withColumn("contribution", settle("contribution", 2))
 
 

@@ -18,7 +18,9 @@ class Warehouse:
 
     Views are lazy. ``table`` gives the transactions as a written table, for the
     reports that read them more than once. With ``landed`` the placed line items,
-    from which three raw tables derive, are written once as well.
+    from which three raw tables derive, the new-housing rows and the small context
+    tables (communes or departments by year) are written once as well, so that Spark
+    knows their size when it plans the joins.
     """
 
     def __init__(self, spark: SparkSession, sf: str, landed: bool = False):
@@ -40,8 +42,13 @@ class Warehouse:
 
     def stg(self, name: str) -> DataFrame:
         make = getattr(staging, f"stg_{name}")
+        if name == "ecln":
+            return self._once("stg_ecln", lambda: self._land(make(self.raw(name)), "stg_ecln"))
         return self._once(f"stg_{name}", lambda: make(self.raw(name)))
 
+    def _land(self, df: DataFrame, label: str) -> DataFrame:
+        return cut_lineage(df, label) if self.landed else df
+
     @property
     def transactions(self):
         return self._once("tx", lambda: warehouse.fct_transactions(self.stg("dvf")))
@@ -68,7 +75,8 @@ class Warehouse:
 
     @property
     def ecln_year(self):
-        return self._once("ecln_year", lambda: warehouse.int_ecln_dept_annee(self.marche_neuf))
+        return self._once("ecln_year", lambda: self._land(
+            warehouse.int_ecln_dept_annee(self.marche_neuf), "ecln_year"))
 
     @property
     def departements(self):
@@ -76,9 +84,8 @@ class Warehouse:
 
     @property
     def communes(self):
-        return self._once(
-            "context", lambda: warehouse.commune_context(self.dpe, self.social, self.construction)
-        )
+        return self._once("context", lambda: self._land(
+            warehouse.commune_context(self.dpe, self.social, self.construction), "context"))
 
     @property
     def panel(self):
@@ -213,7 +220,8 @@ def lots_dense(spark, sf):
 
 
 def panel_dense(spark, sf):
-    return features.panel_commune_mois(lots_dense(spark, sf))
+    # The quantiles of the panel read the lots more than once: join them once, pruned.
+    return features.panel_commune_mois(cut_lineage(lots_dense(spark, sf), "lots"))
 
 
 def features_dense(spark, sf):

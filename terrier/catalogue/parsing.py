@@ -18,7 +18,8 @@ from terrier.operators.dedup import dedup_latest
 from terrier.operators.joins import left_enrich
 from terrier.plans.staging import stg_eptb
 from terrier.plans.warehouse import fct_prix_terrain
-from terrier.sources import parsers
+from terrier.session import fresh_path
+from terrier.sources import parsers, schemas
 
 compose = partial(_compose, extra=TEXT_BLOCKS)
 
@@ -365,10 +366,12 @@ def union_pages(spark, sf):
 
 
 @query("S12_scan_source", compose(
-    "SELECT id_mutation, annee, valeur_fonciere FROM raw_dvf WHERE annee >= 1998"))
+    "SELECT id_mutation, annee, valeur_fonciere FROM raw_dvf"))
 def scan_source(spark, sf):
-    return roles.raw_dvf(spark, sf).select("id_mutation", "annee", "valeur_fonciere").where(
-        "annee >= 1998")
+    path = fresh_path(spark, "raw_dvf")
+    schemas.conform(roles.raw_dvf(spark, sf), schemas.TABLES["raw_dvf"]).write.parquet(path)
+    return schemas.scan_source(spark, "raw_dvf", path).select(
+        "id_mutation", "annee", "valeur_fonciere")
 
 
 @query("J01_full_outer_join", compose("SELECT * FROM raw_eptb_").replace(
@@ -380,17 +383,16 @@ def full_outer(spark, sf):
 @query("J02_left_join_dimension", """
 SELECT c_custkey, n_name AS pays, coalesce(derniere, '') AS derniere_priorite FROM customer
 LEFT JOIN nation ON c_nationkey = n_nationkey
-LEFT JOIN (SELECT o_custkey, max(o_orderpriority) AS derniere FROM orders
-  WHERE o_orderstatus = 'P' GROUP BY 1) ON c_custkey = o_custkey""")
+LEFT JOIN (SELECT o_custkey, max(o_orderpriority) AS derniere FROM orders GROUP BY 1) ON c_custkey = o_custkey""")
 def left_dimension(spark, sf):
     nation = table(spark, sf, "nation").select(
         F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("pays"))
-    pending = table(spark, sf, "orders").where("o_orderstatus = 'P'").groupBy(
+    last = table(spark, sf, "orders").groupBy(
         F.col("o_custkey").alias("c_custkey")
     ).agg(F.max("o_orderpriority").alias("derniere_priorite"))
     named = table(spark, sf, "customer").select("c_custkey", "c_nationkey").join(
         nation, "c_nationkey", "left").drop("c_nationkey")
-    return left_enrich(named, pending, ["c_custkey"], {"derniere_priorite": ""})
+    return left_enrich(named, last, ["c_custkey"], {"derniere_priorite": ""})
 
 
 @query("J03_left_enrich", compose("""

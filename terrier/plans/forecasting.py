@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from terrier.operators.attribution import permuted
-from terrier.operators.metrics import error_metrics, mae
+from terrier.operators.metrics import error_metrics, mae, rmse
 from terrier.operators.rows import drop_null, union_pages
 from terrier.operators.series import (
     HORIZON, LOOKBACK, build_sequences, eligible_entities, fill_monthly, fit_scaler, last_years,
@@ -38,6 +39,7 @@ NUMERIC_FEATURES = [
 ]
 SEQUENCE_FEATURES = [TARGET, *NUMERIC_FEATURES]
 MIN_TRAIN_ROWS = 200
+HELD_OUT = "_held_out"
 
 
 def load_features(
@@ -69,19 +71,28 @@ def walk_forward_folds(df: DataFrame, minimum: int = MIN_TRAIN_ROWS) -> DataFram
 
 @dataclass(frozen=True)
 class TreeParams:
-    """Gradient-boosted trees. Defaults suit a cluster; tests use fewer trees."""
+    """Gradient-boosted trees.
+
+    ``trees`` is the most that a fit makes: it stops early once another tree lowers the
+    error on the held-out rows by less than ``tolerance`` of it. ``feature_share`` is the
+    share of features that every split may look at.
+    """
 
     trees: int = 200
     depth: int = 6
     step: float = 0.05
     row_share: float = 0.8
+    feature_share: float = 0.8
     min_leaf: int = 20
+    tolerance: float = 0.01
     seed: int = 42
 
     def regressor(self, label: str, features: str = "features", **extra) -> GBTRegressor:
+        """``extra`` may name the held-out rows by ``validationIndicatorCol``."""
         return GBTRegressor(
             labelCol=label, featuresCol=features, lossType="squared", maxIter=self.trees,
             maxDepth=self.depth, stepSize=self.step, subsamplingRate=self.row_share,
+            featureSubsetStrategy=str(self.feature_share), validationTol=self.tolerance,
             minInstancesPerNode=self.min_leaf, seed=self.seed, **extra,
         )
 
@@ -96,21 +107,26 @@ class Backtest:
 def tree_pipeline(
     numeric: list[str], categories: int, params: TreeParams, label: str = TARGET
 ) -> Pipeline:
-    """Department as a categorical feature (unseen ones get their own bin) plus numbers."""
+    """Department as a categorical feature (unseen ones get their own bin) plus numbers.
+
+    Rows whose ``HELD_OUT`` column is true only tell when to stop.
+    """
     return Pipeline(stages=[
         StringIndexer(inputCol=CATEGORY, outputCol="_cat", handleInvalid="keep"),
         VectorAssembler(inputCols=["_cat", *numeric], outputCol="features", handleInvalid="keep"),
-        params.regressor(label, maxBins=max(32, categories + 2)),
+        params.regressor(label, maxBins=max(32, categories + 2), validationIndicatorCol=HELD_OUT),
     ])
 
 
 def backtest_gbt(
     df: DataFrame, run_id: str, numeric: list[str] = NUMERIC_FEATURES,
     params: TreeParams = TreeParams(), minimum: int = MIN_TRAIN_ROWS, last_only: bool = False,
+    parallel: int = 4,
 ) -> Backtest:
-    """Fit on the years before, predict the year, fold by fold.
+    """Fit on the years before, predict the year; ``parallel`` folds are fitted side by side.
 
-    The number of trees is fixed; nothing is tuned on the test year.
+    The last year before the test year is held out of the trees and says when to stop;
+    nothing is tuned on the test year.
     """
     use_checkpoints(df.sparkSession)
     # Every tree reads the rows again: read them from files, not through the plan above.
@@ -119,20 +135,28 @@ def backtest_gbt(
     if last_only:
         folds = folds[-1:]
     categories = df.agg(F.countDistinct(CATEGORY)).first()[0]
-    pages, scores, models = [], [], {}
-    for fold in folds:
-        year = fold["annee_test"]
-        train = drop_null(df.where(F.col("annee") < year), [TARGET])
-        test = drop_null(df.where(F.col("annee") == year), [TARGET])
+    if not folds:
+        raise ValueError("no fold has enough history")
+    known = drop_null(df, [TARGET])
+
+    def fit(year: int) -> PipelineModel:
+        before = known.where(F.col("annee") < year)
+        last = before.agg(F.max("annee")).first()[0]
+        train = before.withColumn(HELD_OUT, F.col("annee") == last)
         train = train.persist(StorageLevel.MEMORY_AND_DISK)
         model = tree_pipeline(numeric, categories, params).fit(train)
         train.unpersist()
-        models[year] = model
+        return model
+
+    years = [fold["annee_test"] for fold in folds]
+    with ThreadPoolExecutor(parallel) as pool:
+        models = dict(zip(years, pool.map(inheritable_thread_target(df.sparkSession)(fit), years)))
+    pages, scores = [], []
+    for year, model in models.items():
+        test = known.where(F.col("annee") == year)
         predicted = model.transform(test).withColumnRenamed("prediction", "prix_m2_pred")
         pages.append(predictions_frame(predicted, run_id))
         scores.append(metrics_frame(predicted, run_id, "gbt", 0, year, params.__dict__))
-    if not pages:
-        raise ValueError("no fold has enough history")
     return Backtest(union_pages(pages), union_pages(scores), models)
 
 
@@ -215,18 +239,24 @@ def forecast_multi_horizon(
     sequences: DataFrame, stats: DataFrame, run_id: str, target: str = TARGET,
     entity: str = ENTITY, horizon: int = HORIZON, params: TreeParams = TreeParams(),
 ) -> tuple[DataFrame, DataFrame]:
-    """One regressor per horizon on the flattened window; predictions and metrics."""
+    """One regressor per horizon on the flattened window; predictions and metrics.
+
+    Sequences of the validation year say when to stop. The metrics have one row per
+    horizon in the shape of their table: no MAPE, errors 0 where no actual is known,
+    all test sequences and entities counted.
+    """
     spark = sequences.sparkSession
     use_checkpoints(spark)
     arrays = ["y", "y_actual", "y_periods"]
     flat = sequences.select(entity, "split", *arrays, F.flatten("x").alias("_x"))
     flat = cut_lineage(flat, "sequences").withColumn("features", array_to_vector("_x"))
-    train = flat.where("split = 'train'")
+    train = flat.where("split IN ('train', 'val')").withColumn(HELD_OUT, F.col("split") == "val")
+    stops = {"validationIndicatorCol": HELD_OUT} if train.where(HELD_OUT).head(1) else {}
     scored = flat.where("split = 'test'")
     for h in range(horizon):
-        labelled = train.select("features", F.element_at("y", h + 1).alias("_y"))
+        labelled = train.select("features", F.element_at("y", h + 1).alias("_y"), HELD_OUT)
         labelled = labelled.persist(StorageLevel.MEMORY_AND_DISK)
-        model = params.regressor("_y").setPredictionCol(f"_p{h}").fit(labelled)
+        model = params.regressor("_y", **stops).setPredictionCol(f"_p{h}").fit(labelled)
         labelled.unpersist()
         scored = model.transform(scored)
     scored = scored.withColumn("p", F.array(*[F.col(f"_p{h}") for h in range(horizon)]))
@@ -237,7 +267,21 @@ def forecast_multi_horizon(
         "horizon", F.col("_q").cast("float").alias("prix_m2_pred"),
         positive_or_null("_v").cast("float").alias("prix_m2_reel"),
     )
-    metrics = error_metrics(
-        predictions, "prix_m2_reel", "prix_m2_pred", ["run_id", "horizon"], ENTITY
+    return predictions, horizon_metrics(predictions, params.__dict__)
+
+
+def horizon_metrics(predictions: DataFrame, params: dict, model: str = "gbt_horizon") -> DataFrame:
+    """One row per run and horizon in the shape of the metrics table."""
+    none = F.lit(0.0)
+    scored = predictions.groupBy("run_id", "horizon").agg(
+        F.count(F.lit(1)).alias("n_samples"), F.countDistinct(ENTITY).alias("n_communes"),
+        F.coalesce(mae("prix_m2_reel", "prix_m2_pred"), none).cast("float").alias("mae"),
+        F.coalesce(rmse("prix_m2_reel", "prix_m2_pred"), none).cast("float").alias("rmse"),
+        F.max("annee_pred").cast("int").alias("annee_test"),
+    )
+    return scored.select(
+        "run_id", F.lit(model).alias("model_name"),
+        F.lit(datetime.now(timezone.utc)).cast("timestamp").alias("run_date"),
+        "n_samples", "n_communes", "mae", "rmse", F.lit(None).cast("float").alias("mape"),
+        "horizon", "annee_test", F.lit(params_json(params)).alias("params"),
     )
-    return predictions, metrics
