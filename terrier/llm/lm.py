@@ -9,7 +9,8 @@ training documents, with one unknown word per class, so probabilities sum to 1.
 1. Texts are read once and written as coded blocks: a block has its distinct tokens,
    their counts in training texts, and the code of every token.
 2. Counts are summed per token over all blocks (one shuffle of distinct tokens per
-   block, not of tokens) and go back to the blocks that asked.
+   block, not of tokens) and go back to the blocks that asked; the coded texts stay
+   where they are written and meet their counts only when they are scored.
 3. Tasks take gradient steps on the blocks they read; the driver averages what they
    changed (a table of fixed size) and sends it out for the next round.
 4. Blocks are scored in sparse numpy batches.
@@ -34,7 +35,7 @@ CLASSES, BUCKETS, BATCH = 32, 1 << 12, 1 << 14
 _FEATURES = 3 * BUCKETS + 1                      # the last row is the bias
 _BEGIN = np.uint32(0x51ED270B)
 CODED = "block long, ids binary, held binary, sizes binary, codes binary, kinds binary, hashes binary, tokens array<binary>, counts array<long>"
-FILLED = "block long, ids binary, held binary, sizes binary, codes binary, kinds binary, hashes binary, known binary, totals binary"
+FILLED = "block long, known binary, totals binary"
 
 
 def _packed(a: np.ndarray) -> bytes:
@@ -100,7 +101,7 @@ def word_classes(words: pa.Array) -> np.ndarray:
 
 
 def filled(parts: DataFrame) -> DataFrame:
-    """Blocks with the training count of each of their tokens, and totals per class.
+    """Per block the training count of each of its tokens, and totals per class.
 
     ``totals`` of a block cover the tokens that no earlier block has, so their sum over
     all blocks counts every token once.
@@ -122,9 +123,9 @@ def filled(parts: DataFrame) -> DataFrame:
         known[at], first[at] = right["known"].to_numpy() >> 1, (right["known"].to_numpy() & 1) > 0
         use = first & (known > 0)
         totals = np.stack([np.bincount(kinds[use], weights=known[use], minlength=CLASSES), np.bincount(kinds[use], minlength=CLASSES)])
-        return left.append_column("known", pa.array([_packed(known)], pa.binary())).append_column("totals", pa.array([totals.astype(np.float64).tobytes()], pa.binary()))
+        return left.select(["block"]).append_column("known", pa.array([_packed(known)], pa.binary())).append_column("totals", pa.array([totals.astype(np.float64).tobytes()], pa.binary()))
 
-    return parts.drop("tokens", "counts").groupBy("block").cogroup(told.groupBy("block")).applyInArrow(join, FILLED)
+    return parts.select("block", "kinds").groupBy("block").cogroup(told.groupBy("block")).applyInArrow(join, FILLED)
 
 
 def contexts(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -208,7 +209,8 @@ def score(docs: DataFrame, modulus: int = 5, remainder: int = 1) -> DataFrame:
     table gives no rows.
     """
     spark = docs.sparkSession
-    parts = cut_lineage(filled(cut_lineage(coded(docs, modulus, remainder), "lm-coded")), "lm-blocks")
+    parts = cut_lineage(coded(docs, modulus, remainder), "lm-coded")
+    counted = cut_lineage(filled(parts), "lm-counts")
 
     def sums(batches):
         total = np.zeros((2, CLASSES))
@@ -217,7 +219,7 @@ def score(docs: DataFrame, modulus: int = 5, remainder: int = 1) -> DataFrame:
                 total += np.frombuffer(x, np.float64).reshape(2, CLASSES)
         yield pa.RecordBatch.from_arrays([pa.array(range(CLASSES), pa.int32()), pa.array(total[0]), pa.array(total[1])], names=["kind", "n", "v"])
 
-    rows = parts.select("totals").mapInArrow(sums, "kind int, n double, v double").groupBy("kind").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).collect()
+    rows = counted.select("totals").mapInArrow(sums, "kind int, n double, v double").groupBy("kind").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).collect()
     tokens, kinds = np.zeros(CLASSES), np.zeros(CLASSES)
     for r in rows:
         tokens[r["kind"]], kinds[r["kind"]] = r["n"], r["v"]
@@ -249,4 +251,5 @@ def score(docs: DataFrame, modulus: int = 5, remainder: int = 1) -> DataFrame:
                     pa.array(np.add.reduceat(word[codes], starts) - sizes * np.log10(n + 0.5 * (v + 1))),
                     pa.array(np.add.reduceat(out, starts))], names=[f.split(" ")[0] for f in SCHEMA.split(", ")])
 
-    return parts.drop("totals").mapInArrow(run, SCHEMA)
+    texts = parts.select("block", "ids", "held", "sizes", "codes", "kinds", "hashes")
+    return texts.join(counted.select("block", "known"), "block").mapInArrow(run, SCHEMA)
