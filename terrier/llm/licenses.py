@@ -154,9 +154,11 @@ def prefilter():
 def settle(found: list[tuple[int, int, Rule]]) -> list[tuple[int, int, Rule]]:
     """Detections that stay: base phrases, and others that overlap nothing stronger."""
     kept: list[tuple[int, int, Rule]] = []
+    taken = bytearray(max((end for _, end, _ in found), default=0))
     for start, end, rule in sorted(found, key=lambda x: (-x[2].priority, x[0] - x[1], x[0], x[2].label)):
-        if rule.base or not any(start < e and s < end for s, e, _ in kept):
+        if rule.base or taken.find(b"x", start, end) < 0:
             kept.append((start, end, rule))
+            taken[start:end] = b"x" * (end - start)
     return kept
 
 

@@ -25,7 +25,7 @@ from terrier.session import cut_lineage
 
 # The base patterns, in the order in which kinds are listed.
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")    # a match can only begin where its digits do
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 KINDS = ["email", "ip", "card", "phone"]
@@ -39,7 +39,9 @@ SECRET_WORDS = "token secret password passwd apikey api_key access_key private_k
 CONTACT_WORDS = "phone tel telephone mobile fax call contact mail email telefon teléfono téléphone handy".split()
 NUMBER_WORDS = "iban account konto compte cuenta ssn passport passeport pasaporte ausweis card".split()
 
-_SECRET = re.compile(r"(?<![A-Za-z0-9])(?=[A-Za-z_-]*[0-9])[A-Za-z0-9_-]{20,}(?![A-Za-z0-9])")
+_HOST = re.compile(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+_LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+_SECRET = re.compile(r"(?<![A-Za-z0-9_-])(?=[A-Za-z_-]*+[0-9])[A-Za-z0-9_-]{20,}(?![A-Za-z0-9])")
 _NUMBER = re.compile(r"(?<![0-9A-Za-z])(?:[A-Z]{2}[0-9]{2}[\x20]?[A-Z0-9]{4}(?:[\x20]?[0-9]{4}){2,6}|[0-9]{3}-[0-9]{2}-[0-9]{4})(?![0-9A-Za-z])")
 _CONTACT = re.compile(r"(?<![0-9A-Za-z+])(?:\(?0[0-9]{1,4}\)?[\x20/-][0-9]{3,8}(?:[\x20-][0-9]{2,6})*|[0-9]{3}[\x20.-][0-9]{3}[\x20.-][0-9]{4})(?![0-9A-Za-z])")
 _NAME = re.compile(r"\b(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Monsieur|Madame|Señora?)\.?\x20[A-ZÀ-Ý][\w'-]+(?:\x20[A-ZÀ-Ý][\w'-]+)?")
@@ -56,11 +58,22 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def emails(text: str) -> list[tuple[str, int, int]]:
+    """Spans of ``EMAIL``, found from each ``@`` backwards, so that long runs of letters are read once."""
+    out, last = [], 0
+    for m in _HOST.finditer(text):
+        start = m.start()
+        while start > last and text[start - 1] in _LOCAL:
+            start -= 1
+        if start < m.start():
+            out.append(("email", start, m.end()))
+            last = m.end()
+    return out
+
+
 def base_spans(text: str) -> list[tuple[str, int, int]]:
     """Base spans of a text: leftmost, non-overlapping per kind, failing ones dropped."""
-    out = []
-    if "@" in text:
-        out += [("email", *m.span()) for m in EMAIL.finditer(text)]
+    out = emails(text)
     for kind, pattern in (("ip", IP), ("card", CARD), ("phone", PHONE)):
         if kind == "phone" and "+" not in text:
             continue
@@ -153,16 +166,18 @@ def find(docs: DataFrame) -> DataFrame:
             plain = _without_digits(block)
             for i in range(block.count):
                 text = block.text(i).decode()
-                found = base_spans(text) if not plain[i] else [("email", *m.span()) for m in EMAIL.finditer(text)] if "@" in text else []
+                found = base_spans(text) if not plain[i] else emails(text)
                 base.append([{"kind": k, "start": s, "end": e} for k, s, e in found])
-                rows, taken = [], [(s, e) for _, s, e in found]
+                rows, taken = [], bytearray(len(text))
+                for _, s, e in found:
+                    taken[s:e] = b"x" * (e - s)
                 for kind, pattern in CANDIDATES:
                     if plain[i] and kind != "name":
                         continue
                     for m in pattern.finditer(text):
-                        if not any(m.start() < e and s < m.end() for s, e in taken):
+                        if taken.find(b"x", *m.span()) < 0:
                             vote, shape = votes(text, kind, *m.span())
-                            taken.append(m.span())
+                            taken[m.start(): m.end()] = b"x" * (m.end() - m.start())
                             rows.append({"kind": kind, "start": m.start(), "end": m.end(), "key": ",".join(map(str, [*vote, shape]))})
                 more.append(rows)
             yield pa.RecordBatch.from_arrays([*block.rows.columns, pa.array(base, pa.list_(span)), pa.array(more, pa.list_(cand))], names=[*block.rows.schema.names, "base", "cand"])

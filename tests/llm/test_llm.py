@@ -223,6 +223,24 @@ def test_base_spans():
     assert pii.base_spans("a@b a@b.c@d.e") == [("email", 4, 9)]
 
 
+def test_spans_equal_the_plain_patterns():
+    make = random.Random(8)
+    plain = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+    for _ in range(20_000):
+        text = "".join(make.choices("ab1.@@-_% é2", k=make.randint(0, 40)))
+        assert pii.emails(text) == [("email", *m.span()) for m in pii.EMAIL.finditer(text)], text
+        assert [m.span() for m in pii.IP.finditer(text)] == [m.span() for m in plain.finditer(text)], text
+
+
+def test_long_runs_take_linear_time():
+    n = 400_000
+    text = "a" * n + " @ " + "1" * n + " " + "-" * n + "1 x@y.z"
+    assert [s[0] for s in pii.base_spans(text)] == ["email"]
+    assert not list(pii._SECRET.finditer("_" * n + " 1"))
+    found = licenses.detect("mit license, " * 20_000)
+    assert len(found) == 20_000
+
+
 def test_licenses():
     found = {}
     texts = ["MIT License and the Apache-License; not mitlicense", "GNU General Public License, version 3", None, "", "licensed under the Apache License, Version 2.0", "nothing émit license"]
