@@ -354,11 +354,11 @@ def stream_dedup(spark, sf):
 SELECT date_trunc('day', ts)::DATE AS jour, event_type, count(*) AS n,
   {rnd('sum(value)', 2)} AS total FROM events GROUP BY ALL""")
 def stream_panel(spark, sf):
-    """All windows, closed or not (complete mode)."""
+    """All windows, closed or not: a batch writes the windows it changed."""
     stream = streams.stream_tumbling_panel(
         _event_stream(spark, sf), "ts", "value", ["event_type"], "1 day", "1 day")
     path = fresh_path(spark, "panel")
-    made = streams.run_to_table(stream, path, path + "-checkpoint", "complete")
+    made = streams.run_to_versions(stream, path, path + "-checkpoint", ["debut", "event_type"])
     return made.select(
         F.to_date("debut").alias("jour"), "event_type", "n",
         (F.rint(F.rint(F.col("total") * 1e6) / 1e6 * 100) / 100).alias("total"))

@@ -20,11 +20,12 @@ class Warehouse:
     reports that read them more than once. With ``landed`` the placed line items,
     from which three raw tables derive, the new-housing rows and the small context
     tables (communes or departments by year) are written once as well, so that Spark
-    knows their size when it plans the joins.
+    knows their size when it plans the joins. With ``staged`` every staging view is
+    written too, for queries that read all of them several times.
     """
 
-    def __init__(self, spark: SparkSession, sf: str, landed: bool = False):
-        self.spark, self.sf, self.landed = spark, sf, landed
+    def __init__(self, spark: SparkSession, sf: str, landed: bool = False, staged: bool = False):
+        self.spark, self.sf, self.landed, self.staged = spark, sf, landed, staged
         self._made: dict[str, DataFrame] = {}
 
     def _once(self, name: str, make) -> DataFrame:
@@ -42,8 +43,8 @@ class Warehouse:
 
     def stg(self, name: str) -> DataFrame:
         make = getattr(staging, f"stg_{name}")
-        if name == "ecln":
-            return self._once("stg_ecln", lambda: self._land(make(self.raw(name)), "stg_ecln"))
+        if name == "ecln" or self.staged:
+            return self._once(f"stg_{name}", lambda: self._land(make(self.raw(name)), f"stg_{name}"))
         return self._once(f"stg_{name}", lambda: make(self.raw(name)))
 
     def _land(self, df: DataFrame, label: str) -> DataFrame:

@@ -8,6 +8,7 @@ import re
 import shutil
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -58,9 +59,33 @@ def use_checkpoints(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
 
 
+_OPEN: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Remove what the block wrote to the shared folder when it ends.
+
+    Results must be saved inside the block: a DataFrame made there reads files that are
+    gone afterwards. Without it the files stay, as they do for the registered queries.
+    """
+    _OPEN.append([])
+    try:
+        yield
+    finally:
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        for path in _OPEN.pop():
+            for made in (path, path + "-checkpoint"):
+                place = jvm.org.apache.hadoop.fs.Path(made)
+                place.getFileSystem(conf).delete(place, True)
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """A new path below the shared folder."""
-    return os.path.join(shared_folder(spark), f"{label}-{uuid.uuid4().hex}")
+    """A new path below the shared folder; an open ``scratch`` block removes it."""
+    path = os.path.join(shared_folder(spark), f"{label}-{uuid.uuid4().hex}")
+    if _OPEN:
+        _OPEN[-1].append(path)
+    return path
 
 
 def cut_lineage(df, label: str):

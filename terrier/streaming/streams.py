@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
 from terrier.sources.schemas import TableSpec
 from terrier.sources.sinks import append_with_load_ts
@@ -66,22 +67,37 @@ def stream_tumbling_panel(
     )
 
 
-def run_to_table(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> DataFrame:
+def run_to_table(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
     """Process what is available into files and read them back."""
     spark = stream.sparkSession
-    if mode == "append":
-        query = (
-            stream.writeStream.format("parquet").option("path", path)
-            .option("checkpointLocation", checkpoint).outputMode(mode)
-            .trigger(availableNow=True).start()
-        )
-    else:
-        def replace(batch: DataFrame, _: int) -> None:
-            batch.write.mode("overwrite").parquet(path)
-
-        query = (
-            stream.writeStream.foreachBatch(replace).option("checkpointLocation", checkpoint)
-            .outputMode(mode).trigger(availableNow=True).start()
-        )
+    query = (
+        stream.writeStream.format("parquet").option("path", path)
+        .option("checkpointLocation", checkpoint).outputMode("append")
+        .trigger(availableNow=True).start()
+    )
     query.awaitTermination()
     return spark.read.schema(stream.schema).parquet(path)
+
+
+def run_to_versions(stream: DataFrame, path: str, checkpoint: str, keys: list[str]) -> DataFrame:
+    """Process what is available in update mode and read the newest row of every key.
+
+    A batch writes only the rows it changed, into a folder of its own, so a batch that runs
+    again replaces itself; state older than the watermark is dropped.
+    """
+    spark = stream.sparkSession
+    spark.createDataFrame([], stream.schema).write.mode("overwrite").parquet(f"{path}/_batch=-1")
+
+    def changed(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/_batch={number}")
+
+    query = (
+        stream.writeStream.foreachBatch(changed).option("checkpointLocation", checkpoint)
+        .outputMode("update").trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    values = [c for c in stream.columns if c not in keys]
+    schema = StructType([*stream.schema.fields, StructField("_batch", LongType())])
+    rows = spark.read.schema(schema).parquet(path)
+    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "_batch").alias("_new"))
+    return newest.select(*keys, "_new.*").select(*stream.columns)

@@ -244,3 +244,24 @@ def test_parse_is_one_projection(spark):
                                 "valeur_fonciere STRING")
     text = parsers.parse_dvf(raw)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in text and "Exchange" not in text
+
+
+def test_newest_version_of_every_window(spark, tmp_path):
+    rows = [("2020-01-01 01:00:00", 1.0), ("2020-01-01 02:00:00", 2.0), ("2020-01-03 01:00:00", 4.0)]
+    for k, (ts, v) in enumerate(rows):
+        df = spark.createDataFrame([(ts, v)], "ts string, v double").selectExpr("to_timestamp(ts) AS ts", "v")
+        df.coalesce(1).write.parquet(f"{tmp_path}/in/{k}")
+    stream = streams.read_landing(spark, f"{tmp_path}/in/*", df.schema, files_per_batch=1)
+    made = streams.stream_tumbling_panel(stream, "ts", "v", [], "1 day", "5 days")
+    out = streams.run_to_versions(made, f"{tmp_path}/out", f"{tmp_path}/ck", ["debut"])
+    assert sorted((r.n, r.total) for r in out.collect()) == [(1, 4.0), (2, 3.0)]
+
+
+def test_scratch_removes_what_was_written(spark):
+    from terrier.session import cut_lineage, scratch
+
+    with scratch(spark):
+        df = cut_lineage(spark.range(3), "scratch")
+        path = df.inputFiles()[0]
+        assert os.path.exists(path.removeprefix("file:").replace("///", "/")) and df.count() == 3
+    assert not os.path.exists(path.removeprefix("file:").replace("///", "/"))
