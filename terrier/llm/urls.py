@@ -1,10 +1,11 @@
 """URL filters: fixed host rules first, then association rules mined from labels.
 
 URLs become sets of tokens (host labels, path segments, query keys). FP-growth mines the
-combinations that occur with a blocking label. Rules are pruned by support and
-confidence, and a rule is dropped if a part of its combination is as confident. A rule
-is filed in an inverted index under its rarest token only; the distinct token sets of
-the URLs meet the index there and are checked for the other tokens.
+combinations that occur with a blocking label in a few rows at least, however many rows
+have labels. Rules are pruned by confidence, which must be surely above the base rate,
+and a rule is dropped if a part of its combination is as confident. A rule is filed in
+an inverted index under its rarest token only; the distinct token sets of the URLs meet
+the index there and are checked for the other tokens.
 
 Built-in functions and Spark ML only; no Python in the tasks.
 """
@@ -22,7 +23,6 @@ HOST_RULES = [
     ("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
     ("net", "/es/", "block"), ("net", "/fr/", "block"),
 ]
-BLOCK = "label:block"
 
 
 def with_parts(pages: DataFrame) -> DataFrame:
@@ -53,30 +53,62 @@ def url_tokens():
     return F.array_sort(F.array_distinct(F.concat(named("host:", F.split("host", r"\.")), named("path:", segments), named("key:", keys))))
 
 
-def mine(labelled: DataFrame, support: float, confidence: float) -> DataFrame:
-    """Pruned rules (tokens, confidence, rare) from ``tokens`` and a boolean ``blocked``.
+def lower_bound(hits, rows):
+    """The share of ``hits`` that is at least so high with 95% (Wilson's bound)."""
+    z = 1.645
+    share = hits / rows
+    return (share + z * z / (2 * rows) - z * F.sqrt(share * (1 - share) / rows + z * z / (4 * rows * rows))) / (1 + z * z / rows)
 
-    ``support`` is the least share of labelled rows that have the combination and the
-    label. ``rare`` is the rule's rarest token. Without labels there are no rules.
+
+def mine(labelled: DataFrame, least: int, confidence: float) -> DataFrame:
+    """Pruned rules (need, confidence, rare) from ``tokens`` and a boolean ``blocked``.
+
+    A rule is a combination that at least ``least`` blocked rows have, whose share of
+    blocked rows is ``confidence`` or more and surely above the share among all labelled
+    rows. Only blocked rows are mined; the rows of each combination are then counted over
+    all labelled rows. Tokens of the same labelled rows are one item while mining, so a
+    long URL seen often has few combinations; ``need`` has the tokens of each item, of
+    which one must be there. ``rare`` holds the tokens of the rule's rarest item. Without
+    labels there are no rules.
     """
     spark = labelled.sparkSession
-    items = labelled.where(F.size("tokens") > 0).select(
-        F.concat("tokens", F.when(F.col("blocked"), F.array(F.lit(BLOCK))).otherwise(F.array().cast("array<string>"))).alias("items"))
-    items = cut_lineage(items, "url-items")
-    if not items.head(1):
-        return spark.createDataFrame([], "tokens array<string>, confidence double, rare string")
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(items)
-    found = model.associationRules.where(F.array_contains("consequent", BLOCK)).select(F.array_sort("antecedent").alias("tokens"), "confidence")
-    found = cut_lineage(found, "url-rules").withColumn("part", F.explode("tokens"))
-    # A rule meets others with which it shares a token; shorter ones inside it prune it.
-    general = found.select("part", F.col("tokens").alias("less"), F.col("confidence").alias("same"))
-    pruned = found.join(general, "part").where(
+    none = spark.createDataFrame([], "need array<array<string>>, confidence double, rare array<string>")
+    rows = cut_lineage(labelled.where(F.size("tokens") > 0).select(F.monotonically_increasing_id().alias("row"), "tokens", "blocked"), "url-rows")
+    every, bad = rows.agg(F.count("*"), F.count(F.when(F.col("blocked"), 1))).first()
+    if bad < least:
+        return none
+    held = rows.select("row", "blocked", F.explode("tokens").alias("part"))
+    mark = F.xxhash64("row")
+    seen = held.groupBy("part").agg(F.count("*").alias("n"), F.count(F.when(F.col("blocked"), 1)).alias("bad"),
+                                    F.sum(mark.cast("decimal(38,0)")).alias("s"), F.bit_xor(mark).alias("x")).where(F.col("bad") >= least)
+    same = seen.groupBy("n", "s", "x").agg(F.min("part").alias("item"), F.array_sort(F.collect_set("part")).alias("parts"))
+    same = cut_lineage(same.select("item", "parts", "n"), "url-tokens")
+    named = same.select("item", F.explode("parts").alias("part"))
+    sets = held.join(named, "part").groupBy("row", "blocked").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    sets = cut_lineage(sets.groupBy("items", "blocked").agg(F.count("*").alias("rows")), "url-items")
+    mined = sets.where("blocked").select("items", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int")))).select("items")
+    size = mined.count()
+    if size < least:
+        return none
+    model = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / size, minConfidence=1.0).fit(mined)
+    found = cut_lineage(model.freqItemsets.select(F.array_sort("items").alias("tokens"), F.col("freq").alias("hits")), "url-found")
+    counts = same.select(F.col("item").alias("part"), "n")
+    found = found.withColumn("part", F.explode("tokens")).join(counts, "part").groupBy("tokens", "hits").agg(F.min(F.struct("n", "part"))["part"].alias("rare"))
+    # The rows of a combination: sets that hold its rarest item and the others.
+    among = sets.select(F.explode("items").alias("rare"), "items", "rows")
+    found = found.join(among, "rare").where(F.size(F.array_except("tokens", "items")) == 0).groupBy("tokens", "hits", "rare").agg(F.sum("rows").alias("n"))
+    found = found.withColumn("confidence", F.col("hits") / F.col("n")).where((F.col("confidence") >= confidence) & (lower_bound(F.col("hits"), F.col("n")) > bad / every))
+    found = cut_lineage(found.select("tokens", "confidence", "rare"), "url-rules")
+    # A rule meets those whose first item it has; shorter ones inside it prune it.
+    general = found.select(F.col("tokens")[0].alias("part"), F.col("tokens").alias("less"), F.col("confidence").alias("same"))
+    pruned = found.withColumn("part", F.explode("tokens")).join(general, "part").where(
         (F.size("less") < F.size("tokens")) & (F.size(F.array_except("less", "tokens")) == 0) & (F.col("same") >= F.col("confidence"))).select("tokens").distinct()
-    counts = items.select(F.explode("items").alias("part")).groupBy("part").count()
-    return found.join(pruned, "tokens", "left_anti").join(counts, "part").groupBy("tokens", "confidence").agg(F.min(F.struct("count", "part"))["part"].alias("rare"))
+    kept = found.join(pruned, "tokens", "left_anti").withColumn("item", F.explode("tokens")).join(same.select("item", "parts"), "item")
+    return kept.groupBy("tokens", "confidence").agg(
+        F.collect_list("parts").alias("need"), F.max(F.when(F.col("item") == F.col("rare"), F.col("parts"))).alias("rare")).select("need", "confidence", "rare")
 
 
-def judge(pages: DataFrame, labels: DataFrame, support: float = 0.01, confidence: float = 0.6) -> DataFrame:
+def judge(pages: DataFrame, labels: DataFrame, least: int = 3, confidence: float = 0.6) -> DataFrame:
     """page_id, host, path, rule and verdict for every row of ``pages``.
 
     The longest host rule decides; where none fits, a URL is blocked if a mined rule
@@ -92,10 +124,10 @@ def judge(pages: DataFrame, labels: DataFrame, support: float = 0.01, confidence
     rows = with_parts(pages.select("page_id", "url")).withColumns({"fits": host_rule(), "tokens": url_tokens()}).drop("url")
     marks = labels.groupBy(F.col("doc_id").alias("page_id")).agg(F.max((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("blocked"))
     labelled = rows.join(marks.where(F.col("blocked").isNotNull()), "page_id").select("tokens", "blocked")
-    rules = mine(labelled, support, confidence)
+    rules = mine(labelled, least, confidence)
     sets = rows.where(F.col("fits").isNull()).select("tokens").distinct()
-    met = sets.withColumn("rare", F.explode("tokens")).join(rules.select("rare", F.col("tokens").alias("need")), "rare")
-    blocked = met.where(F.size(F.array_except("need", "tokens")) == 0).select("tokens").distinct().withColumn("blocked", F.lit(True))
+    met = sets.withColumn("rare", F.explode("tokens")).join(rules.select(F.explode("rare").alias("rare"), "need"), "rare")
+    blocked = met.where(F.forall("need", lambda parts: F.arrays_overlap(parts, F.col("tokens")))).select("tokens").distinct().withColumn("blocked", F.lit(True))
     return rows.join(blocked, "tokens", "left").select(
         "page_id", "host", "path", F.col("fits")["rule"].alias("rule"),
         F.coalesce(F.col("fits")["verdict"], F.when(F.col("blocked"), "block").otherwise("allow")).alias("verdict"))

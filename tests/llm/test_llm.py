@@ -274,6 +274,21 @@ def test_mined_rules_block(spark):
         assert r.verdict == ("block" if r.host.startswith("bad") else "allow")
 
 
+def test_rare_blocked_hosts_become_rules(spark):
+    host = lambda i: "spam.farm" if i % 600 == 0 else "twin.page/a/b/c/d/e/f/g/h/i/j/k/l/m/n/o/p/q/r/s/t/u/v/w/x/y/z" if i % 600 == 1 else f"good{i % 7}.org"
+    pages = spark.createDataFrame([(i, f"http://{host(i)}/p/{i}") for i in range(6000)], "page_id long, url string")
+    marks = spark.createDataFrame([(i, int(i % 600 > 1 and i % 10 != 3), 0) for i in range(3000)], "doc_id long, quality int, toxic int")
+    for r in urls.judge(pages, marks).collect():
+        assert r.verdict == ("allow" if r.host.startswith("good") else "block")
+
+
+def test_chance_is_no_url_rule(spark):
+    # Each host has 3 of 5 rows blocked, which is also the share of all rows.
+    pages = spark.createDataFrame([(i, f"http://h{i // 5}.org/p/") for i in range(1000)], "page_id long, url string")
+    marks = spark.createDataFrame([(i, int(i % 5 > 2), 0) for i in range(1000)], "doc_id long, quality int, toxic int")
+    assert {r.verdict for r in urls.judge(pages, marks).collect()} == {"allow"}
+
+
 def test_search_equals_brute_force(spark):
     make = np.random.default_rng(3)
     rows = [(i, make.normal(size=8).round(1).tolist()) for i in range(300)]
