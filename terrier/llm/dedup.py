@@ -3,7 +3,9 @@
 A document is its sequence of five-word shingles, each labelled with its occurrence
 number, so that repeats count. Every sketch takes the few labelled shingles of smallest
 hash and keeps the order in which they stand in the text; equal sketches therefore say
-that the shared shingles stand in the same order, as they do after small edits.
+that the shared shingles stand in the same order, as they do after small edits. As many
+sketches take distinct shingles without their number and keep no order; they find texts
+that repeat the same passages more or less often or have them in another order.
 
 1. Equal word sequences become one representative (partial aggregation first).
 2. Representatives that share a sketch form a bucket. Buckets with the same members are
@@ -32,7 +34,7 @@ from pyspark.sql import functions as F
 from terrier.llm.blocks import blocks, grams, mix, whole_windows
 from terrier.session import cut_lineage
 
-SHINGLE, SIMILARITY, SKETCHES, SAMPLED, CHUNK, BAND = 5, 0.8, 20, 3, 512, 32
+SHINGLE, SIMILARITY, SKETCHES, SETS, SAMPLED, CHUNK, BAND = 5, 0.8, 20, 20, 3, 512, 32
 #: Turns in which only heads of classes meet; what they leave apart is compared whole.
 HEAD_TURNS = 3
 _SKETCHED = "doc_id long, h1 long, h2 long, sketches array<long>"
@@ -69,21 +71,29 @@ def occurrences(keys: np.ndarray, owners: np.ndarray) -> np.ndarray:
 
 
 def sketch(keys: np.ndarray, owners: np.ndarray, n: int) -> np.ndarray:
-    """One row of sketches per text; texts without shingles have zeros."""
-    out = np.zeros((n, SKETCHES), np.uint64)
+    """One row of sketches per text, ordered ones and those of sets; texts without shingles have zeros."""
+    out = np.zeros((n, SKETCHES + SETS), np.uint64)
     if not len(keys):
         return out
-    labelled = mix(keys + mix(occurrences(keys, owners).astype(np.uint64)))
-    counts = np.bincount(owners, minlength=n)
+    times = occurrences(keys, owners)
+    first = times == 0
+    seeds = mix(np.arange(1, SKETCHES + SETS + 1, dtype=np.uint64)) | np.uint64(1)
+    _smallest(mix(keys + mix(times.astype(np.uint64))), owners, seeds[:SKETCHES], True, out[:, :SKETCHES])
+    _smallest(mix(keys[first]), owners[first], seeds[SKETCHES:], False, out[:, SKETCHES:])
+    return out
+
+
+def _smallest(labelled: np.ndarray, owners: np.ndarray, seeds: np.ndarray, ordered: bool, out: np.ndarray) -> None:
+    """Fill in the sketches of distinct shingles, in order of the text or of their hash."""
+    counts = np.bincount(owners, minlength=len(out))
     some = np.flatnonzero(counts)
     begins = (np.cumsum(counts) - counts)[some]
     sizes = counts[some]
     top = np.uint64(2**64 - 1)
-    seeds = mix(np.arange(1, SKETCHES + 1, dtype=np.uint64)) | np.uint64(1)
     for s, seed in enumerate(seeds):
         values = labelled * seed
         values ^= values >> np.uint64(29)
-        places = np.full((SAMPLED, len(some)), len(keys))
+        places = np.full((SAMPLED, len(some)), len(labelled))
         for r in range(SAMPLED):
             least = np.minimum.reduceat(values, begins)
             hit = np.flatnonzero(values == np.repeat(least, sizes))
@@ -92,13 +102,13 @@ def sketch(keys: np.ndarray, owners: np.ndarray, n: int) -> np.ndarray:
             real = least != top
             places[r, real] = at[real]
             values[at[real]] = top
-        places.sort(axis=0)                                   # text order
+        if ordered:
+            places.sort(axis=0)                               # text order
         h = np.full(len(some), seed)
         for r in range(SAMPLED):
-            real = places[r] < len(keys)
-            h = np.where(real, mix(h ^ labelled[np.minimum(places[r], len(keys) - 1)]), h)
+            real = places[r] < len(labelled)
+            h = np.where(real, mix(h ^ labelled[np.minimum(places[r], len(labelled) - 1)]), h)
         out[some, s] = mix(h + np.uint64(s))
-    return out
 
 
 def sketched(docs: DataFrame) -> DataFrame:

@@ -192,6 +192,25 @@ def test_classes_equal_brute_force(spark):
     assert dedup.classes(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_repeats_and_moved_paragraphs_are_linked(spark):
+    make = random.Random(6)
+    words = lambda n: ["".join(make.choices("abcdefgh", k=5)) for _ in range(n)]
+    rows = []
+    for k in range(12):
+        if k % 2:
+            passage = words(30)
+            texts = [passage * 100, passage * (30 if k % 3 else 10)]
+        else:
+            parts = [words(80) for _ in range(40)]
+            texts = [sum(parts, []), sum(make.sample(parts, 40), [])]
+        rows += [(2 * k + i, " ".join(t)) for i, t in enumerate(texts)]
+    sets = {i: frozenset(tuple(w[k:k + 5]) for k in range(len(w) - 4)) for i, w in ((i, t.split()) for i, t in rows)}
+    near = {(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    assert near == {(i, i + 1) for i in range(0, 24, 2)}
+    got = {r.doc_id: r.class_id for r in dedup.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {(a, b) for a in got for b in got if a < b and got[a] == got[b]} == near
+
+
 def test_large_buckets_meet_across_chunks(spark, monkeypatch):
     monkeypatch.setattr(dedup, "CHUNK", 4)
     base = [f"w{i}" for i in range(120)]
