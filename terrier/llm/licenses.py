@@ -1,9 +1,10 @@
 """License scans: ordered signature rules behind a keyword prefilter.
 
 A rule is a pattern over lower-case text with a label and a priority. The rules are made
-from a table of licenses and a few sentence forms, some hundreds in all. A block of
-texts is searched once for the keywords; a text is matched only against the rules of the
-keywords it has. Of overlapping detections the one of higher priority stays, then the
+from a table of licenses and a few sentence forms, some hundreds in all. A rule has the
+single words without which it never matches, so that line breaks and comment signs
+between them do not matter. A block of texts is searched once for the longest word of
+each rule; a text is matched only against the rules of which it has all words. Of overlapping detections the one of higher priority stays, then the
 longer, then the earlier; a detection inside another one's interval is dropped, unless
 it comes from a base phrase.
 """
@@ -95,11 +96,15 @@ OUTSIDE[:0x30] = OUTSIDE[0x3A:0x61] = OUTSIDE[0x7B:0x80] = True
 class Rule:
     label: str
     pattern: re.Pattern
-    keyword: str
+    needs: tuple[str, ...]
     priority: int
     weight: float
     base: bool = False
 
+    @property
+    def keyword(self) -> str:
+        return max(self.needs, key=len)
+
 
 def _spaced(words: str) -> str:
     return r"[\s*#/]+".join(map(re.escape, words.split()))
@@ -111,15 +116,15 @@ def rules() -> tuple[Rule, ...]:
     made = []
     edge, stop = rf"(?<!{WORD})", rf"(?!{WORD})"
 
-    def add(label, pattern, keyword, priority, weight, base=False):
-        made.append(Rule(label, re.compile(pattern), keyword, priority, weight, base))
+    def add(label, pattern, needs, priority, weight, base=False):
+        made.append(Rule(label, re.compile(pattern), tuple(needs.split()), priority, weight, base))
 
     for label, words in PHRASES.items():
-        add(label, edge + (SPLIT + "+").join(words) + stop, "license", 50, 0.7, True)
+        add(label, edge + (SPLIT + "+").join(words) + stop, " ".join(words), 50, 0.7, True)
     for label, sentences in SENTENCES.items():
         for text in sentences:
             weight = 0.3 if label == "proprietary" else 1.0
-            add(label, _spaced(text), text.split(",")[0].split(";")[0].split(":")[0][:24], 100, weight)
+            add(label, _spaced(text), text, 100, weight)
     for label, (names, stems, versions) in LICENSES.items():
         for stem in stems:
             add(label, rf"spdx-license-identifier:\s*{re.escape(stem)}(?![a-z])(-?[\d.]+)?(-only|-or-later|\+)?", "spdx", 90, 1.0)
@@ -129,9 +134,9 @@ def rules() -> tuple[Rule, ...]:
             said, suffix = edge + _spaced(name), r"(?:[\s-]+(?:software[\s-]+)?licen[sc]e)"
             for version in versions:
                 add(label, rf"{said}{suffix}?,?[\s(]+(?:version|ver\.?|v\.?)\s*{re.escape(version)}(?![\d.]*\d)", name, 70, 0.9)
-            add(label, rf"(?:licensed|released|distributed|available|published)\s+under\s+(?:the\s+)?(?:terms\s+of\s+(?:the\s+)?)?{_spaced(name)}{stop}", name, 60, 0.9)
+            add(label, rf"(?:licensed|released|distributed|available|published)\s+under\s+(?:the\s+)?(?:terms\s+of\s+(?:the\s+)?)?{_spaced(name)}{stop}", f"{name} under", 60, 0.9)
             if label not in ("proprietary",):
-                add(label, rf"{said}{suffix}{stop}", name, 40, 0.7)
+                add(label, rf"{said}{suffix}{stop}", f"{name} licen", 40, 0.7)
     for label, place in {"apache": "apache.org/licenses", "gpl": "gnu.org/licenses", "mit": "opensource.org/licenses/mit",
                          "mpl": "mozilla.org/mpl", "cc-by": "creativecommons.org/licenses/by", "cc0": "creativecommons.org/publicdomain/zero"}.items():
         add(label, re.escape(place), place, 85, 0.9)
@@ -166,8 +171,8 @@ def detect(text: str) -> list[tuple[int, int, Rule]]:
     """Detections in a lower-case text."""
     by, automaton = prefilter()
     words = {word for _, word in automaton.iter(text)}
-    places = sorted({k for w in words for k in by[w]})
     listed = rules()
+    places = sorted(k for w in words for k in by[w] if all(need in text for need in listed[k].needs))
     return settle([(m.start(), m.end(), listed[k]) for k in places for m in listed[k].pattern.finditer(text)])
 
 

@@ -270,6 +270,24 @@ def test_licenses():
     assert found[4][4] == "apache" and found[5][0] == 0 and len(licenses.rules()) > 200
 
 
+def test_wrapped_headers_meet_their_rules():
+    make = random.Random(3)
+    phrases = [t for texts in licenses.SENTENCES.values() for t in texts]
+    for names, stems, versions in licenses.LICENSES.values():
+        phrases += [f"{n} license" for n in names] + [f"released under the {n}" for n in names] + [f"{n} license, version {v}" for n in names for v in versions]
+        phrases += [f"spdx-license-identifier: {x}" for x in stems] + [f"{x}-{v}" for x in stems for v in versions]
+    wraps = [" ", "\n", "\n * ", "\n# ", "\n// ", "  ", "\u00a0", "\t"]
+    lost = []
+    for phrase in phrases:
+        for text in ("".join(w + make.choice(wraps) for w in phrase.split()), phrase.replace(" ", "\n# "), phrase):
+            every = licenses.settle([(m.start(), m.end(), x) for x in licenses.rules() for m in x.pattern.finditer(text)])
+            lost += [text] * (licenses.detect(text) != every)
+    assert not lost
+    for text in ("all rights\n * reserved", "mozilla\n# public license, version 2.0", "permission is\nhereby granted, free of charge, to any person obtaining a copy"):
+        block = next(blocks([batch(["other", text])], "text", lower=True))
+        assert licenses.suspects(block, licenses.prefilter()[1]) == [1] and licenses.detect(text)
+
+
 def test_license_rows(docs):
     rows = licenses.scan(docs).collect()
     assert len(rows) == docs.count() and all(0 <= r.score <= 1 for r in rows)
