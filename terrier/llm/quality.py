@@ -156,8 +156,9 @@ def train_network(x: np.ndarray, y: np.ndarray, vectors: np.ndarray, hidden: int
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int = 12_000) -> Model:
     """Learn from at most ``most`` labelled documents, chosen by the hash of their id.
 
-    Word vectors are summed over tasks; the network learns from one row of 97 numbers per
-    sampled document on the driver. Without labels every score is 0.5.
+    Word vectors need no labels and are summed over all of ``docs``, each task with sums of
+    fixed size; the network learns from one row of 97 numbers per sampled document on the
+    driver. Without labels every score is 0.5.
     """
     sample = cut_lineage(labelled_sample(docs, labels, label, most), "quality-sample")
     index = index_vectors()
@@ -168,10 +169,11 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int =
             words, shapes, owner = tokens(block)
             contexts(words, owner, index, out)
             n += len(words)
-        yield emit(out / max(n, 1) * 1e3, float(n))
+        yield emit(out / max(n, 1), float(n), kind=np.float32)
 
-    total, _ = averaged(sample.mapInArrow(learn, PARTS))
-    vectors = unit(total.reshape(BUCKETS, DIMENSIONS)) if len(total) else np.zeros((BUCKETS, DIMENSIONS), np.float32)
+    # Single precision, as a word seen once in a large corpus is too small a share for half.
+    total, n = averaged(docs.select("text").mapInArrow(learn, PARTS), kind=np.float32)
+    vectors = unit(total.reshape(BUCKETS, DIMENSIONS) * np.float32(n)) if len(total) else np.zeros((BUCKETS, DIMENSIONS), np.float32)
     shared = docs.sparkSession.sparkContext.broadcast(vectors)
 
     def features(batches):

@@ -139,6 +139,16 @@ def test_quality_learns_held_out(spark):
         assert (r.probability > 0.5) == (r.doc_id % 2 == 1)
 
 
+def test_word_vectors_cover_documents_without_labels(spark):
+    rows = [(i, f"seen{i} among words") for i in range(20)] + [(20 + i, f"common unseen{i} neighbour") for i in range(200)]
+    model = quality.fit(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, quality int"))
+    index, want = quality.index_vectors(), np.zeros_like(model.vectors)
+    for block in blocks([pa.RecordBatch.from_arrays([pa.array([t for _, t in rows])], names=["text"])], "text"):
+        words, _, owner = quality.tokens(block)
+        quality.contexts(words, owner, index, want)
+    assert np.allclose(model.vectors, quality.unit(want), atol=1e-4)
+
+
 def test_language_model(docs):
     lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     counts, held = collections.Counter(), lambda i: zlib.crc32(str(i).encode()) % 5 == 1
