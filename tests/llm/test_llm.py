@@ -166,6 +166,10 @@ def test_language_model(docs):
     assert lm.score(docs.limit(0)).count() == 0
 
 
+def test_feature_table_is_not_halved():
+    assert lm.BUCKETS >= 1 << 13
+
+
 def test_probabilities_sum_to_one():
     p = lm.softmax(np.random.default_rng(1).normal(size=(lm._FEATURES, lm.CLASSES)).astype(np.float32), np.array([[1, lm.BUCKETS, 2 * lm.BUCKETS]]))
     assert abs(float(p.sum()) - 1) < 1e-5
