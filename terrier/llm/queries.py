@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from terrier.llm import bpe, dedup, licenses, lm, packing, pii, quality, rules, search, urls
+from terrier.llm import bpe, codes, dedup, htmltext, licenses, lm, negatives, packing, pii, quality, rules, search, urls
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -89,3 +89,81 @@ def op7_minhash_near_dedup(spark, sf):
 @query
 def op1_lm_scoring(spark, sf):
     return lm.score(table(spark, sf, "documents"))
+
+
+@query
+def op11_hard_negatives(spark, sf):
+    rows = table(spark, sf, "embeddings").select("vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(rows.withColumn("label", moved))
+
+
+ORACLES["op11_hard_negatives"] = """
+WITH v AS (
+  SELECT vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND label IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, CAST(list_dot_product(a.v, c.v) AS BIGINT) AS score
+  FROM v a JOIN v c ON a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id,
+  CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+  vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 100 * score BETWEEN 30 * positive_score AND 90 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) <= 10
+"""
+
+
+@query
+def op12_html_extraction(spark, sf):
+    return htmltext.extract(table(spark, sf, "pages"))
+
+
+@query
+def op13_vector_codes(spark, sf):
+    coded = codes.encode(table(spark, sf, "embeddings"))
+    return coded.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+def _codes_sql(rounds: int = 4) -> str:
+    """Assignment and update of the codebooks, round by round, as one statement."""
+    steps = ["""k AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""", """p AS MATERIALIZED (
+  SELECT vec_id, label, part, list_slice(v, part * (len(v) // 4) + 1, (part + 1) * (len(v) // 4)) AS x
+  FROM k, (SELECT unnest(range(4)) AS part))""", """b0 AS MATERIALIZED (
+  SELECT part, n AS entry, x AS e
+  FROM (SELECT part, x, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS n FROM p) WHERE n < 256)"""]
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} AS MATERIALIZED (
+  SELECT vec_id, label, part, x, best.entry AS entry, best.far AS far FROM (
+    SELECT vec_id, any_value(label) AS label, part, any_value(x) AS x, min({{'far': list_dot_product(x, x)
+      - 2 * list_dot_product(x, e) + list_dot_product(e, e), 'entry': entry}}) AS best
+    FROM p JOIN b{r} USING (part) GROUP BY vec_id, part))""")
+        if r < rounds:
+            steps.append(f"""m{r} AS (
+  SELECT part, entry, list(CAST((total - ((total % n) + n) % n) // n AS DOUBLE) ORDER BY place) AS e FROM (
+    SELECT part, entry, place, sum(CAST(y AS BIGINT)) AS total, count(*) AS n FROM (
+      SELECT part, entry, unnest(x) AS y, generate_subscripts(x, 1) AS place FROM a{r})
+    GROUP BY part, entry, place) GROUP BY part, entry)""")
+            steps.append(f"""b{r + 1} AS MATERIALIZED (
+  SELECT part, entry, coalesce(m{r}.e, b{r}.e) AS e FROM b{r} LEFT JOIN m{r} USING (part, entry))""")
+    steps.append(f"""h AS (
+  SELECT sha256(string_agg(array_to_string(list_transform(e, lambda x: CAST(CAST(x AS BIGINT) AS VARCHAR)), ','), ','
+    ORDER BY part, entry)) AS codebooks_sha256 FROM b{rounds})""")
+    steps.append(f"""c AS (
+  SELECT vec_id, any_value(label) AS label, string_agg(format('{{:02x}}', entry), '' ORDER BY part) AS code,
+    CAST(sum(far) AS BIGINT) AS error FROM a{rounds} GROUP BY vec_id)""")
+    return "WITH " + ",\n".join(steps) + """
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM c, h"""
+
+
+ORACLES["op13_vector_codes"] = _codes_sql()
