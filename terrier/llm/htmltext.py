@@ -53,6 +53,8 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style title textarea xmp iframe noembed noframes".split())
 RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])", re.I) for t in RAW}
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var".split())
+# Elements that end no block although they are no text.
+NO_BREAK = INLINE | frozenset("area audio canvas embed iframe img input link map meta noscript object param picture script source style svg template track video wbr".split())
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section summary table ul".split())
 P_SCOPE = frozenset("button caption html table td template th object".split())
 # An element that ends open ones of its kind, and what keeps them open.
@@ -156,16 +158,16 @@ class Page:
             while inner > outer:
                 self._pop_to(inner)
                 inner = self._last(own)
-        if tag not in INLINE:
+        if tag not in NO_BREAK:
             self._text(" ")
         if tag in VOID:
             return
         self._push(tag, attributes)
-        if tag not in INLINE:
+        if tag not in NO_BREAK:
             self._text(" ")
 
     def _end(self, tag: str) -> None:
-        if tag not in INLINE:
+        if tag not in NO_BREAK:
             self._text(" ")
         places = self._open.get(tag)
         if not places:
@@ -176,7 +178,7 @@ class Page:
         if tag == "p" and depth < self._last(P_SCOPE):
             return
         self._pop_to(depth)
-        if tag not in INLINE:
+        if tag not in NO_BREAK:
             self._text(" ")
 
     # --- what elements are ------------------------------------------------------------
