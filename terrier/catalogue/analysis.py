@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from terrier.catalogue.marts import Warehouse, features_dense, panel_dense
+from terrier.catalogue.marts import Warehouse, features_dense, panel_dense, panel_mean
 from terrier.catalogue.registry import query
 from terrier.catalogue.roles import quantile, ratio, rnd, rnd_once, table
 from terrier.catalogue.sql import (
@@ -219,19 +219,19 @@ def fill(spark, sf):
 
 @query("W06_sliding_sequences", compose("""
 SELECT code_commune, annee, mois, array_to_string(x, '|') AS x, y1, y2, y3 FROM (
-  SELECT code_commune, annee, mois, list(prix_m2_moy::BIGINT) OVER (
+  SELECT code_commune, annee, mois, list(round(prix_m2_moy * 100)::BIGINT) OVER (
       PARTITION BY code_commune ORDER BY annee, mois ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING) AS x,
     prix_m2_moy AS y1, lead(prix_m2_moy, 1) OVER w AS y2, lead(prix_m2_moy, 2) OVER w AS y3
-  FROM (SELECT * REPLACE (trunc(prix_m2_moy) AS prix_m2_moy) FROM panel_dense)
+  FROM panel_dense
   WINDOW w AS (PARTITION BY code_commune ORDER BY annee, mois))
 WHERE len(x) = 12 AND y3 IS NOT NULL"""))
 def sequences(spark, sf):
-    panel = panel_dense(spark, sf).withColumn("prix_m2_moy", F.floor("prix_m2_moy").cast("double"))
+    """Prices to the cent: the windows hold them whole, the text lists them in cents."""
     made = wn.sliding_sequences(
-        panel, "code_commune", ["annee", "mois"], ["prix_m2_moy"], {"y": "prix_m2_moy"})
-    whole = F.transform(F.flatten("x"), lambda v: v.cast("bigint").cast("string"))
+        panel_mean(spark, sf), "code_commune", ["annee", "mois"], ["prix_m2_moy"], {"y": "prix_m2_moy"})
+    cents = F.transform(F.flatten("x"), lambda v: F.rint(v * 100).cast("bigint").cast("string"))
     return made.select(
-        "code_commune", "annee", "mois", F.array_join(whole, "|").alias("x"),
+        "code_commune", "annee", "mois", F.array_join(cents, "|").alias("x"),
         *[F.element_at("y", i).alias(f"y{i}") for i in (1, 2, 3)])
 
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from terrier.catalogue.analysis import panel_sparse
-from terrier.catalogue.marts import Warehouse, features_dense
+from terrier.catalogue.marts import Warehouse, features_dense, features_wide
 from terrier.catalogue.registry import query
 from terrier.catalogue.roles import quantile, rnd
 from terrier.catalogue.sql import BLOCKS, compose
@@ -16,6 +18,8 @@ from terrier.operators import attribution as at
 from terrier.operators import metrics as me
 from terrier.operators import rows
 from terrier.operators import series as se
+from terrier.operators import trees as tr
+from terrier.operators import vectors as ve
 from terrier.plans import forecasting as fc
 from terrier.session import cut_lineage
 
@@ -26,8 +30,11 @@ DENSE_NUMBERS = [
     "prix_m2_roll3m", "prix_m2_roll6m", "prix_m2_roll12m", "evol_1m_pct", "evol_12m_pct",
     "mois_sin", "mois_cos",
 ]
-SPARSE = ["prix", "prix_f"]
+SERIES = fc.SEQUENCE_FEATURES
+TARGET = SERIES[0]
 NAIVE = "prix_m2_lag_1m"
+LABELS = {"surface_moy": "Surface moyenne", "prix_m2_lag_1m": "Prix du mois précédent"}
+ALL_LABELS = {**at.FEATURE_LABELS, **LABELS}
 FIRST = 1900  # the orders lie before 2000
 
 
@@ -42,39 +49,60 @@ _LOADED_SQL = (
 )
 EXTRA = {
     "loaded_dense": _LOADED_SQL,
-    "years_sparse": (
-        "SELECT max(annee) AS test_year, max(annee) FILTER (annee < y) AS val_year FROM panel_sparse, "
-        "(SELECT max(annee) AS y FROM panel_sparse)"
+    "series_wide": (
+        "SELECT code_commune, annee, mois, " + ", ".join(f"{c}::DOUBLE AS {c}" for c in SERIES)
+        + " FROM features_wide WHERE prix_m2_med > 0 AND prix_m2_lag_12m IS NOT NULL"
+    ),
+    "grid_wide": (
+        "SELECT code_commune, year(d)::INTEGER AS annee, month(d)::INTEGER AS mois FROM ("
+        "SELECT code_commune, unnest(generate_series(min(make_date(annee, mois, 1)), "
+        "max(make_date(annee, mois, 1)), INTERVAL 1 MONTH)) AS d FROM series_wide GROUP BY 1)"
     ),
-    "eligible_sparse": (
+    "filled_wide": (
+        "SELECT code_commune, annee, mois, annee * 100 + mois AS periode, "
+        + ", ".join(
+            f"coalesce(last_value({c} IGNORE NULLS) OVER w, "
+            f"first_value({c} IGNORE NULLS) OVER v, 0)::DOUBLE AS {c}" for c in SERIES)
+        + " FROM grid_wide LEFT JOIN series_wide USING (code_commune, annee, mois) "
+        "WINDOW w AS (PARTITION BY code_commune ORDER BY annee, mois "
+        "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), "
+        "v AS (PARTITION BY code_commune ORDER BY annee, mois "
+        "ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)"
+    ),
+    "years_wide": (
+        "SELECT max(annee) AS test_year, max(annee) FILTER (annee < y) AS val_year FROM series_wide, "
+        "(SELECT max(annee) AS y FROM series_wide)"
+    ),
+    "eligible_wide": (
         "SELECT code_commune, o.n AS nb_observes, g.n AS nb_grille, g.t AS nb_train FROM "
-        "(SELECT code_commune, count(*) AS n FROM panel_sparse GROUP BY 1) o JOIN "
+        "(SELECT code_commune, count(*) AS n FROM series_wide GROUP BY 1) o JOIN "
         "(SELECT code_commune, count(*) AS n, count(*) FILTER (annee < val_year) AS t "
-        "FROM filled_sparse, years_sparse GROUP BY 1) g USING (code_commune) "
+        "FROM filled_wide, years_wide GROUP BY 1) g USING (code_commune) "
         "WHERE o.n >= 12 AND g.n >= 21 AND g.t >= 15"
     ),
-    "kept_sparse": "SELECT * FROM filled_sparse WHERE code_commune IN (SELECT code_commune FROM eligible_sparse)",
-    "scaler_sparse": (
+    "kept_wide": "SELECT * FROM filled_wide WHERE code_commune IN (SELECT code_commune FROM eligible_wide)",
+    "scaler_wide": (
         "SELECT code_commune, "
         + ", ".join(
             f"avg({c}) AS {c}_mean, CASE WHEN min({c}) = max({c}) THEN 1 ELSE stddev_pop({c}) END "
-            f"AS {c}_scale" for c in SPARSE)
-        + " FROM kept_sparse, years_sparse WHERE annee < val_year GROUP BY 1"
+            f"AS {c}_scale" for c in SERIES)
+        + " FROM kept_wide, years_wide WHERE annee < val_year GROUP BY 1"
     ),
-    "sequences_sparse": (
-        "SELECT * FROM (SELECT code_commune, periode, "
-        "count(*) OVER b AS n_x, first_value(periode) OVER b AS x_first, sum(prix) OVER b AS x_sum, "
-        "prix AS y1, lead(prix, 1) OVER w AS y2, lead(prix, 2) OVER w AS y3, "
-        "periode AS p1, lead(periode, 1) OVER w AS p2, lead(periode, 2) OVER w AS p3 FROM kept_sparse "
+    "sequences_wide": (
+        "SELECT * FROM (SELECT code_commune, periode, count(*) OVER b AS n_x, "
+        "first_value(periode) OVER b AS x_first, "
+        + ", ".join(f"sum({c}) OVER b AS x_{c}" for c in SERIES)
+        + ", prix_m2_med AS y1, lead(prix_m2_med, 1) OVER w AS y2, lead(prix_m2_med, 2) OVER w AS y3, "
+        "periode AS p1, lead(periode, 1) OVER w AS p2, lead(periode, 2) OVER w AS p3 FROM kept_wide "
         "WINDOW w AS (PARTITION BY code_commune ORDER BY periode), "
         "b AS (PARTITION BY code_commune ORDER BY periode ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING)) "
         "WHERE n_x = 12 AND y3 IS NOT NULL"
     ),
-    "split_sparse": (
+    "split_wide": (
         "SELECT * FROM (SELECT s.*, CASE WHEN p3 // 100 < val_year THEN 'train' "
         "WHEN p1 // 100 = val_year AND p3 // 100 = val_year AND x_first // 100 >= val_year - 1 THEN 'val' "
         "WHEN p1 // 100 = test_year AND p3 // 100 = test_year AND x_first // 100 >= val_year THEN 'test' "
-        "END AS split FROM sequences_sparse s, years_sparse) WHERE split IS NOT NULL"
+        "END AS split FROM sequences_wide s, years_wide) WHERE split IS NOT NULL"
     ),
 }
 
@@ -94,100 +122,143 @@ def monthly_grid(spark, sf):
     return se.monthly_grid(panel_sparse(spark, sf), ENTITY)
 
 
-@query("J05_grid_join", sql("""
-SELECT g.*, g.annee * 100 + g.mois AS periode, prix, prix_f FROM grid_sparse g
-LEFT JOIN panel_sparse USING (code_commune, annee, mois)"""))
-def grid_join(spark, sf):
-    panel = panel_sparse(spark, sf)
-    return se.grid_join(se.monthly_grid(panel, ENTITY), panel, ENTITY, SPARSE)
+class Wide:
+    """The wide series of one data folder with the years of its splits.
 
+    The panel and the filled series are written once; what follows reads them.
+    """
 
-@query("M03_fill_monthly", sql("SELECT * FROM filled_sparse"))
-def fill_monthly(spark, sf):
-    return se.fill_monthly(panel_sparse(spark, sf), ENTITY, SPARSE, after=FIRST)
+    def __init__(self, spark, sf):
+        self.panel = cut_lineage(fc.load_series(features_wide(spark, sf)), "panel")
+        self.train_last, self.val_year, self.test_year = se.last_years(self.panel)
 
+    @property
+    def grid(self):
+        return se.grid_join(se.monthly_grid(self.panel, ENTITY), self.panel, ENTITY, SERIES)
 
-class Sparse:
-    """Filled series with the years of its splits; the panel is written once."""
+    @cached_property
+    def filled(self):
+        return cut_lineage(ve.fill_monthly_vectors(self.panel, ENTITY, SERIES, after=FIRST), "series")
 
-    def __init__(self, spark, sf):
-        self.panel = cut_lineage(panel_sparse(spark, sf), "panel")
-        self.train_last, self.val_year, self.test_year = se.last_years(self.panel)
-        self.filled = se.fill_monthly(self.panel, ENTITY, SPARSE, after=FIRST)
-        self.eligible = se.eligible_entities(self.panel, self.filled, ENTITY, self.val_year)
-        self.kept = self.filled.join(self.eligible.select(ENTITY), ENTITY, "left_semi")
+    @property
+    def eligible(self):
+        return se.eligible_entities(self.panel, self.filled, ENTITY, self.val_year)
+
+    @property
+    def kept(self):
+        return self.filled.join(self.eligible.select(ENTITY), ENTITY, "left_semi")
 
     @property
     def stats(self):
-        return se.fit_scaler(self.kept, ENTITY, SPARSE, F.col("annee") < self.val_year)
+        return ve.fit_vector_scaler(self.kept, ENTITY, F.col("annee") < self.val_year)
 
-    def sequences(self):
-        return se.build_sequences(self.kept, ENTITY, SPARSE, {"y": "prix"})
+    @property
+    def scaled(self):
+        return ve.scale_vectors(self.kept, self.stats, ENTITY, len(SERIES))
 
     def split(self):
-        return se.temporal_split(self.sequences(), self.train_last, self.val_year, self.test_year)
+        named = self.kept.withColumn("_y", F.get(ve.VECTOR, F.lit(0)))
+        made = se.build_sequences(named, ENTITY, ve.VECTOR, {"y": "_y"})
+        return se.temporal_split(made, self.train_last, self.val_year, self.test_year)
+
+
+def _settled(digits: int, prefix: str = ""):
+    return [settle(c, digits).alias(prefix + c) for c in SERIES]
 
 
-@query("M04_eligible_entities", sql("SELECT * FROM eligible_sparse"))
+@query("J05_grid_join", sql(f"""
+SELECT g.*, g.annee * 100 + g.mois AS periode, {', '.join(SERIES)} FROM grid_wide g
+LEFT JOIN series_wide USING (code_commune, annee, mois)"""))
+def grid_join(spark, sf):
+    return Wide(spark, sf).grid
+
+
+@query("M03_fill_monthly", sql("SELECT * FROM filled_wide"))
+def fill_monthly(spark, sf):
+    panel = fc.load_series(features_wide(spark, sf))
+    # Read by the grid and by its join: written once.
+    filled = ve.fill_monthly_vectors(cut_lineage(panel, "panel"), ENTITY, SERIES, after=FIRST)
+    return ve.unpack(filled, SERIES)
+
+
+_GAPS = ["prix", "nb", "prix_f"]
+
+
+@query("M03_fill_monthly_gaps", sql(
+    "SELECT code_commune, annee, mois, annee * 100 + mois AS periode, "
+    + ", ".join(
+        f"coalesce(last_value({c} IGNORE NULLS) OVER w, "
+        f"first_value({c} IGNORE NULLS) OVER v, 0)::DOUBLE AS {c}" for c in _GAPS)
+    + " FROM grid_sparse LEFT JOIN panel_sparse USING (code_commune, annee, mois) "
+    "WINDOW w AS (PARTITION BY code_commune ORDER BY annee, mois "
+    "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), "
+    "v AS (PARTITION BY code_commune ORDER BY annee, mois "
+    "ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)"))
+def fill_gaps(spark, sf):
+    """The panel by customer, where most months have no order."""
+    panel = cut_lineage(panel_sparse(spark, sf), "panel")
+    return ve.unpack(ve.fill_monthly_vectors(panel, ENTITY, _GAPS, after=FIRST), _GAPS)
+
+
+@query("M04_eligible_entities", sql("SELECT * FROM eligible_wide"))
 def eligible(spark, sf):
-    return Sparse(spark, sf).eligible
+    return Wide(spark, sf).eligible
 
 
 @query("M05_fit_scaler", sql("SELECT code_commune, " + ", ".join(
-    f"{rnd(f'{c}_{p}', 4)} AS {c}_{p}" for c in SPARSE for p in ("mean", "scale"))
-    + " FROM scaler_sparse"))
+    f"{rnd(f'{c}_{p}', 4)} AS {c}_{p}" for c in SERIES for p in ("mean", "scale"))
+    + " FROM scaler_wide"))
 def fit_scaler(spark, sf):
-    return Sparse(spark, sf).stats.select(ENTITY, *[
-        settle(f"{c}_{p}", 4).alias(f"{c}_{p}") for c in SPARSE for p in ("mean", "scale")])
+    return Wide(spark, sf).stats.select(ENTITY, *[
+        settle(F.get(p, F.lit(i)), 4).alias(f"{c}_{p}")
+        for i, c in enumerate(SERIES) for p in ("mean", "scale")])
 
 
-@query("M06_scale", sql(f"""
-SELECT code_commune, annee, mois, {rnd('(prix - prix_mean) / prix_scale', 4)} AS prix,
-  {rnd('(prix_f - prix_f_mean) / prix_f_scale', 4)} AS prix_f
-FROM kept_sparse JOIN scaler_sparse USING (code_commune)"""))
+@query("M06_scale", sql("SELECT code_commune, annee, mois, " + ", ".join(
+    f"{rnd(f'({c} - {c}_mean) / {c}_scale', 4)} AS {c}" for c in SERIES)
+    + " FROM kept_wide JOIN scaler_wide USING (code_commune)"))
 def scale(spark, sf):
-    s = Sparse(spark, sf)
-    scaled = se.scale(s.kept, s.stats, ENTITY, SPARSE)
-    return scaled.select(ENTITY, "annee", "mois", *[settle(c, 4).alias(c) for c in SPARSE])
+    return ve.unpack(Wide(spark, sf).scaled, SERIES).select(ENTITY, "annee", "mois", *_settled(4))
 
 
-@query("M06_unscale", sql(f"""
-SELECT code_commune, annee, mois, {rnd('prix', 2)} AS prix FROM kept_sparse"""))
+@query("M06_unscale", sql(
+    f"SELECT code_commune, annee, mois, {rnd('prix_m2_med', 2)} AS prix_m2_med FROM kept_wide"))
 def unscale(spark, sf):
-    s = Sparse(spark, sf)
-    stats = s.stats
-    scaled = se.scale(s.kept, stats, ENTITY, SPARSE)
-    back = se.unscale(scaled, stats, ENTITY, "prix", "prix")
-    return back.select(ENTITY, "annee", "mois", settle("prix", 2).alias("prix"))
+    w = Wide(spark, sf)
+    scaled = w.scaled.select(ENTITY, "annee", "mois", F.get(ve.VECTOR, F.lit(0)).alias(TARGET))
+    back = ve.unscale_value(scaled, w.stats, ENTITY, TARGET, 0)
+    return back.withColumn(TARGET, settle(TARGET, 2))
 
 
-@query("J06_stats_join_back", sql(f"""
-SELECT code_commune, annee, mois, prix, {rnd('prix_mean', 2)} AS moyenne
-FROM kept_sparse JOIN scaler_sparse USING (code_commune)"""))
+@query("J06_stats_join_back", sql("SELECT code_commune, annee, mois, " + ", ".join(
+    f"{rnd(f'{c} - {c}_mean', 2)} AS {c}" for c in SERIES)
+    + " FROM kept_wide JOIN scaler_wide USING (code_commune)"))
 def stats_join(spark, sf):
-    s = Sparse(spark, sf)
-    return s.kept.select(ENTITY, "annee", "mois", "prix").join(s.stats, ENTITY).select(
-        ENTITY, "annee", "mois", "prix", settle("prix_mean", 2).alias("moyenne"))
+    w = Wide(spark, sf)
+    joined = w.kept.join(w.stats, ENTITY)
+    return joined.select(ENTITY, "annee", "mois", *[
+        settle(F.get(ve.VECTOR, F.lit(i)) - F.get("mean", F.lit(i)), 2).alias(c)
+        for i, c in enumerate(SERIES)])
 
 
-@query("M07_temporal_split", sql(f"""
-SELECT code_commune, periode, split, x_first AS x_first_period, {rnd('x_sum', 2)} AS x_somme,
-  y1, y2, y3 FROM split_sparse"""))
+@query("M07_temporal_split", sql(
+    "SELECT code_commune, periode, split, x_first AS x_first_period, "
+    + ", ".join(f"{rnd(f'x_{c}', 2)} AS x_{c}" for c in SERIES) + ", y1, y2, y3 FROM split_wide"))
 def temporal_split(spark, sf):
-    window = F.aggregate(
-        F.transform("x", lambda r: F.element_at(r, 1)), F.lit(0.0), lambda a, v: a + v)
-    return Sparse(spark, sf).split().select(
-        ENTITY, "periode", "split", "x_first_period", settle(window, 2).alias("x_somme"),
+    summed = Wide(spark, sf).split().withColumn("_x", ve.window_sums("x", len(SERIES)))
+    return summed.select(
+        ENTITY, "periode", "split", "x_first_period",
+        *[settle(F.get("_x", F.lit(i)), 2).alias(f"x_{c}") for i, c in enumerate(SERIES)],
         *[F.element_at("y", i).alias(f"y{i}") for i in (1, 2, 3)])
 
 
 @query("M08_sequence_targets", sql(" UNION ALL ".join(
     f"SELECT code_commune, periode AS periode_origine, {h} AS horizon, "
     f"(p{h} // 100)::INTEGER AS annee_pred, (p{h} % 100)::INTEGER AS mois_pred, "
-    f"CASE WHEN y{h} > 0 THEN y{h} END AS reel FROM split_sparse WHERE split = 'test'"
+    f"CASE WHEN y{h} > 0 THEN y{h} END AS reel FROM split_wide WHERE split = 'test'"
     for h in (1, 2, 3))))
 def sequence_targets(spark, sf):
-    test = Sparse(spark, sf).split().where("split = 'test'")
+    test = Wide(spark, sf).split().where("split = 'test'")
     test = test.withColumnRenamed("periode", "periode_origine")
     targets = se.sequence_targets(test, [ENTITY, "periode_origine"], {"y": "reel"})
     return targets.withColumn("reel", se.positive_or_null("reel"))
@@ -205,22 +276,39 @@ def folds(spark, sf):
 
 # --- fits ---------------------------------------------------------------------------------
 
+# A fit takes a minute or more even on small data: queries on one folder share it.
+_FITTED: dict = {}
+
+
+def _fitted(kind: str, spark, sf, make):
+    key = kind, spark.sparkContext.applicationId, sf
+    if key not in _FITTED:
+        _FITTED[key] = make()
+    return _FITTED[key]
+
+
+def _backtest(spark, sf):
+    return _fitted("backtest", spark, sf, lambda: fc.backtest_gbt(
+        _loaded(spark, sf), "essai", DENSE_NUMBERS))
+
+
 @query("M10_backtest_gbt")
 def backtest(spark, sf):
-    done = fc.backtest_gbt(_loaded(spark, sf), "essai", DENSE_NUMBERS)
-    return done.predictions
+    return _backtest(spark, sf).predictions
 
 
 @query("M10_backtest_gbt_metrics")
 def backtest_metrics(spark, sf):
-    done = fc.backtest_gbt(_loaded(spark, sf), "essai", DENSE_NUMBERS)
-    return done.metrics.drop("run_date")
+    return _backtest(spark, sf).metrics.drop("run_date")
 
 
 def _horizons(spark, sf):
-    s = Sparse(spark, sf)
-    sequences, stats = fc.prepare_sequences(s.panel, SPARSE, "prix", after=FIRST)
-    return fc.forecast_multi_horizon(sequences, cut_lineage(stats, "scaler"), "essai", "prix")
+    def make():
+        panel = cut_lineage(fc.load_series(features_wide(spark, sf)), "panel")
+        sequences, stats = fc.prepare_sequences(panel, SERIES, TARGET, after=FIRST)
+        return fc.forecast_multi_horizon(sequences, stats, "essai")
+
+    return _fitted("horizons", spark, sf, make)
 
 
 @query("M11_forecast_multi_horizon")
@@ -233,18 +321,114 @@ def multi_horizon_metrics(spark, sf):
     return _horizons(spark, sf)[1].drop("run_date")
 
 
+def _last_model(spark, sf):
+    """The loaded rows, written once, and the model of the last fold."""
+    def make():
+        df = cut_lineage(_loaded(spark, sf), "loaded")
+        done = fc.backtest_gbt(df, "essai", DENSE_NUMBERS, last_only=True)
+        return df, list(done.models.values())[-1]
+
+    return _fitted("last", spark, sf, make)
+
+
 @query("M18_feature_importance")
 def importance(spark, sf):
-    done = fc.backtest_gbt(_loaded(spark, sf), "essai", DENSE_NUMBERS, last_only=True)
-    return fc.feature_importance(list(done.models.values())[-1], DENSE_NUMBERS, 20)
+    return fc.feature_importance(_last_model(spark, sf)[1], DENSE_NUMBERS, 20)
 
 
 @query("M19_permutation_importance")
 def permutation(spark, sf):
-    df = cut_lineage(_loaded(spark, sf), "loaded")
-    done = fc.backtest_gbt(df, "essai", DENSE_NUMBERS, last_only=True)
-    return fc.permutation_importance(
-        df, list(done.models.values())[-1], DENSE_NUMBERS, [ENTITY, "annee", "mois"])
+    df, model = _last_model(spark, sf)
+    return fc.permutation_importance(df, model, DENSE_NUMBERS, [ENTITY, "annee", "mois"])
+
+
+TREE_FEATURES = [fc.CATEGORY, *DENSE_NUMBERS]
+
+
+def _tree_contributions(spark, sf):
+    df, model = _last_model(spark, sf)
+    kept = [ENTITY, fc.CATEGORY, "annee", "mois", *DENSE_NUMBERS]
+    return fc.tree_contributions(df, model, DENSE_NUMBERS, kept)
+
+
+@query("M19_attribute_trees")
+def attribute_trees(spark, sf):
+    return _tree_contributions(spark, sf).drop(*DENSE_NUMBERS)
+
+
+@query("M20_tree_ranking")
+def tree_ranking(spark, sf):
+    written = cut_lineage(_tree_contributions(spark, sf), "contributions")
+    return at.attribution_ranking(written, TREE_FEATURES, ALL_LABELS)
+
+
+@query("M21_tree_impact_by_group")
+def tree_impact(spark, sf):
+    return at.attribution_by_group(_tree_contributions(spark, sf), "surface_moy", fc.CATEGORY)
+
+
+@query("M22_explain_entity_trees")
+def explain_trees(spark, sf):
+    ids = ["annee", "mois", tr.BASE, tr.PREDICTION]
+    return at.explain_entity(
+        _tree_contributions(spark, sf), ENTITY, "1", ids, TREE_FEATURES, values=True)
+
+
+# A small forest as it stands, so that SQL can walk it: feature, threshold, share, means.
+DECLARED_TREES = [
+    {"weight": 1.0, "root": 1000.0, "feature": "prix_m2_lag_1m", "threshold": 1500.0, "means": (900.0, 1300.0),
+     "then": ("surface_moy", 25.0, (850.0, 960.0), (1250.0, 1340.0))},
+    {"weight": 0.5, "root": 10.0, "feature": "surface_moy", "threshold": 24.0, "means": (-20.0, 35.0),
+     "then": ("mois_sin", 0.0, (-30.0, -5.0), (20.0, 60.0))},
+    {"weight": 0.25, "root": -4.0, "feature": "evol_12m_pct", "threshold": 5.0, "means": (-12.0, 16.0),
+     "then": ("prix_m2_lag_1m", 1450.0, (-15.0, -8.0), (12.0, 22.0))},
+]
+DECLARED_FEATURES = ["prix_m2_lag_1m", "surface_moy", "mois_sin", "evol_12m_pct"]
+
+
+def _declared_forest():
+    place = {c: i for i, c in enumerate(DECLARED_FEATURES)}
+    nodes = []
+    for t, tree in enumerate(DECLARED_TREES):
+        then, at_, *ends = tree["then"]
+        split = lambda i, v, f, cut, left: dict(
+            tree=t, id=i, value=v, left=left, right=left + 1, feature=place[f], threshold=cut, categories=(), of=None)
+        nodes += [split(0, tree["root"], tree["feature"], tree["threshold"], 1),
+                  split(1, tree["means"][0], then, at_, 3), split(2, tree["means"][1], then, at_, 5)]
+        nodes += [dict(tree=t, id=3 + 2 * i + k, value=end[k], left=-1, right=-1, feature=0, threshold=0.0,
+                       categories=(), of=None) for i, end in enumerate(ends) for k in (0, 1)]
+    return tr.Forest.of(nodes, [tree["weight"] for tree in DECLARED_TREES])
+
+
+def _declared_sql(feature: str) -> str:
+    terms = ["0::DOUBLE"]
+    for tree in DECLARED_TREES:
+        first = f"{tree['feature']} <= {tree['threshold']}"
+        then, at_, low, high = tree["then"]
+        left, right = tree["means"]
+        if tree["feature"] == feature:
+            terms.append(f"{tree['weight']} * (CASE WHEN {first} THEN {left} ELSE {right} END - {tree['root']})")
+        if then == feature:
+            second = f"{then} <= {at_}"
+            terms.append(
+                f"{tree['weight']} * CASE WHEN {first} THEN CASE WHEN {second} THEN {low[0]} ELSE {low[1]} END - {left} "
+                f"ELSE CASE WHEN {second} THEN {high[0]} ELSE {high[1]} END - {right} END")
+    return " + ".join(f"({t})" for t in terms)
+
+
+_BASE = sum(t["weight"] * t["root"] for t in DECLARED_TREES)
+
+
+@query("M19_attribute_declared_trees", sql(
+    "SELECT *, " + rnd("base + " + " + ".join(f"contrib_{c}" for c in DECLARED_FEATURES), 4)
+    + f" AS prediction FROM (SELECT code_commune, annee, mois, {_BASE}::DOUBLE AS base, "
+    + ", ".join(f"{rnd(_declared_sql(c), 4)} AS contrib_{c}" for c in DECLARED_FEATURES)
+    + " FROM loaded_dense)"))
+def attribute_declared(spark, sf):
+    features = {c: F.col(c) for c in DECLARED_FEATURES}
+    out = tr.forest_contributions(
+        _loaded(spark, sf), _declared_forest(), features, [ENTITY, "annee", "mois"])
+    return out.withColumns({c: settle(c, 4) for c in out.columns if c[:8] == at.PREFIX or c == tr.PREDICTION})
 
 
 # --- metrics, on the naive forecast (last month's mean) ----------------------------------------
@@ -314,7 +498,6 @@ def histogram(spark, sf):
 # --- attribution: a linear model with two features, exact ---------------------------------------
 
 LINEAR = ["surface_moy", "prix_m2_lag_1m"]
-LABELS = {"surface_moy": "Surface moyenne", "prix_m2_lag_1m": "Prix du mois précédent"}
 
 EXTRA["linear"] = (
     "SELECT m1, m2, (c1 * v2 - c2 * v12) / (v1 * v2 - v12 * v12) AS w1, "
@@ -358,7 +541,6 @@ WEIGHTS = {
     "prix_m2_roll12m": 0.08, "evol_1m_pct": -1.2, "evol_12m_pct": 0.7, "mois_sin": 9.0,
     "mois_cos": -4.0,
 }
-ALL_LABELS = {**at.FEATURE_LABELS, **LABELS}
 
 EXTRA["contributions_all"] = (
     "SELECT code_commune, code_departement, annee, mois, "
@@ -411,12 +593,25 @@ def impact_by_group(spark, sf):
     return at.attribution_by_group(_all_contributions(spark, sf), "surface_moy", "code_departement")
 
 
+EXTRA["base_all"] = (
+    "SELECT " + " + ".join(f"{w}::DOUBLE * avg({c})" for c, w in WEIGHTS.items()) + " AS base FROM loaded_dense")
+
+
 @query("M22_explain_entity", sql(" UNION ALL ".join(
-    f"SELECT annee, mois, '{c}' AS feature, {rnd(f'contrib_{c}', 2)} AS contribution "
-    "FROM contributions_all WHERE code_commune = '1'" for c in WEIGHTS)))
+    f"SELECT annee, mois, {rnd('base', 2)} AS base, '{c}' AS feature, {rnd(c, 2)} AS valeur, "
+    f"{rnd(f'contrib_{c}', 2)} AS contribution FROM contributions_all "
+    f"JOIN loaded_dense USING (code_commune, code_departement, annee, mois), base_all WHERE code_commune = '1'"
+    for c in WEIGHTS)))
 def explain(spark, sf):
-    rows_ = at.explain_entity(_all_contributions(spark, sf), ENTITY, "1", ["annee", "mois"], list(WEIGHTS))
-    return rows_.withColumn("contribution", settle("contribution", 2))
+    """Value, contribution and mean prediction beside each other for one entity."""
+    df = cut_lineage(_loaded(spark, sf), "linear")
+    means = df.agg(*[F.avg(c).alias(c) for c in WEIGHTS]).first().asDict()
+    base = sum(w * means[c] for c, w in WEIGHTS.items())
+    parts = at.linear_contributions(df, WEIGHTS, means).withColumn("base", settle(F.lit(base), 2))
+    rows_ = at.explain_entity(
+        parts, ENTITY, "1", ["annee", "mois", "base"], list(WEIGHTS), values=True)
+    return rows_.withColumns({
+        "valeur": settle(F.col("valeur").cast("double"), 2), "contribution": settle("contribution", 2)})
 
 
 @query("M23_exclude_columns", sql(

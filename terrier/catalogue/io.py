@@ -12,13 +12,15 @@ from datetime import datetime, timezone
 from pyspark.sql import functions as F
 
 from terrier.catalogue import roles
-from terrier.catalogue.forecast import _naive, sql
+from terrier.catalogue.forecast import EXTRA, Wide, _naive, sql
 from terrier.catalogue.parsing import compose
 from terrier.catalogue.registry import query
 from terrier.catalogue.roles import rnd, table
 from terrier.catalogue.texts import TEXTS, text_table
+from terrier.operators.rows import union_pages
+from terrier.operators.series import positive_or_null, sequence_targets
 from terrier.plans import forecasting as fc
-from terrier.session import fresh_path
+from terrier.session import cut_lineage, fresh_path
 from terrier.sources import loaders, parsers, readers, sinks, state
 from terrier.sources.schemas import TABLES, declare_table
 from terrier.streaming import streams
@@ -114,8 +116,8 @@ def vintages(spark, sf):
 
 @query("S08_latest_vintage", f"SELECT max(millesime) AS millesime FROM ({_VINTAGES})")
 def latest(spark, sf):
-    found = readers.catalog_vintages(_catalogue(spark, sf), "view")
-    return found.agg(F.max("millesime").alias("millesime"))
+    newest = readers.latest_vintage(_catalogue(spark, sf), "view")
+    return spark.range(1).select(F.lit(newest).alias("millesime"))
 
 
 # --- writers ----------------------------------------------------------------------------------
@@ -171,11 +173,61 @@ SELECT 'essai' AS run_id, 'naif' AS model_name, count(*) AS n_samples,
   count(DISTINCT code_commune) AS n_communes, {rnd(f'avg(abs({_E}))', 4)}::FLOAT AS mae,
   {rnd(f'sqrt(avg(power({_E}, 2)))', 4)}::FLOAT AS rmse,
   {rnd(f'avg(abs(({_E}) / prix_m2_med)) * 100', 4)}::FLOAT AS mape, 0 AS horizon,
-  2001 AS annee_test, '{{"retard": 1}}' AS params FROM loaded_dense"""))
+  annee AS annee_test, '{{"retard": 1}}' AS params FROM loaded_dense GROUP BY annee"""))
 def write_metrics(spark, sf):
+    """One row per fold, as the backtest writes them."""
+    name = _declared(spark, "model_perf_runs")
+    naive = cut_lineage(_naive(spark, sf), "naive")
+    years = [r.annee for r in naive.select("annee").distinct().collect()]  # one row per year
+    pages = [fc.metrics_frame(naive.where(F.col("annee") == y), "essai", "naif", 0, y, {"retard": 1})
+             for y in sorted(years)]
+    sinks.write_metrics(union_pages(pages), name)
+    return spark.table(name).drop("run_date", "logged_at")
+
+
+def _naive_horizons(spark, sf):
+    """Horizon predictions in the shape of their table: the last known month for all ahead."""
+    test = Wide(spark, sf).split().where("split = 'test'")
+    last = F.get(F.element_at("x", -1), F.lit(0))
+    ahead = test.withColumns({"p": F.array(last, last, last), "a": F.col("y")})
+    targets = sequence_targets(ahead, ["code_commune"], {"a": "_v", "p": "_q"})
+    return targets.select(
+        F.lit("essai").alias("run_id"), "code_commune", "annee_pred", "mois_pred", "horizon",
+        F.col("_q").cast("float").alias("prix_m2_pred"),
+        positive_or_null("_v").cast("float").alias("prix_m2_reel"))
+
+
+EXTRA["split_last"] = (
+    "SELECT s.*, k.prix_m2_med AS y0 FROM split_wide s JOIN (SELECT code_commune, "
+    "lead(periode) OVER (PARTITION BY code_commune ORDER BY periode) AS periode, prix_m2_med "
+    "FROM kept_wide) k USING (code_commune, periode)")
+
+_AHEAD = " UNION ALL ".join(
+    f"SELECT 'essai' AS run_id, code_commune, (p{h} // 100)::INTEGER AS annee_pred, "
+    f"(p{h} % 100)::INTEGER AS mois_pred, {h} AS horizon, y0::FLOAT AS prix_m2_pred, "
+    f"CASE WHEN y{h} > 0 THEN y{h} END::FLOAT AS prix_m2_reel FROM split_last WHERE split = 'test'"
+    for h in (1, 2, 3))
+@query("S14_write_horizon_predictions", sql(_AHEAD))
+def write_horizon_predictions(spark, sf):
+    name = _declared(spark, "preds_lstm_prix_m2")
+    sinks.write_predictions(_naive_horizons(spark, sf), True, name)
+    return spark.table(name).drop("predicted_at")
+
+
+_MEAN_ERROR = "avg(abs(prix_m2_pred::DOUBLE - prix_m2_reel::DOUBLE))"
+_ROOT_ERROR = "sqrt(avg(power(prix_m2_pred::DOUBLE - prix_m2_reel::DOUBLE, 2)))"
+
+
+@query("S15_write_horizon_metrics", sql(f"""
+SELECT run_id, 'naif' AS model_name, count(*) AS n_samples, count(DISTINCT code_commune) AS n_communes,
+  {rnd(_MEAN_ERROR, 4)}::FLOAT AS mae, {rnd(_ROOT_ERROR, 4)}::FLOAT AS rmse, NULL::FLOAT AS mape,
+  horizon, max(annee_pred)::INTEGER AS annee_test, '{{"retard": 1}}' AS params
+FROM ({_AHEAD}) GROUP BY run_id, horizon"""))
+def write_horizon_metrics(spark, sf):
+    """Metrics of the predictions as they were written and read back."""
+    written = write_horizon_predictions(spark, sf)
     name = _declared(spark, "model_perf_runs")
-    frame = fc.metrics_frame(_naive(spark, sf), "essai", "naif", 0, 2001, {"retard": 1})
-    sinks.write_metrics(frame, name)
+    sinks.write_metrics(fc.horizon_metrics(written, {"retard": 1}, "naif"), name)
     return spark.table(name).drop("run_date", "logged_at")
 
 

@@ -58,6 +58,13 @@ class Warehouse:
     def table(self):
         return self._once("tx_table", lambda: cut_lineage(self.transactions, "transactions"))
 
+    def sold(self, *columns: str) -> DataFrame:
+        """Some columns of the transactions as a written table: reports read it twice."""
+        if "tx_table" in self._made:
+            return self.table.select(*columns)
+        return self._once(f"sold_{columns}", lambda: cut_lineage(
+            self.transactions.select(*columns), "sold"))
+
     @property
     def dpe(self):
         return self._once("dpe", lambda: warehouse.fct_dpe_commune(self.stg("dpe")))
@@ -90,8 +97,11 @@ class Warehouse:
 
     @property
     def panel(self):
+        sold = self.sold(
+            "annee", "date_mutation", "code_commune", "code_departement", "type_local", "prix_m2",
+            "surface_reelle_bati", "nombre_pieces_principales")
         return self._once("panel", lambda: features.panel_commune_mois(
-            self.table, self.communes, self.ecln_year))
+            sold, self.communes, self.ecln_year))
 
     @property
     def features(self):
@@ -160,27 +170,28 @@ def int_sitadel(spark, sf):
        compose(f"SELECT {', '.join(warehouse.ENRICHED_COLUMNS)} FROM fct_transactions_enriched"))
 def enriched(spark, sf):
     w = Warehouse(spark, sf, landed=True)
-    return warehouse.fct_transactions_enriched(
-        w.transactions, w.dpe, w.social, w.construction, w.ecln_year)
+    return warehouse.enriched_transactions(w.transactions, w.communes, w.ecln_year)
 
 
 @query("A23_rpt_prix_commune", select("rpt_prix_commune"))
 def rpt_prix_commune(spark, sf):
-    return warehouse.rpt_prix_commune(Warehouse(spark, sf).table)
+    return warehouse.rpt_prix_commune(Warehouse(spark, sf).sold(
+        "annee", "code_commune", "nom_commune", "code_departement", "type_local", "prix_m2",
+        "valeur_fonciere", "surface_reelle_bati", "nombre_pieces_principales"))
 
 
 @query("A24_rpt_dynamique_marche_dept", select("rpt_dynamique_marche_dept"))
 def rpt_dynamique(spark, sf):
     w = Warehouse(spark, sf, landed=True)
     return warehouse.rpt_dynamique_marche_dept(
-        w.table, w.ecln_year, w.construction, w.dpe, w.departements)
+        w.sold("annee", "code_departement", "prix_m2", "surface_reelle_bati"), w.ecln_year, w.construction, w.dpe, w.departements)
 
 
 @query("A25_rpt_tension_immobiliere_dept", select("rpt_tension_immobiliere_dept"))
 def rpt_tension(spark, sf):
     w = Warehouse(spark, sf, landed=True)
     return warehouse.rpt_tension_immobiliere_dept(
-        w.table, w.ecln_year, w.construction, w.social, w.departements)
+        w.sold("annee", "code_departement", "type_local", "prix_m2", "surface_reelle_bati"), w.ecln_year, w.construction, w.social, w.departements)
 
 
 @query("A26_rpt_performance_energetique_dept", select("rpt_performance_energetique_dept"))
@@ -225,10 +236,22 @@ def panel_dense(spark, sf):
     return features.panel_commune_mois(cut_lineage(lots_dense(spark, sf), "lots"))
 
 
+def panel_mean(spark, sf):
+    return features.monthly_means(lots_dense(spark, sf))
+
+
 def features_dense(spark, sf):
     return features.rpt_features_commune_mois(panel_dense(spark, sf))
 
 
+def features_wide(spark, sf):
+    """The feature panel with all its context, on the dense lots: every sequence feature."""
+    w = Warehouse(spark, sf, landed=True)
+    lots = cut_lineage(lots_dense(spark, sf), "lots")
+    return features.rpt_features_commune_mois(
+        features.panel_commune_mois(lots, w.communes, w.ecln_year))
+
+
 @query("A30_rpt_shap_sample", compose("""
 SELECT * FROM features_dense WHERE prix_m2_lag_12m IS NOT NULL AND nb_transactions >= 5
   AND prix_m2_moy > 0

@@ -283,6 +283,18 @@ BLOCKS |= {
     ),
     "panel_dense": panel_sql("lots_dense", []),
     "features_dense": features_sql("panel_dense"),
+    # the same panel with the context of its commune and department
+    "panel_wide": (
+        "SELECT p.*, coalesce(pct_passoires_thermiques, 0) AS pct_passoires_thermiques, conso_ep_moy, "
+        "nb_commences, taux_concretisation, coalesce(nb_entrees_ls, 0) AS nb_entrees_ls, "
+        "prix_m2_neuf_moy, delai_ecoulement_moy FROM panel_dense p "
+        "LEFT JOIN fct_dpe_commune d ON p.code_commune = d.code_commune AND p.annee = d.annee "
+        "LEFT JOIN fct_logement_social r ON p.code_commune = r.code_commune AND p.annee = r.annee "
+        "LEFT JOIN fct_construction s ON p.code_commune = s.code_commune AND p.annee = s.annee "
+        "LEFT JOIN int_ecln_dept_annee e "
+        "ON p.code_departement = e.code_departement AND p.annee = e.annee"
+    ),
+    "features_wide": features_sql("panel_wide"),
     # one entity per customer: months without an order are absent
     "panel_sparse": (
         "SELECT o_custkey::VARCHAR AS code_commune, year(o_orderdate)::INTEGER AS annee, "
@@ -296,17 +308,6 @@ BLOCKS |= {
         "SELECT code_commune, unnest(generate_series(min(make_date(annee, mois, 1)), "
         "max(make_date(annee, mois, 1)), INTERVAL 1 MONTH)) AS d FROM panel_sparse GROUP BY 1)"
     ),
-    "filled_sparse": (
-        "SELECT code_commune, annee, mois, annee * 100 + mois AS periode, "
-        + ", ".join(
-            f"coalesce(last_value({c} IGNORE NULLS) OVER w, "
-            f"first_value({c} IGNORE NULLS) OVER v, 0)::DOUBLE AS {c}" for c in ("prix", "prix_f"))
-        + " FROM grid_sparse LEFT JOIN panel_sparse USING (code_commune, annee, mois) "
-        "WINDOW w AS (PARTITION BY code_commune ORDER BY annee, mois "
-        "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), "
-        "v AS (PARTITION BY code_commune ORDER BY annee, mois "
-        "ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)"
-    ),
 }
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from terrier.functions.numeric import clip, mean, settle
 from terrier.operators.aggregates import count_rows
-from terrier.operators.quantiles import aggregate_with_quantiles, exact_quantiles
+from terrier.operators.quantiles import BAND_LIMIT, aggregate_with_quantiles, exact_quantiles
 
 
 def error(actual: str, predicted: str) -> Column:
@@ -56,7 +56,8 @@ def metrics_by_group(df: DataFrame, actual: str, predicted: str, group: str) ->
     """Error, rows and median actual of every group."""
     parts = {"mae": mae(actual, predicted, 2), "n": F.count(actual)}
     rows = df.select(group, actual, predicted)
-    return aggregate_with_quantiles(rows, [group], parts, actual, {"prix_reel_med": 0.5}, 2)
+    wanted = {"prix_reel_med": 0.5}
+    return aggregate_with_quantiles(rows, [group], parts, actual, wanted, 2, BAND_LIMIT)
 
 
 def mean_over_folds(metrics: DataFrame, digits: int = 1) -> DataFrame:

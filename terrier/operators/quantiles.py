@@ -10,6 +10,13 @@ the bands that hold a wanted rank are ranked value by value:
 3. keep the few bands a wanted rank falls into and rank their values;
 4. interpolate between the two neighbours of every rank.
 
+A band is a fixed step on a logarithmic scale, so one band of a group may still hold very
+many distinct values. With ``limit`` such a band is cut again, into equal steps between its
+least and greatest value, counted, and only the steps with a wanted rank are kept; this is
+repeated until none holds more than ``limit`` distinct values. Each round splits a band, so
+it ends for any values. The counted values are written once for it, as every round reads
+them.
+
 The keys travel as one struct: a struct with NULL fields still equals itself, so
 NULL keys need no null-safe join, and one partitioning serves both the join and
 the window of step 3.
@@ -21,9 +28,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrier.functions.numeric import mean, round_he, settle
+from terrier.session import cut_lineage
 
 BANDS_PER_E_FOLD = 256
 ROW = "_row"
+#: Most distinct values of a band that one task ranks, where a limit is asked for.
+BAND_LIMIT = 65_536
+STEPS = 4096
 
 
 def _name(column: str) -> str:
@@ -48,7 +59,36 @@ def _inside(rank: str) -> str:
     return f"({rank} >= _start AND {rank} < _end)"
 
 
-def _edges(df: DataFrame, keys: list[str], value: str, wanted: dict[str, float]) -> DataFrame:
+def _refined(cells: DataFrame, hit: str, limit: int) -> DataFrame:
+    """``cells`` of the bands with a wanted rank, until no band has over ``limit`` values.
+
+    A band is told by its group and ``_before``, the rows of the group below it.
+    """
+    while True:
+        spans = cells.groupBy("_g", "_before").agg(
+            F.expr("min(_v) AS _least"), F.expr("max(_v) AS _most"), F.expr("count(1) AS _c"))
+        largest = spans.agg(F.max("_c")).first()[0]  # one number
+        if largest is None or largest <= limit:
+            return cells
+        step = f"floor((_v - _least) / (_most - _least) * {STEPS}D)"
+        cut = cells.join(spans, ["_g", "_before"]).selectExpr(
+            "_g", "_before", "_size", "_v", "_n",
+            f"CASE WHEN _c > {limit} THEN least({step}, {STEPS - 1}L) ELSE 0L END AS _step")
+        steps = (
+            cut.groupBy("_g", "_before", "_step").agg(F.expr("sum(_n) AS _m"), F.expr("max(_size) AS _size"))
+            .selectExpr("*", "_before + sum(_m) OVER (PARTITION BY _g, _before ORDER BY _step"
+                             " ROWS UNBOUNDED PRECEDING) AS _end")
+            .selectExpr("_g", "_before", "_step", "_size", "_end", "_end - _m AS _start")
+            .where(hit).select("_g", "_before", "_step", "_start")
+        )
+        cells = cut_lineage(
+            cut.join(steps, ["_g", "_before", "_step"])
+            .selectExpr("_g", "_start AS _before", "_size", "_v", "_n"), "band")
+
+
+def _edges(
+    df: DataFrame, keys: list[str], value: str, wanted: dict[str, float], limit: int | None = None
+) -> DataFrame:
     """Rows ``(_g, _size, _lo_*, _hi_*)`` with the neighbours of every wanted rank.
 
     The expressions are SQL text: they are many, and each text is one call to the JVM.
@@ -62,6 +102,8 @@ def _edges(df: DataFrame, keys: list[str], value: str, wanted: dict[str, float])
         .groupBy("_g", "_band", "_v")
         .agg(F.expr("count(1) AS _n"))
     )
+    if limit is not None:
+        cells = cut_lineage(cells, "cells")
     bands = (
         cells.groupBy("_g", "_band")
         .agg(F.expr("sum(_n) AS _m"))
@@ -77,11 +119,14 @@ def _edges(df: DataFrame, keys: list[str], value: str, wanted: dict[str, float])
     }
     hit = " OR ".join(_inside(end) for pair in ends.values() for end in pair)
     bands = bands.where(hit).selectExpr("_g", "_band", "_start AS _before", "_size")
+    cells, band = cells.join(bands, ["_g", "_band"]), "_band"
+    if limit is not None:
+        kept = cells.select("_g", "_before", "_size", "_v", "_n")
+        cells, band = _refined(cut_lineage(kept, "band"), hit, limit), "_before"
     ranked = (
-        cells.join(bands, ["_g", "_band"])
-        .selectExpr(
+        cells.selectExpr(
             "_g", "_v", "_n", "_size",
-            "_before + sum(_n) OVER (PARTITION BY _g, _band ORDER BY _v ROWS UNBOUNDED PRECEDING)"
+            f"_before + sum(_n) OVER (PARTITION BY _g, {band} ORDER BY _v ROWS UNBOUNDED PRECEDING)"
             " AS _end",
         )
         .selectExpr("*", "_end - _n AS _start")
@@ -106,7 +151,7 @@ def _interpolated(wanted: dict[str, float], digits: int | None) -> list[Column]:
 
 def aggregate_with_quantiles(
     df: DataFrame, keys: list[str], parts: dict[str, Column], value: str,
-    wanted: dict[str, float], digits: int | None = None,
+    wanted: dict[str, float], digits: int | None = None, limit: int | None = None,
 ) -> DataFrame:
     """Aggregates of a group together with exact quantiles of one column.
 
@@ -116,9 +161,10 @@ def aggregate_with_quantiles(
 
     ``df`` is read twice, so it should be a table or a short plan. Groups
     without any value get NULL quantiles. Quantiles are linear between
-    neighbours and ignore NULLs; with ``digits`` they are rounded.
+    neighbours and ignore NULLs; with ``digits`` they are rounded. ``limit`` is for raw
+    numbers; values rounded to a few digits have few of them in a band.
     """
-    edges = _edges(df, keys, value, wanted)
+    edges = _edges(df, keys, value, wanted, limit)
     found = [c for c in edges.columns if c != "_g"]
     edges = edges.select(*[F.col(f"_g.{k}").alias(k) for k in keys], *found)
     rows = df.withColumn(ROW, F.lit(True))
@@ -131,13 +177,13 @@ def aggregate_with_quantiles(
 
 def exact_quantiles(
     df: DataFrame, keys: list[str], value: str, wanted: dict[str, float],
-    digits: int | None = None,
+    digits: int | None = None, limit: int | None = BAND_LIMIT,
 ) -> DataFrame:
     """Quantiles per group; groups without any value are absent.
 
     ``wanted`` maps output column to probability.
     """
-    edges = _edges(df, keys, value, wanted)
+    edges = _edges(df, keys, value, wanted, limit)
     found = [c for c in edges.columns if c != "_g"]
     grouped = edges.groupBy("_g").agg(*[F.max(c).alias(c) for c in found])
     names = [F.col(f"_g.{k}").alias(k) for k in keys]
@@ -162,7 +208,7 @@ def profile_columns(df: DataFrame, columns: list[str], digits: int = 4) -> DataF
     }
     quartiles = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
     return aggregate_with_quantiles(
-        df.select(F.inline(pairs)), ["colonne"], parts, "_v0", quartiles, digits
+        df.select(F.inline(pairs)), ["colonne"], parts, "_v0", quartiles, digits, BAND_LIMIT
     )
 
 

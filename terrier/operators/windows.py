@@ -71,12 +71,12 @@ def fill_series(
 
 
 def sliding_sequences(
-    df: DataFrame, entity: str, order: list[str], features: list[str], ahead: dict[str, str],
+    df: DataFrame, entity: str, order: list[str], features: list[str] | str, ahead: dict[str, str],
     lookback: int = 12, horizon: int = 3, period: str | None = None,
 ) -> DataFrame:
     """Windows of ``lookback`` rows x features with what comes in the next ``horizon`` rows.
 
-    ``x`` holds the rows before the current one. ``ahead`` maps an output array
+    ``features`` are columns, or one array column. ``x`` holds the rows before the current one. ``ahead`` maps an output array
     to the column it takes from the current row on. Only complete windows are
     kept. Inputs must be filled, as collected lists skip NULLs. ``period`` adds
     the first period of ``x``, the last one ahead and all periods ahead.
@@ -87,7 +87,10 @@ def sliding_sequences(
     def upcoming(column: str) -> Column:
         return F.array(*[F.lead(column, h).over(w) if h else F.col(column) for h in range(horizon)])
 
-    vector = F.array(*[F.col(c).cast("double") for c in features])
+    if isinstance(features, str):
+        vector = F.col(features)
+    else:
+        vector = F.array(*[F.col(c).cast("double") for c in features])
     columns = {
         "x": F.collect_list(vector).over(before),
         "_left": F.lead(F.lit(1), horizon - 1).over(w) if horizon > 1 else F.lit(1),

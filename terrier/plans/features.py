@@ -44,6 +44,12 @@ def _sold(digits: int) -> dict[str, Column]:
     }
 
 
+def monthly_means(transactions: DataFrame) -> DataFrame:
+    """The mean price of the panel alone: one aggregate, without the quantiles and the mix."""
+    priced = transactions.where("prix_m2 > 0").withColumn("mois", F.month("date_mutation"))
+    return priced.groupBy(*MONTH_GRAIN).agg(mean("prix_m2", 2).alias("prix_m2_moy"))
+
+
 def panel_commune_mois(
     transactions: DataFrame, communes: DataFrame | None = None, ecln_year: DataFrame | None = None,
 ) -> DataFrame:

@@ -10,16 +10,20 @@ from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from terrier.operators.attribution import permuted
+from terrier.operators.attribution import DONOR, with_donors
 from terrier.operators.metrics import error_metrics, mae, rmse
 from terrier.operators.rows import drop_null, union_pages
 from terrier.operators.series import (
-    HORIZON, LOOKBACK, build_sequences, eligible_entities, fill_monthly, fit_scaler, last_years,
-    positive_or_null, scale, sequence_targets, temporal_split, unscale,
+    HORIZON, LOOKBACK, build_sequences, eligible_entities, last_years, positive_or_null,
+    sequence_targets, temporal_split,
+)
+from terrier.operators.trees import forest, forest_contributions
+from terrier.operators.vectors import (
+    VECTOR, fill_monthly_vectors, fit_vector_scaler, scale_vectors, unscale_value,
 )
 from terrier.session import cut_lineage, use_checkpoints
 from terrier.sources.sinks import params_json
@@ -39,7 +43,7 @@ NUMERIC_FEATURES = [
 ]
 SEQUENCE_FEATURES = [TARGET, *NUMERIC_FEATURES]
 MIN_TRAIN_ROWS = 200
-HELD_OUT = "_held_out"
+FEATURES, CODE = "features", "_cat"
 
 
 def load_features(
@@ -51,6 +55,14 @@ def load_features(
     return known.select(*ids, "annee", "mois", TARGET, *numbers)
 
 
+def load_series(
+    features: DataFrame, columns: list[str] = SEQUENCE_FEATURES, ids: list[str] = (ENTITY,)
+) -> DataFrame:
+    """The same rows for sequences: missing numbers stay NULL, for the fill to take from other months."""
+    known = features.where((F.col(TARGET) > 0) & F.col("prix_m2_lag_12m").isNotNull())
+    return known.select(*ids, "annee", "mois", *[F.col(c).cast("double").alias(c) for c in columns])
+
+
 def walk_forward_folds(df: DataFrame, minimum: int = MIN_TRAIN_ROWS) -> DataFrame:
     """One row per fold: test year, rows before it, rows in it.
 
@@ -73,48 +85,109 @@ def walk_forward_folds(df: DataFrame, minimum: int = MIN_TRAIN_ROWS) -> DataFram
 class TreeParams:
     """Gradient-boosted trees.
 
-    ``trees`` is the most that a fit makes: it stops early once another tree lowers the
-    error on the held-out rows by less than ``tolerance`` of it. ``feature_share`` is the
-    share of features that every split may look at.
+    ``trees`` is the most a model may have. How many it gets is settled on held-out rows:
+    the count with the least mean absolute error, once ``patience`` further trees have not
+    lowered it. ``first`` trees are grown at first, then twice as many, and so on.
+    ``feature_share`` is the share of features that every split may look at.
+    ``rows_per_task`` keeps small data in few tasks.
     """
 
-    trees: int = 200
+    trees: int = 1500
+    patience: int = 50
+    first: int = 96
     depth: int = 6
     step: float = 0.05
     row_share: float = 0.8
     feature_share: float = 0.8
     min_leaf: int = 20
-    tolerance: float = 0.01
+    rows_per_task: int = 50_000
     seed: int = 42
 
-    def regressor(self, label: str, features: str = "features", **extra) -> GBTRegressor:
-        """``extra`` may name the held-out rows by ``validationIndicatorCol``."""
+    def regressor(self, trees: int, label: str, bins: int = 32) -> GBTRegressor:
         return GBTRegressor(
-            labelCol=label, featuresCol=features, lossType="squared", maxIter=self.trees,
+            labelCol=label, featuresCol=FEATURES, lossType="squared", maxIter=trees,
             maxDepth=self.depth, stepSize=self.step, subsamplingRate=self.row_share,
-            featureSubsetStrategy=str(self.feature_share), validationTol=self.tolerance,
-            minInstancesPerNode=self.min_leaf, seed=self.seed, **extra,
+            featureSubsetStrategy=str(self.feature_share), maxBins=bins,
+            minInstancesPerNode=self.min_leaf, seed=self.seed,
         )
 
 
+def chosen_count(errors: list[float], patience: int) -> tuple[int, bool]:
+    """Tree count with the least error, and whether ``patience`` more trees confirmed it.
+
+    ``errors`` has one value per tree count, from one tree on. One tree, or a few, that
+    raise the error end nothing.
+    """
+    best = 0
+    for i, e in enumerate(errors):
+        if e < errors[best]:
+            best = i
+        elif i - best >= patience:
+            return best + 1, True
+    return best + 1, False
+
+
+@dataclass
+class Fit:
+    """A model on all rows, with the errors on the held-out rows that chose its size."""
+
+    model: GBTRegressionModel
+    trees: int
+    errors: list[float]
+
+
+def fit_boosted(
+    train: DataFrame, held: DataFrame | None, label: str, params: TreeParams, bins: int = 32
+) -> Fit:
+    """Choose the number of trees on ``held``, then fit that many on ``train`` and ``held``.
+
+    The errors of all tree counts come from one pass over the held-out rows: their
+    predictions are summed up tree by tree. A fit that is too short is repeated with twice
+    the trees, so choosing costs at most about twice the longest fit. Without held-out
+    rows the model gets ``first`` trees.
+    """
+    def ready(df: DataFrame) -> tuple[DataFrame, int]:
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        return df, df.count()
+
+    train, n = ready(train)
+    try:
+        count, errors = min(params.first, params.trees), []
+        both = train
+        if held is not None:
+            held, more = ready(held)
+            if more:
+                both, trees = train.unionByName(held), count
+                few = train.coalesce(max(1, -(-n // params.rows_per_task)))
+                while True:
+                    model = params.regressor(trees, label, bins).fit(few)
+                    errors = list(model.evaluateEachIteration(held, "absolute"))
+                    count, settled = chosen_count(errors, params.patience)
+                    if settled or trees >= params.trees:
+                        break
+                    trees = min(2 * trees, params.trees)
+            n += more
+        model = params.regressor(count, label, bins).fit(both.coalesce(max(1, -(-n // params.rows_per_task))))
+        return Fit(model, count, errors)
+    finally:
+        train.unpersist()
+        if held is not None:
+            held.unpersist()
+
+
 @dataclass
 class Backtest:
     predictions: DataFrame
     metrics: DataFrame
     models: dict[int, PipelineModel] = field(default_factory=dict)
+    fits: dict[int, Fit] = field(default_factory=dict)
 
 
-def tree_pipeline(
-    numeric: list[str], categories: int, params: TreeParams, label: str = TARGET
-) -> Pipeline:
-    """Department as a categorical feature (unseen ones get their own bin) plus numbers.
-
-    Rows whose ``HELD_OUT`` column is true only tell when to stop.
-    """
+def inputs_pipeline(numeric: list[str]) -> Pipeline:
+    """Department as a categorical feature (unseen ones get their own bin) plus numbers."""
     return Pipeline(stages=[
-        StringIndexer(inputCol=CATEGORY, outputCol="_cat", handleInvalid="keep"),
-        VectorAssembler(inputCols=["_cat", *numeric], outputCol="features", handleInvalid="keep"),
-        params.regressor(label, maxBins=max(32, categories + 2), validationIndicatorCol=HELD_OUT),
+        StringIndexer(inputCol=CATEGORY, outputCol=CODE, handleInvalid="keep"),
+        VectorAssembler(inputCols=[CODE, *numeric], outputCol=FEATURES, handleInvalid="keep"),
     ])
 
 
@@ -125,8 +198,8 @@ def backtest_gbt(
 ) -> Backtest:
     """Fit on the years before, predict the year; ``parallel`` folds are fitted side by side.
 
-    The last year before the test year is held out of the trees and says when to stop;
-    nothing is tuned on the test year.
+    The last year before the test year chooses the number of trees and is trained on
+    afterwards; nothing is tuned on the test year.
     """
     use_checkpoints(df.sparkSession)
     # Every tree reads the rows again: read them from files, not through the plan above.
@@ -139,25 +212,29 @@ def backtest_gbt(
         raise ValueError("no fold has enough history")
     known = drop_null(df, [TARGET])
 
-    def fit(year: int) -> PipelineModel:
+    def fit(year: int) -> tuple[PipelineModel, Fit]:
         before = known.where(F.col("annee") < year)
         last = before.agg(F.max("annee")).first()[0]
-        train = before.withColumn(HELD_OUT, F.col("annee") == last)
-        train = train.persist(StorageLevel.MEMORY_AND_DISK)
-        model = tree_pipeline(numeric, categories, params).fit(train)
-        train.unpersist()
-        return model
+        inputs = inputs_pipeline(numeric).fit(before)
+        rows = inputs.transform(before).select(FEATURES, TARGET, "annee")
+        done = fit_boosted(
+            rows.where(F.col("annee") < last), rows.where(F.col("annee") == last), TARGET, params,
+            bins=max(32, categories + 2))
+        return PipelineModel([*inputs.stages, done.model]), done
 
     years = [fold["annee_test"] for fold in folds]
     with ThreadPoolExecutor(parallel) as pool:
-        models = dict(zip(years, pool.map(inheritable_thread_target(df.sparkSession)(fit), years)))
+        made = dict(zip(years, pool.map(inheritable_thread_target(df.sparkSession)(fit), years)))
     pages, scores = [], []
-    for year, model in models.items():
+    for year, (model, done) in made.items():
         test = known.where(F.col("annee") == year)
         predicted = model.transform(test).withColumnRenamed("prediction", "prix_m2_pred")
         pages.append(predictions_frame(predicted, run_id))
-        scores.append(metrics_frame(predicted, run_id, "gbt", 0, year, params.__dict__))
-    return Backtest(union_pages(pages), union_pages(scores), models)
+        used = {**params.__dict__, "fitted": done.trees}
+        scores.append(metrics_frame(predicted, run_id, "gbt", 0, year, used))
+    return Backtest(
+        union_pages(pages), union_pages(scores), {y: m for y, (m, _) in made.items()},
+        {y: f for y, (_, f) in made.items()})
 
 
 def predictions_frame(predicted: DataFrame, run_id: str, actual: str = TARGET) -> DataFrame:
@@ -199,20 +276,45 @@ def permutation_importance(
 ) -> DataFrame:
     """Growth of the error when one feature is exchanged between rows of a block.
 
-    ``blocks`` is the number of random blocks at every size of the data; give a few per
-    task, so that a block fits in one.
+    Every row meets one donor row of its block, in one window; the model then predicts the
+    row as it is and once for each feature taken from the donor, all in one pass, and one
+    aggregate gives all errors. ``blocks`` is the number of random blocks at every size of
+    the data; give a few per task, so that a block fits in one.
 
-    This ranks features of a tree model; it is not an additive attribution.
+    This ranks features of a tree model; ``tree_contributions`` is the additive
+    attribution.
     """
-    base = model.transform(df).agg(mae(TARGET, "prediction").alias("b"))
-    pages = []
-    for feature in numeric:
-        scored = model.transform(permuted(df, keys, feature, blocks, seed))
-        pages.append(scored.agg(mae(TARGET, "prediction").alias("m")).select(
-            F.lit(feature).alias("feature"), "m"))
-    spread = union_pages(pages)
-    return spread.select(
-        "feature", (F.col("m") - base.select("b").scalar()).alias("importance"))
+    trees = model.stages[-1]
+    inputs = [CODE, *numeric]
+    coded = model.stages[0].transform(df)
+    scored = with_donors(coded.select(*keys, TARGET, *inputs), keys, inputs, blocks, seed)
+
+    def vector(swapped: str | None):
+        cells = [F.col(DONOR)[c] if c == swapped else F.col(c) for c in inputs]
+        return array_to_vector(F.array(*[F.coalesce(c.cast("double"), F.lit(float("nan"))) for c in cells]))
+
+    for i, swapped in enumerate([None, *inputs]):
+        one = trees.copy({trees.featuresCol: "_f", trees.predictionCol: f"_p{i}"})
+        scored = one.transform(scored.withColumn("_f", vector(swapped))).drop("_f")
+    errors = scored.agg(*[mae(TARGET, f"_p{i}").alias(f"_m{i}") for i in range(len(inputs) + 1)])
+    rows = F.array(*[
+        F.struct(F.lit(c).alias("feature"), (F.col(f"_m{i}") - F.col("_m0")).alias("importance"))
+        for i, c in enumerate([CATEGORY, *numeric], 1)])
+    return errors.select(F.inline(rows))
+
+
+def tree_contributions(
+    df: DataFrame, model: PipelineModel, numeric: list[str], ids: list[str]
+) -> DataFrame:
+    """Additive contributions of every feature to the prediction of every row.
+
+    ``contrib_<feature>`` for the department and all numbers, with ``base``, the mean
+    prediction of the training rows as the trees hold it, and ``prediction``. They add up:
+    base plus contributions is the prediction.
+    """
+    coded = model.stages[0].transform(df)
+    features = {CATEGORY: F.col(CODE), **{c: F.col(c) for c in numeric}}
+    return forest_contributions(coded, forest(model.stages[-1]), features, ids)
 
 
 def prepare_sequences(
@@ -222,52 +324,58 @@ def prepare_sequences(
 ) -> tuple[DataFrame, DataFrame]:
     """Scaled sequences with their split, and the scaler of every entity.
 
-    ``x`` and ``y`` are scaled, ``y_actual`` is in the unit of the target.
+    ``x`` and ``y`` are scaled, ``y_actual`` is in the unit of the target. All features
+    of a month are one array. The filled series is read three times (to count, to scale,
+    to cut windows) and therefore written once.
     """
+    place = F.lit(features.index(target))
     train_last, val_year, test_year = last_years(df)
-    filled = fill_monthly(df, entity, features, forward_only, after)
+    filled = cut_lineage(fill_monthly_vectors(df, entity, features, forward_only, after), "series")
     kept = eligible_entities(df, filled, entity, val_year, lookback, horizon).select(entity)
-    filled = filled.join(kept, entity, "left_semi").withColumn("_actual", F.col(target))
-    stats = fit_scaler(filled, entity, features, F.col("annee") < val_year)
-    scaled = scale(filled, stats, entity, features)
-    ahead = {"y": target, "y_actual": "_actual"}
-    made = build_sequences(scaled, entity, features, ahead, lookback, horizon)
+    filled = filled.join(kept, entity, "left_semi").withColumn("_actual", F.get(VECTOR, place))
+    stats = cut_lineage(fit_vector_scaler(filled, entity, F.col("annee") < val_year), "scaler")
+    scaled = scale_vectors(filled, stats, entity, len(features)).withColumn("_y", F.get(VECTOR, place))
+    made = build_sequences(scaled, entity, VECTOR, {"y": "_y", "y_actual": "_actual"}, lookback, horizon)
     return temporal_split(made, train_last, val_year, test_year), stats
 
 
 def forecast_multi_horizon(
-    sequences: DataFrame, stats: DataFrame, run_id: str, target: str = TARGET,
+    sequences: DataFrame, stats: DataFrame, run_id: str, place: int = 0,
     entity: str = ENTITY, horizon: int = HORIZON, params: TreeParams = TreeParams(),
+    parallel: int = 3,
 ) -> tuple[DataFrame, DataFrame]:
     """One regressor per horizon on the flattened window; predictions and metrics.
 
-    Sequences of the validation year say when to stop. The metrics have one row per
-    horizon in the shape of their table: no MAPE, errors 0 where no actual is known,
-    all test sequences and entities counted.
+    Sequences of the validation year choose the number of trees of each horizon and are
+    trained on afterwards; ``parallel`` horizons are fitted side by side. ``place`` is the target's among the features. The metrics have
+    one row per horizon in the shape of their table: no MAPE, errors 0 where no actual is
+    known, all test sequences and entities counted.
     """
-    spark = sequences.sparkSession
-    use_checkpoints(spark)
+    use_checkpoints(sequences.sparkSession)
     arrays = ["y", "y_actual", "y_periods"]
     flat = sequences.select(entity, "split", *arrays, F.flatten("x").alias("_x"))
-    flat = cut_lineage(flat, "sequences").withColumn("features", array_to_vector("_x"))
-    train = flat.where("split IN ('train', 'val')").withColumn(HELD_OUT, F.col("split") == "val")
-    stops = {"validationIndicatorCol": HELD_OUT} if train.where(HELD_OUT).head(1) else {}
+    flat = cut_lineage(flat, "sequences").withColumn(FEATURES, array_to_vector("_x"))
+
+    def fit(h: int) -> Fit:
+        labelled = flat.select(FEATURES, F.element_at("y", h + 1).alias("_y"), "split")
+        return fit_boosted(
+            labelled.where("split = 'train'"), labelled.where("split = 'val'"), "_y", params)
+
+    with ThreadPoolExecutor(parallel) as pool:
+        run = inheritable_thread_target(sequences.sparkSession)(fit)
+        fits = list(pool.map(run, range(horizon)))
     scored = flat.where("split = 'test'")
-    for h in range(horizon):
-        labelled = train.select("features", F.element_at("y", h + 1).alias("_y"), HELD_OUT)
-        labelled = labelled.persist(StorageLevel.MEMORY_AND_DISK)
-        model = params.regressor("_y", **stops).setPredictionCol(f"_p{h}").fit(labelled)
-        labelled.unpersist()
-        scored = model.transform(scored)
+    for h, done in enumerate(fits):
+        scored = done.model.setPredictionCol(f"_p{h}").transform(scored)
     scored = scored.withColumn("p", F.array(*[F.col(f"_p{h}") for h in range(horizon)]))
     rows = sequence_targets(scored, [entity], {"y_actual": "_v", "p": "_q"})
-    rows = unscale(rows, stats, entity, "_q", target)
+    rows = unscale_value(rows, stats, entity, "_q", place)
     predictions = rows.select(
         F.lit(run_id).alias("run_id"), F.col(entity).alias(ENTITY), "annee_pred", "mois_pred",
         "horizon", F.col("_q").cast("float").alias("prix_m2_pred"),
         positive_or_null("_v").cast("float").alias("prix_m2_reel"),
     )
-    return predictions, horizon_metrics(predictions, params.__dict__)
+    return predictions, horizon_metrics(predictions, {**params.__dict__, "fitted": [f.trees for f in fits]})
 
 
 def horizon_metrics(predictions: DataFrame, params: dict, model: str = "gbt_horizon") -> DataFrame:

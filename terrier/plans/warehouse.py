@@ -200,8 +200,15 @@ def fct_transactions_enriched(
     The three commune contexts are merged before the transactions see them: one
     join on (year, commune) instead of three.
     """
-    context = commune_context(dpe, social, permits)
-    return enrich(transactions, context, ecln_year, salts).select(*ENRICHED_COLUMNS)
+    return enriched_transactions(
+        transactions, commune_context(dpe, social, permits), ecln_year, salts)
+
+
+def enriched_transactions(
+    transactions: DataFrame, communes: DataFrame, ecln_year: DataFrame, salts: int = 1
+) -> DataFrame:
+    """The same over contexts that are merged, and best written, already."""
+    return enrich(transactions, communes, ecln_year, salts).select(*ENRICHED_COLUMNS)
 
 
 # --- reports -----------------------------------------------------------------------

@@ -49,6 +49,31 @@ def test_quantiles_against_brute_force(spark):
             assert math.isclose(got[k][name], float(np.quantile(values, p)), rel_tol=1e-12, abs_tol=1e-9)
 
 
+def test_dense_bands_are_cut_again(spark):
+    """One band of one group with very many values, and tiny values of all magnitudes."""
+    dense = spark.range(200_000).selectExpr("'dense' AS k", "1000D + id * 1e-5 AS v")
+    tiny = spark.range(20_000).selectExpr("'tiny' AS k", "pow(10D, -3 - id / 70D) AS v")
+    few = spark.range(40).selectExpr("CAST(NULL AS STRING) AS k", "CAST(id AS DOUBLE) AS v")
+    df = dense.union(tiny).union(few).union(spark.sql("SELECT 'dense', CAST('Infinity' AS DOUBLE)"))
+    got = {r["k"]: r for r in exact_quantiles(df, ["k"], "v", PROBS, limit=100).collect()}
+    plain = {r["k"]: r for r in exact_quantiles(df, ["k"], "v", PROBS, limit=None).collect()}
+    assert got == plain and set(got) == {"dense", "tiny", None}
+    want = np.quantile(1000 + np.arange(200_000) * 1e-5, 0.5, method="lower")
+    assert abs(got["dense"].p50 - want) < 2e-5 and got["dense"].p100 == math.inf
+
+
+def test_no_task_ranks_more_than_the_limit(spark):
+    from terrier.operators import quantiles as qu
+
+    df = spark.range(300_000).selectExpr("1000D + id * 1e-6 AS v")
+    cells = df.selectExpr("struct('_' AS a) AS _g", "0L AS _before", "300000L AS _size", "v AS _v", "1L AS _n")
+    hit = "(floor(0.5D * (_size - 1)) >= _start AND floor(0.5D * (_size - 1)) < _end)"
+    kept = qu._refined(cells, hit, 500)
+    assert 0 < kept.count() <= 500
+    row = kept.agg(F.min("_before"), F.max("_v")).first()
+    assert row[0] <= 149_999 < row[0] + kept.count()
+
+
 def test_aggregate_with_quantiles_keeps_all_groups(spark):
     rows = [("a", 1.0), ("a", 3.0), ("b", None), (None, 5.0)]
     df = spark.createDataFrame(rows, "k STRING, v DOUBLE")

@@ -4,6 +4,8 @@ from pyspark.sql import functions as F
 from terrier.operators import attribution as at
 from terrier.operators import metrics as me
 from terrier.operators import series as se
+from terrier.operators import trees as tr
+from terrier.operators import vectors as ve
 from terrier.plans import forecasting as fc
 
 
@@ -38,16 +40,44 @@ def test_sequence_count(spark):
     assert row.y_last_period == 202103
 
 
-def test_scaler(spark):
-    df = panel(spark, 20)
-    stats = se.fit_scaler(df, "code_commune", ["x", "c"], F.col("annee") == 2020)
-    xs = [r.x for r in df.where("code_commune = 'a' AND annee = 2020").collect()]
+def test_vector_scaler(spark):
+    df = ve.pack(panel(spark, 20), ["x", "c"])
+    stats = ve.fit_vector_scaler(df, "code_commune", F.col("annee") == 2020)
+    xs = [r.v[0] for r in df.where("code_commune = 'a' AND annee = 2020").collect()]
     row = stats.where("code_commune = 'a'").first()
-    assert np.isclose(row.x_mean, np.mean(xs)) and np.isclose(row.x_scale, np.std(xs))
-    assert row.c_scale == 1.0
-    back = se.unscale(se.scale(df, stats, "code_commune", ["x"]), stats, "code_commune", "x", "x")
-    diff = back.join(df.withColumnRenamed("x", "x0"), ["code_commune", "annee", "mois"])
-    assert diff.where(F.abs(F.col("x") - F.col("x0")) > 1e-9).count() == 0
+    assert np.isclose(row["mean"][0], np.mean(xs)) and np.isclose(row.scale[0], np.std(xs))
+    assert row.scale[1] == 1.0 and row["mean"][1] == 1.0
+    scaled = ve.unpack(ve.scale_vectors(df, stats, "code_commune", 2), ["x", "c"])
+    assert scaled.where("c <> 0").count() == 0
+    back = ve.unscale_value(scaled, stats, "code_commune", "x", 0)
+    diff = back.join(ve.unpack(df, ["x0", "c0"]), ["code_commune", "annee", "mois"])
+    assert diff.count() == df.count() and diff.where(F.abs(F.col("x") - F.col("x0")) > 1e-9).count() == 0
+
+
+def test_one_training_row_gives_scale_one(spark):
+    df = spark.createDataFrame([("a", 2020, [3.0, 4.0]), ("a", 2021, [9.0, 9.0])], "e STRING, annee INT, v ARRAY<DOUBLE>")
+    row = ve.fit_vector_scaler(df, "e", F.col("annee") == 2020).first()
+    assert list(row["mean"]) == [3.0, 4.0] and list(row.scale) == [1.0, 1.0]
+
+
+def test_wide_series_equal_single_columns(spark):
+    """Filled arrays, one window for all features, against the columns filled one by one."""
+    names = [f"f{i}" for i in range(24)]
+    df = panel(spark, 30).select("code_commune", "annee", "mois", *[
+        F.when((F.col("mois") + F.lit(i)) % 4 > 0, F.col("x") * F.lit(float(i))).alias(c) for i, c in enumerate(names)])
+    filled = ve.fill_monthly_vectors(df, "code_commune", names)
+    wide = ve.unpack(filled, names)
+    for c in (names[0], names[7], names[23]):
+        one = se.fill_monthly(df.select("code_commune", "annee", "mois", c), "code_commune", [c])
+        assert wide.select("code_commune", "periode", c).exceptAll(one.select("code_commune", "periode", c)).count() == 0
+    assert wide.count() == 2 * 29  # the last month is a gap of the panel
+    plan = filled._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Window [") == 1
+
+
+def test_window_sums(spark):
+    df = spark.createDataFrame([([[1.0, 2.0], [3.0, 5.0]],)], "x ARRAY<ARRAY<DOUBLE>>")
+    assert list(df.select(ve.window_sums("x", 2).alias("s")).first().s) == [4.0, 7.0]
 
 
 def test_splits_are_disjoint_and_inside_their_years(spark):
@@ -127,9 +157,108 @@ def test_backtest_never_trains_on_the_test_year(spark):
     df = spark.createDataFrame(
         rows, "code_commune STRING, code_departement STRING, annee INT, mois INT, "
               "prix_m2_med DOUBLE, f DOUBLE")
-    done = fc.backtest_gbt(df, "r", ["f"], fc.TreeParams(trees=3, depth=3, step=0.5, min_leaf=1))
+    done = fc.backtest_gbt(df, "r", ["f"], fc.TreeParams(trees=6, first=3, patience=2, depth=3, step=0.5, min_leaf=1))
     assert sorted(done.models) == [2022, 2023]
     assert done.predictions.count() == 400
     got = {r.annee_test: (r.n_samples, r.n_communes) for r in done.metrics.collect()}
     assert got == {2022: (200, 7), 2023: (200, 7)}
     assert fc.feature_importance(done.models[2023], ["f"]).first().feature == "f"
+
+
+def test_one_noisy_tree_ends_no_fit():
+    errors = [10, 9, 9.5, 9.4, 8, 7, 7.2, 7.1, 6.9, *[7.5] * 4]
+    assert fc.chosen_count(errors, 3) == (9, True)
+    assert fc.chosen_count(errors, 10) == (9, False)   # more trees are needed to be sure
+    assert fc.chosen_count([5.0], 50) == (1, False)
+    assert fc.chosen_count([5.0, 6.0, 7.0], 2) == (1, True)
+    assert fc.chosen_count([10, 11, 12, 1], 2) == (1, True)
+
+
+def boosted_rows(spark, n=600):
+    rows = [(i % 7, 1990 + i % 3, float(i % 50), float(i * 13 % 40), float((i % 50) ** 2 + 30 * (i * 13 % 40) + (i % 7) * 100))
+            for i in range(n)]
+    return spark.createDataFrame(rows, "g INT, annee INT, a DOUBLE, b DOUBLE, prix_m2_med DOUBLE").withColumns({
+        "code_departement": F.col("g").cast("string"), "code_commune": F.concat(F.lit("c"), F.monotonically_increasing_id())})
+
+
+def test_staged_fit_chooses_and_refits(spark):
+    df = fc.inputs_pipeline(["a", "b"]).fit(boosted_rows(spark)).transform(boosted_rows(spark))
+    params = fc.TreeParams(trees=40, first=4, patience=3, depth=3, step=0.3, min_leaf=2)
+    train, held = df.where("annee < 1992"), df.where("annee = 1992")
+    done = fc.fit_boosted(train, held, "prix_m2_med", params)
+    assert done.trees == fc.chosen_count(done.errors, 3)[0] and len(done.errors) > 4
+    assert done.model.getNumTrees == done.trees
+    # The staged errors are those of the growing sums of trees.
+    fitted = params.regressor(len(done.errors), "prix_m2_med").fit(train.coalesce(1))
+    row = fitted.transform(held).agg(F.avg(F.abs(F.col("prediction") - F.col("prix_m2_med")))).first()[0]
+    assert np.isclose(row, done.errors[-1])
+    # The chosen model has seen the held-out rows: their error is lower than when they were held out.
+    after = done.model.transform(held).agg(F.avg(F.abs(F.col("prediction") - F.col("prix_m2_med")))).first()[0]
+    assert after < done.errors[done.trees - 1]
+
+
+def test_without_held_out_rows_the_first_trees_stay(spark):
+    df = fc.inputs_pipeline(["a", "b"]).fit(boosted_rows(spark)).transform(boosted_rows(spark))
+    params = fc.TreeParams(trees=40, first=3, depth=2, min_leaf=2)
+    assert fc.fit_boosted(df, df.where("annee > 2000"), "prix_m2_med", params).trees == 3
+
+
+def walked(nodes, weights, x):
+    """Contributions of one row, node by node."""
+    by = {(n["tree"], n["id"]): n for n in nodes}
+    out, base = [0.0] * len(x), 0.0
+    for t, w in enumerate(weights):
+        n = by[t, 0]
+        base += w * n["value"]
+        while n["left"] >= 0:
+            v = x[n["feature"]]
+            left = v in n["categories"] if n["of"] is not None else v <= n["threshold"]
+            c = by[t, n["left"] if left else n["right"]]
+            out[n["feature"]] += w * (c["value"] - n["value"])
+            n = c
+    return out, base
+
+
+def node(tree, id, value, left=-1, right=-1, feature=0, threshold=0.0, categories=(), of=None):
+    return dict(tree=tree, id=id, value=value, left=left, right=right, feature=feature, threshold=threshold, categories=categories, of=of)
+
+
+def test_contributions_against_brute_force():
+    nodes = [node(0, 0, 10.0, 1, 2, 0, 5.0), node(0, 1, 7.0, 3, 4, 1, None, (0.0, 2.0), 3), node(0, 2, 14.0),
+             node(0, 3, 6.0), node(0, 4, 9.0), node(1, 0, 1.0, 1, 2, 1, None, (1.0,), 3), node(1, 1, -1.0), node(1, 2, 2.0), node(2, 0, 3.0)]
+    weights = [1.0, 0.5, 0.25]
+    trees = tr.Forest.of(nodes, weights)
+    x = np.array([[a, b] for a in (4.0, 5.0, 6.0, np.nan) for b in (0.0, 1.0, 2.0, 3.0)])
+    got = trees.contributions(x, cells=7)
+    for row, parts in zip(x, got):
+        want, base = walked(nodes, weights, row)
+        assert np.allclose(parts, want) and np.isclose(trees.base, base)
+
+
+def test_tree_contributions_add_up_to_the_prediction(spark):
+    df = boosted_rows(spark)
+    inputs = fc.inputs_pipeline(["a", "b"]).fit(df)
+    params = fc.TreeParams(trees=12, first=12, patience=50, depth=4, step=0.3, min_leaf=2)
+    done = fc.fit_boosted(inputs.transform(df), None, "prix_m2_med", params)
+    model = fc.PipelineModel([*inputs.stages, done.model])
+    got = fc.tree_contributions(df, model, ["a", "b"], ["code_commune", "annee", "prix_m2_med"])
+    want = model.transform(df).select("code_commune", F.col("prediction").alias("p"))
+    both = got.join(want, "code_commune")
+    off = F.abs(F.col("prediction") - F.col("p")) + F.abs(F.col("base") + F.col("contrib_code_departement") + F.col("contrib_a") + F.col("contrib_b") - F.col("p"))
+    assert both.count() == 600 and both.where(off > 1e-6).count() == 0
+    ranking = at.attribution_ranking(got, ["code_departement", "a", "b"])
+    assert ranking.first().feature == "a"
+    one = at.explain_entity(got.join(df.select("code_commune", "a", "b"), "code_commune"), "code_commune", "c0", ["base"], ["a", "b"], values=True)
+    assert [(r.feature, float(r.valeur)) for r in one.collect()] == [("a", 0.0), ("b", 0.0)]
+
+
+def test_permutation_needs_one_exchange(spark):
+    df = boosted_rows(spark)
+    inputs = fc.inputs_pipeline(["a", "b"]).fit(df)
+    params = fc.TreeParams(trees=8, first=8, depth=4, step=0.3, min_leaf=2)
+    model = fc.PipelineModel([*inputs.stages, fc.fit_boosted(inputs.transform(df), None, "prix_m2_med", params).model])
+    out = fc.permutation_importance(df, model, ["a", "b"], ["code_commune"], 4)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Window [") <= 2
+    got = {r.feature: r.importance for r in out.collect()}
+    assert set(got) == {"code_departement", "a", "b"} and got["a"] > got["b"] > 0
