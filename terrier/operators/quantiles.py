@@ -13,8 +13,9 @@ the bands that hold a wanted rank are ranked value by value:
 A band is a fixed step on a logarithmic scale, so one band of a group may still hold very
 many distinct values. With ``limit`` such a band is cut again, into equal steps between its
 least and greatest value, counted, and only the steps with a wanted rank are kept; this is
-repeated until none holds more than ``limit`` distinct values. Each round splits a band, so
-it ends for any values. The counted values are written once for it, as every round reads
+repeated until none holds more than ``limit`` distinct values. Steps are equal on a
+logarithmic scale while a band spans more than a factor of 16, as the one round zero may.
+Each round splits a band, so it ends for any values. The counted values are written once for it, as every round reads
 them.
 
 The keys travel as one struct: a struct with NULL fields still equals itself, so
@@ -66,11 +67,15 @@ def _refined(cells: DataFrame, hit: str, limit: int) -> DataFrame:
     """
     while True:
         spans = cells.groupBy("_g", "_before").agg(
-            F.expr("min(_v) AS _least"), F.expr("max(_v) AS _most"), F.expr("count(1) AS _c"))
+            F.expr("min(_v) AS _least"), F.expr("max(_v) AS _most"), F.expr("count(1) AS _c"),
+            F.expr("min(CASE WHEN _v <> 0 THEN abs(_v) END) AS _tiny"), F.expr("max(abs(_v)) AS _big"))
         largest = spans.agg(F.max("_c")).first()[0]  # one number
         if largest is None or largest <= limit:
             return cells
-        step = f"floor((_v - _least) / (_most - _least) * {STEPS}D)"
+        scaled = {x: f"CASE WHEN _big <= 16 * _tiny THEN {x} WHEN {x} = 0 THEN 0D "
+                     f"ELSE signum({x}) * (ln(abs({x})) - ln(_tiny) + 1) END" for x in ("_v", "_least", "_most")}
+        low = scaled["_least"]
+        step = f"floor(({scaled['_v']} - {low}) / ({scaled['_most']} - {low}) * {STEPS}D)"
         cut = cells.join(spans, ["_g", "_before"]).selectExpr(
             "_g", "_before", "_size", "_v", "_n",
             f"CASE WHEN _c > {limit} THEN least({step}, {STEPS - 1}L) ELSE 0L END AS _step")
@@ -144,7 +149,7 @@ def _interpolated(wanted: dict[str, float], digits: int | None) -> list[Column]:
     for name, p in wanted.items():
         rank = _rank(p)
         lo, hi = _name("_lo_" + name), _name("_hi_" + name)
-        q = F.expr(f"{lo} + ({hi} - {lo}) * ({rank} - floor({rank}))")
+        q = F.expr(f"CASE WHEN {lo} = {hi} THEN {lo} ELSE {lo} + ({hi} - {lo}) * ({rank} - floor({rank})) END")
         result.append((settle(q, digits) if digits is not None else q).alias(name))
     return result
 
