@@ -14,14 +14,14 @@ from pyspark.sql import functions as F
 from terrier.catalogue import roles
 from terrier.catalogue.forecast import EXTRA, Wide, _naive, sql
 from terrier.catalogue.parsing import compose
-from terrier.catalogue.registry import query
+from terrier.catalogue.registry import ORACLES, QUERIES, query
 from terrier.catalogue.roles import rnd, table
 from terrier.catalogue.texts import TEXTS, text_table
 from terrier.operators.rows import union_pages
 from terrier.operators.series import positive_or_null, sequence_targets
 from terrier.plans import forecasting as fc
 from terrier.session import cut_lineage, fresh_path
-from terrier.sources import loaders, parsers, readers, sinks, state
+from terrier.sources import commits, loaders, parsers, readers, sinks, state
 from terrier.sources.schemas import TABLES, declare_table
 from terrier.streaming import streams
 
@@ -372,6 +372,112 @@ def reload(spark, sf):
         "annee", "zone_code", "zone_libelle", "nb_terrains", "nb_maisons")
 
 
+# --- committed loads: one for every source ------------------------------------------------------
+
+def _ledger(spark, table_name: str) -> commits.Ledger:
+    """A new raw table with its own commits, in the shared folder."""
+    name = _name("commits")
+    declare_table(spark, TABLES[commits.COMMITS], name, fresh_path(spark, name))
+    return commits.Ledger(TABLES[table_name], fresh_path(spark, table_name), name)
+
+
+def _landed_years(spark, sf, name: str, year: str, gzip: bool = False):
+    """One folder of CSV a year; rows without a year lie with the first one."""
+    path = fresh_path(spark, name)
+    rows_ = text_table(spark, sf, name).withColumn("_y", F.expr(year))
+    least, most = rows_.agg(F.min("_y"), F.max("_y")).first()
+    writer = rows_.fillna(least, ["_y"]).write.partitionBy("_y").options(header=True, sep=",", escape='"')
+    if gzip:
+        writer = writer.option("compression", "gzip")
+    writer.csv(path)
+    return (lambda y: f"{path}/_y={y}"), least, most
+
+
+def _loaded_once(
+    spark, sf, source: loaders.SourceSpec, ledger: commits.Ledger, kind: str, since=None, again=True
+):
+    """A load that dies before its commit, the load again, and a third run that finds nothing."""
+    for unit in source.units(spark, since):
+        ledger.stage(unit.rows, "lost")
+        break
+    commits.committed_load(spark, source, ledger, since=since)
+    if again:
+        commits.committed_load(spark, source, ledger)
+    return ledger.read(spark).select(*QUERIES[f"T08_parse_{kind}"](spark, sf).columns)
+
+
+@query("I11_committed_dvf", ORACLES["T08_parse_dvf"])
+def committed_dvf(spark, sf):
+    path, least, most = _landed_years(
+        spark, sf, "dvf_text", "year(try_to_date(substr(date_mutation, 1, 10)))", True)
+    return _loaded_once(
+        spark, sf, loaders.dvf(path, most), _ledger(spark, "raw_dvf"), "dvf", str(least - 1))
+
+
+@query("I11_committed_insee", ORACLES["T08_parse_insee"])
+def committed_insee(spark, sf):
+    path, least, most = _landed_years(spark, sf, "insee_text", "try_cast(annee AS INT)")
+    return _loaded_once(
+        spark, sf, loaders.insee(path, most), _ledger(spark, "raw_insee_communes"), "insee",
+        str(least - 1))
+
+
+@query("I11_committed_dpe", ORACLES["T08_parse_dpe"].replace(
+    "SELECT numero_dpe", "SELECT * FROM (SELECT numero_dpe")
+    + ") WHERE date_etablissement_dpe >= DATE '1998-01-01'")
+def committed_dpe(spark, sf):
+    path = _landed_pages(spark, sf, "dpe_text", "results")
+    return _loaded_once(
+        spark, sf, loaders.dpe(path, lines=True), _ledger(spark, "raw_dpe"), "dpe", "1997-12-31")
+
+
+def _without_mark(name: str) -> str:
+    """SQL of a whole parse: the statement of the marked one without its last condition."""
+    text = ORACLES[name]
+    return text[: text.rindex("WHERE")].rstrip()
+
+
+@query("I11_committed_sitadel", _without_mark("T08_parse_sitadel"))
+def committed_sitadel(spark, sf):
+    path, ledger = _landed_csv(spark, sf, "sitadel_text", ";"), _ledger(spark, "raw_sitadel")
+    source = loaders.sitadel(lambda _: path, "2024-01", state=ledger.commits)
+    return _loaded_once(spark, sf, source, ledger, "sitadel")
+
+
+@query("I11_committed_ecln", _without_mark("T08_parse_ecln"))
+def committed_ecln(spark, sf):
+    """An unreadable quarter sorts after every mark: a third run would load it again, for the
+    replacing key to absorb."""
+    path = _landed_pages(spark, sf, "ecln_text", "data")
+    return _loaded_once(
+        spark, sf, loaders.ecln(path, lines=True), _ledger(spark, "raw_ecln"), "ecln", again=False)
+
+
+@query("I11_committed_rpls", ORACLES["T08_parse_rpls"])
+def committed_rpls(spark, sf):
+    path = _landed_csv(spark, sf, "rpls_text", ";")
+    vintages_ = spark.range(1).select(F.lit("2024-01").alias("millesime"))
+    return _loaded_once(
+        spark, sf, loaders.rpls(lambda _: path, vintages_), _ledger(spark, "raw_rpls"), "rpls")
+
+
+@query("I11_committed_macro", _without_mark("T08_parse_macro") + "\nWHERE d IS NOT NULL")
+def committed_macro(spark, sf):
+    path = _landed_csv(spark, sf, "macro_text", ",")
+    return _loaded_once(
+        spark, sf, loaders.macro(path), _ledger(spark, "raw_macro_taux"), "macro")
+
+
+@query("I12_committed_eptb", ORACLES["T08_parse_eptb"])
+def committed_eptb(spark, sf):
+    """Reloaded twice: the second state replaces the first."""
+    ledger = _ledger(spark, "raw_eptb")
+    parsed = QUERIES["T08_parse_eptb"](spark, sf)
+    for _ in range(2):
+        commits.committed_reload(spark, parsed, ledger, "eptb")
+    return ledger.read(spark).select(*parsed.columns)
+
+
 # --- streams -------------------------------------------------------------------------------------
 
 def _event_stream(spark, sf):
@@ -392,14 +498,36 @@ def stream_ingest(spark, sf):
     return spark.table(name).select("id_mutation", "id_parcelle", "valeur_fonciere")
 
 
-@query("X02_stream_dedup", "SELECT DISTINCT user_id, event_type FROM events")
+@query("X01_ingest_once", compose("SELECT id_mutation, id_parcelle, valeur_fonciere FROM raw_dvf"))
+def ingest_once(spark, sf):
+    """Several batches; the last one runs a second time, as after a crash before its checkpoint."""
+    landed = fresh_path(spark, "landing")
+    raw = roles.raw_dvf(spark, sf).drop("_loaded_at")
+    raw.write.option("maxRecordsPerFile", max(1, raw.count() // 4)).parquet(landed)
+    ledger = _ledger(spark, "raw_dvf")
+    stream = streams.read_landing(spark, landed, raw.schema, files_per_batch=3)
+    query_ = commits.ingest_once(stream, ledger, lambda b: b, landed + "-checkpoint", "lots")
+    query_.awaitTermination()
+    last = ledger.committed(spark).agg(F.max(commits.UNIT)).first()[0]
+    attempt = spark.read.parquet(ledger.path).where(F.col(commits.UNIT) == last)
+    again = cut_lineage(attempt.select(*raw.columns), "batch")
+    commits.load_batch(spark, again, ledger, "lots", int(last.rsplit("-", 1)[1]))
+    return ledger.read(spark).select("id_mutation", "id_parcelle", "valeur_fonciere")
+
+
+@query("X02_stream_dedup", """
+SELECT user_id, event_type, count(*) AS n FROM (SELECT DISTINCT user_id, event_type FROM events)
+GROUP BY ALL""")
 def stream_dedup(spark, sf):
-    """The delay spans the data, so each pair is kept once."""
-    stream = streams.stream_dedup(
-        _event_stream(spark, sf), ["user_id", "event_type"], "ts", "60 days")
-    path = fresh_path(spark, "dedup")
-    return streams.run_to_table(
-        stream.select("user_id", "event_type"), path, path + "-checkpoint")
+    """Pairs come again in every batch, at any distance; the sink keeps each once."""
+    events = table(spark, sf, "events").select("user_id", "event_type", "ts")
+    landed = fresh_path(spark, "events")
+    events.repartition(8, "ts").write.parquet(landed)
+    stream = streams.read_landing(spark, landed, events.schema, files_per_batch=2)
+    path = fresh_path(spark, "first")
+    kept = streams.run_to_first_rows(
+        stream, path, path + "-checkpoint", ["user_id", "event_type"], ["ts"])
+    return kept.groupBy("user_id", "event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("X03_stream_tumbling_panel", f"""

@@ -112,7 +112,7 @@ def insee(path_of, target: int, year: int | None = None) -> SourceSpec:
     )
 
 
-def dpe(path: str, full_refresh: bool = False) -> SourceSpec:
+def dpe(path: str, full_refresh: bool = False, lines: bool = False) -> SourceSpec:
     """Landed certificate pages; one mark after all complete dates are written.
 
     The mark is set once for the whole load, not page by page, so a crash in the
@@ -121,7 +121,7 @@ def dpe(path: str, full_refresh: bool = False) -> SourceSpec:
     record = ", ".join(f"{c} STRING" for c in parsers.DPE_NAMES)
 
     def units(spark: SparkSession, mark: str | None):
-        parsed = parsers.parse_dpe(readers.read_json_pages(spark, path, record, "results"))
+        parsed = parsers.parse_dpe(readers.read_json_pages(spark, path, record, "results", lines=lines))
         fresh = parsed if full_refresh else since_next_day(parsed, "date_etablissement_dpe", mark)
         yield Unit(fresh, mark_of("date", "date_etablissement_dpe"))
 
@@ -149,11 +149,11 @@ def sitadel(
     return SourceSpec("sitadel", "raw_sitadel", units)
 
 
-def ecln(path: str) -> SourceSpec:
+def ecln(path: str, lines: bool = False) -> SourceSpec:
     record = ", ".join(f"{c} STRING" for c in parsers.ECLN_NAMES)
 
     def units(spark: SparkSession, mark: str | None):
-        pages = readers.read_json_pages(spark, path, record)
+        pages = readers.read_json_pages(spark, path, record, lines=lines)
         yield Unit(parsers.parse_ecln(pages, mark), mark_of("quarter"))
 
     return SourceSpec("ecln", "raw_ecln", units)

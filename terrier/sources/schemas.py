@@ -135,6 +135,12 @@ TABLES: dict[str, TableSpec] = {
             "source STRING, last_value STRING",
             keys=("source",), version="updated_at", ties=("last_value",),
         ),
+        TableSpec(
+            "_ingestion_commits",
+            "source STRING, last_value STRING, table_name STRING, unit STRING, attempt STRING, n BIGINT",
+            keys=("source",), version="updated_at", ties=("last_value",),
+            notes="marks with the attempts that came with them",
+        ),
         TableSpec(
             "preds_ml_prix_m2",
             "run_id STRING, code_commune STRING, annee_pred INT, mois_pred INT, "

@@ -20,9 +20,12 @@ def ensure_state(spark: SparkSession, name: str = STATE) -> str:
 
 
 def current_marks(state: DataFrame) -> DataFrame:
-    """Newest value per source; equal times are settled by the greater value."""
+    """Newest value per source; equal times are settled by the greater value.
+
+    Rows without a value (commits of loads that have no mark) move nothing.
+    """
     newest = F.max(F.struct("updated_at", "last_value")).alias("_m")
-    return state.groupBy("source").agg(newest).select(
+    return state.where(F.col("last_value").isNotNull()).groupBy("source").agg(newest).select(
         "source", F.col("_m.last_value").alias("last_value"),
         F.col("_m.updated_at").alias("updated_at"),
     )

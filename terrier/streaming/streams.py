@@ -36,7 +36,7 @@ def stream_ingest(
 
     The stream's checkpoint takes the place of the high-water mark. A batch that
     runs again after a crash appends its rows again; the replacing key of the
-    table absorbs the repeat on reading.
+    table absorbs the repeat on reading. ``commits.ingest_once`` has each batch once.
     """
     def load(batch: DataFrame, _: int) -> None:
         append_with_load_ts(parse(batch), spec, table)
@@ -79,6 +79,38 @@ def run_to_table(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(path)
 
 
+def run_to_first_rows(
+    stream: DataFrame, path: str, checkpoint: str, keys: list[str], order: list[str]
+) -> DataFrame:
+    """Process what is available and keep the first row of every key, however far apart repeats lie.
+
+    The rows written so far are the table of known keys: a batch keeps its first row of each
+    key by ``order`` (ties by the other columns) and drops keys of earlier batches in a join
+    on disk, so no key is held in the memory of the stream and no delay is needed. A batch
+    writes into a folder of its own and looks at earlier folders only, so a batch that runs
+    again replaces itself. NULL keys equal each other.
+    """
+    spark = stream.sparkSession
+    values = [c for c in stream.columns if c not in keys]
+    schema = StructType([*stream.schema.fields, StructField("_batch", LongType())])
+    spark.createDataFrame([], stream.schema).write.mode("overwrite").parquet(f"{path}/_batch=-1")
+
+    def fresh(batch: DataFrame, number: int) -> None:
+        first = F.min(F.struct(*order, *[c for c in values if c not in order])).alias("_first")
+        own = batch.groupBy(*keys).agg(first).select(*keys, "_first.*").select(*stream.columns)
+        known = batch.sparkSession.read.schema(schema).parquet(path).where(F.col("_batch") < number)
+        known = known.select(*[F.col(k).alias(f"_known_{k}") for k in keys])
+        same = [own[k].eqNullSafe(known[f"_known_{k}"]) for k in keys]
+        own.join(known, same, "left_anti").write.mode("overwrite").parquet(f"{path}/_batch={number}")
+
+    query = (
+        stream.writeStream.foreachBatch(fresh).option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    return spark.read.schema(schema).parquet(path).select(*stream.columns)
+
+
 def run_to_versions(stream: DataFrame, path: str, checkpoint: str, keys: list[str]) -> DataFrame:
     """Process what is available in update mode and read the newest row of every key.
 

@@ -5,7 +5,7 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
-from terrier.sources import loaders, parsers, readers, sinks, state
+from terrier.sources import commits, loaders, parsers, readers, sinks, state
 from terrier.sources.schemas import TABLES, declare_table
 from terrier.streaming import streams
 
@@ -229,6 +229,79 @@ def test_stream_dedup_and_late_rows(spark, tmp_path):
     assert sorted(r.k for r in out.collect()) == ["a", "b"]
 
 
+def test_first_rows_at_any_distance(spark, tmp_path):
+    days = [(f"2020-01-{d:02d} 00:00:00", k, d) for d in range(1, 29, 3) for k in ("a", None, f"k{d % 2}")]
+    for n, (ts, k, d) in enumerate(days):
+        spark.createDataFrame([(k, ts, d)], "k STRING, ts STRING, v INT").coalesce(1).write.parquet(f"{tmp_path}/in/{n:03d}")
+    schema = spark.createDataFrame([], "k STRING, ts STRING, v INT").schema
+    stream = streams.read_landing(spark, f"{tmp_path}/in/*", schema, files_per_batch=5)
+    out = streams.run_to_first_rows(stream, f"{tmp_path}/out", f"{tmp_path}/ck", ["k"], ["ts"])
+    got = sorted(((r.k or "", r.v) for r in out.collect()))
+    assert [k for k, _ in got] == ["", "a", "k0", "k1"]
+    assert len([x for x in os.listdir(f"{tmp_path}/out") if x.startswith("_batch=")]) >= 6
+    # A run that goes on later leaves known keys as they are.
+    spark.createDataFrame([("a", "2019-01-01 00:00:00", 99), ("z", "2030-01-01 00:00:00", 7)], schema).coalesce(1).write.parquet(f"{tmp_path}/in/999")
+    stream = streams.read_landing(spark, f"{tmp_path}/in/*", schema, files_per_batch=5)
+    out = streams.run_to_first_rows(stream, f"{tmp_path}/out", f"{tmp_path}/ck", ["k"], ["ts"])
+    assert sorted(((r.k or "", r.v) for r in out.collect())) == sorted([*got, ("z", 7)])
+
+
+@pytest.fixture
+def ledger(names, tmp_path):
+    return commits.Ledger(TABLES["raw_dvf"], f"{tmp_path}/ledger", names["state"])
+
+
+def lots(spark, ids, year=2021):
+    return spark.createDataFrame([(str(i), year) for i in ids], "id_mutation STRING, annee INT")
+
+
+def test_a_load_that_dies_before_its_commit_counts_once(spark, names, tmp_path, ledger):
+    spec = loaders.dvf(yearly(tmp_path), 2022)
+    died = next(iter(spec.units(spark, None)))
+    ledger.stage(died.rows, "lost")
+    assert ledger.read(spark).count() == 0 and mark_of(spark, names, "dvf") is None
+    assert commits.committed_load(spark, spec, ledger) == 4
+    assert mark_of(spark, names, "dvf") == "2022"
+    got = ledger.read(spark)
+    assert got.count() == 4 and got.select("id_mutation").distinct().count() == 4
+    assert got.columns == TABLES["raw_dvf"].schema.fieldNames()
+    assert commits.committed_load(spark, spec, ledger) == 0
+    assert commits.committed_load(spark, spec, ledger, full_refresh=True) == 4
+
+
+def test_a_failing_unit_leaves_the_ones_before_it(spark, names, tmp_path, ledger):
+    yearly(tmp_path, (2021,))
+    with pytest.raises(Exception):
+        commits.committed_load(spark, loaders.dvf(lambda y: f"{tmp_path}/{y}.csv", 2022), ledger)
+    assert mark_of(spark, names, "dvf") == "2021" and ledger.read(spark).count() == 2
+
+
+def test_a_unit_is_read_from_its_newest_commit(spark, ledger):
+    commits.load_batch(spark, lots(spark, range(5)), ledger, "s", 0)
+    commits.load_batch(spark, lots(spark, range(5, 8)), ledger, "s", 1)
+    commits.load_batch(spark, lots(spark, range(5, 8)), ledger, "s", 1)     # after a crash
+    assert sorted(int(r.id_mutation) for r in ledger.read(spark).collect()) == list(range(8))
+    commits.committed_reload(spark, lots(spark, [1]), ledger, "dvf")
+    commits.committed_reload(spark, lots(spark, [2, 3]), ledger, "dvf")
+    assert ledger.read(spark).count() == 10
+    plan = ledger.read(spark)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan
+
+
+def test_two_streams_and_a_replay(spark, tmp_path, ledger):
+    raw = lots(spark, range(40)).repartition(4)
+    raw.write.parquet(f"{tmp_path}/in")
+    for _ in range(2):
+        stream = streams.read_landing(spark, f"{tmp_path}/in", raw.schema, files_per_batch=1)
+        commits.ingest_once(stream, ledger, lambda b: b, f"{tmp_path}/ck", "a").awaitTermination()
+    assert ledger.committed(spark).count() == 4 and ledger.read(spark).count() == 40
+    last = ledger.committed(spark).agg(F.max(commits.UNIT)).first()[0]
+    rows = spark.read.parquet(ledger.path).where(F.col(commits.UNIT) == last).drop(commits.UNIT, commits.ATTEMPT, "_loaded_at")
+    replay = spark.createDataFrame(rows.collect(), rows.schema)
+    commits.load_batch(spark, replay, ledger, "a", int(last.rsplit("-", 1)[1]))
+    assert ledger.read(spark).count() == 40
+
+
 def test_append_mode_keeps_open_windows_back(spark, tmp_path):
     rows = [(f"2024-01-0{d} 10:00:00", 1.0) for d in (1, 2, 3, 4)]
     df = spark.createDataFrame(rows, "ts STRING, v DOUBLE").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
