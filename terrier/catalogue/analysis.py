@@ -525,16 +525,4 @@ def quality_report(spark, sf):
         "fct_marche_neuf": w.marche_neuf, "fct_logement_social": w.social,
         "fct_dpe_commune": w.dpe, "int_ecln_dept_annee": w.ecln_year,
     }
-    # A table with several checks is written once, with the columns that they read.
-    checks = []
-    for name in _CHECKED:
-        rules = qa.DECLARED[name]
-        df = made[name]
-        if not name.startswith("stg_") and (rules.get("unique") or rules.get("grain")):
-            used = dict.fromkeys([*rules["not_null"], *rules.get("unique", []), *rules.get("accepted", {}),
-                                  *(c for grain in rules.get("grain", []) for c in grain)])
-            df = cut_lineage(df.select(*used), name)
-        checks += qa.declared_checks(df, name)
-    return qa.quality_report(checks)
-
-
+    return qa.quality_report([qa.declared_checks(made[name], name) for name in _CHECKED])

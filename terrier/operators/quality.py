@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from terrier.session import cut_lineage
+
 SHAPE = ["check", "table", "column", "failures"]
 
 
@@ -58,6 +60,53 @@ def quality_report(checks: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), checks).select(*SHAPE)
 
 
+def check_once(
+    df: DataFrame, table: str, known: list[str] = (), accepted: dict[str, list] | None = None,
+    unique_columns: list[str] = (), grains: list[list[str]] = (),
+) -> DataFrame:
+    """All checks of one table in one pass over it, the same lines as the single checks.
+
+    Every row gives one cell for each check of single rows that it fails, and the hash of
+    its key for each key that must be unique; equal cells are counted, combined before the
+    shuffle. Only keys whose hash came twice are counted exactly, in a second look at the
+    rows with these hashes; a table without repeats is read once.
+    """
+    wrong = [("not_null", c, F.col(c).isNull()) for c in known]
+    wrong += [("accepted_values", c, ~F.col(c).isin(*v)) for c, v in (accepted or {}).items()]
+    keys = [("unique", [c], F.col(c).isNotNull()) for c in unique_columns]
+    keys += [("unique_grain", list(g), F.lit(True)) for g in grains]
+
+    def cell(i: int, when, value):
+        return F.when(when, F.struct(F.lit(i).alias("i"), value.alias("h")))
+
+    cells = [cell(i, bad, F.lit(0).cast("long")) for i, (_, _, bad) in enumerate(wrong)]
+    cells += [cell(len(wrong) + j, there, F.xxhash64(*k)) for j, (_, k, there) in enumerate(keys)]
+    each = df.select(F.explode(F.filter(F.array(*cells), lambda c: c.isNotNull())).alias("_c"))
+    counted = each.groupBy("_c").agg(F.count(F.lit(1)).alias("_n")).select("_c.i", "_c.h", "_n")
+    found = cut_lineage(counted.where((F.col("i") < len(wrong)) | (F.col("_n") > 1)), "checks")
+    seen = {r["i"] for r in found.select("i").distinct().collect()}  # at most one row per check
+
+    lines = []
+    for i, (check, column, _) in enumerate(wrong):
+        total = found.where(F.col("i") == i).agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("failures"))
+        lines.append((check, column, total if i in seen else None))
+    for j, (check, k, there) in enumerate(keys, len(wrong)):
+        repeats = found.where(F.col("i") == j).select(F.col("h").alias("_h"))
+        again = df.where(there).join(repeats, F.xxhash64(*k) == F.col("_h"), "left_semi")
+        groups = again.groupBy(*k).agg(F.count(F.lit(1)).alias("_n"))
+        exact = groups.agg(F.count_if(F.col("_n") > 1).alias("failures"))
+        lines.append((check, ",".join(k), exact if j in seen else None))
+    clean = [(check, table, column) for check, column, rows in lines if rows is None]
+    pages = [df.sparkSession.range(1).select(F.inline(F.array(*[
+        F.struct(F.lit(a).alias("check"), F.lit(b).alias("table"), F.lit(c).alias("column"),
+                 F.lit(0).cast("long").alias("failures")) for a, b, c in clean])))] if clean else []
+    pages += [
+        rows.select(F.lit(check).alias("check"), F.lit(table).alias("table"),
+                    F.lit(column).alias("column"), F.col("failures").cast("long").alias("failures"))
+        for check, column, rows in lines if rows is not None]
+    return quality_report(pages)
+
+
 # The declared checks of the warehouse tables.
 DECLARED: dict[str, dict] = {
     "stg_dvf": {"not_null": ["date_mutation", "annee", "code_departement"]},
@@ -123,10 +172,9 @@ DECLARED: dict[str, dict] = {
 }
 
 
-def declared_checks(df: DataFrame, table: str) -> list[DataFrame]:
-    """The declared checks of one table."""
+def declared_checks(df: DataFrame, table: str) -> DataFrame:
+    """The declared checks of one table, in one pass."""
     rules = DECLARED[table]
-    checks = [row_checks(df, table, rules["not_null"], rules.get("accepted"))]
-    checks += [unique(df, table, c) for c in rules.get("unique", [])]
-    checks += [unique_grain(df, table, keys) for keys in rules.get("grain", [])]
-    return checks
+    return check_once(
+        df, table, rules["not_null"], rules.get("accepted"), rules.get("unique", []),
+        rules.get("grain", []))

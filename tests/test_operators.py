@@ -206,6 +206,25 @@ def test_quality_report(spark):
                    ("accepted_values", "l"): 1, ("unique_grain", "k,l"): 0}
 
 
+def test_checks_in_one_pass_equal_single_checks(spark, tmp_path):
+    rows = [(i % 7 if i % 5 else None, None if i % 11 == 0 else "AZ"[i % 2], i, i // 2) for i in range(200)]
+    rows += [(None, None, None, None), (None, None, None, None)]
+    df = spark.createDataFrame(rows, "k INT, l STRING, u INT, g INT")
+    single = qa.quality_report([
+        qa.not_null(df, "t", ["k", "l", "u"]), qa.accepted_values(df, "t", "l", ["A"]),
+        qa.unique(df, "t", "k"), qa.unique(df, "t", "u"), qa.unique_grain(df, "t", ["k", "l"]),
+        qa.unique_grain(df, "t", ["u", "g"])])
+    once = qa.check_once(df, "t", ["k", "l", "u"], {"l": ["A"]}, ["k", "u"], [["k", "l"], ["u", "g"]])
+    assert sorted(map(tuple, once.collect())) == sorted(map(tuple, single.collect()))
+    assert once.columns == qa.SHAPE
+    df.where("u IS NOT NULL").write.parquet(f"{tmp_path}/t")
+    clean = qa.check_once(spark.read.parquet(f"{tmp_path}/t"), "t", ["u"], None, ["u"], [["u", "g"]])
+    assert "parquet" not in plan(clean).lower()             # without repeats the table is not read again
+    assert sorted(r["failures"] for r in clean.collect()) == [0, 0, 0]
+    empty = qa.check_once(df.limit(0), "t", ["k"], {"l": ["A"]}, ["u"], [["g"]])
+    assert [r["failures"] for r in empty.collect()] == [0] * 4
+
+
 def test_declared_checks_cover_the_tables():
     for rules in qa.DECLARED.values():
         assert rules["not_null"]
