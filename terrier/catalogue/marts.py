@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,7 +12,8 @@ from terrier.catalogue.registry import query
 from terrier.catalogue.sql import compose, select
 from terrier.functions.numeric import settle
 from terrier.plans import features, staging, warehouse
-from terrier.session import cut_lineage
+from terrier.session import cut_lineage, fresh_path
+from terrier.sources import sinks
 
 
 class Warehouse:
@@ -115,6 +118,18 @@ for _id, _name in (("T02", "dvf"), ("T03", "dpe"), ("T04", "sitadel"), ("T05", "
     )
 
 
+def _bucketed(spark, df: DataFrame, label: str, keys: list[str], buckets: int = 16) -> DataFrame:
+    name = f"{label}_{uuid.uuid4().hex[:12]}"
+    return sinks.bucketed(df, name, keys, buckets, location=fresh_path(spark, name))
+
+
+@query("T02_stg_dvf_bucketed", select("stg_dvf"))
+def stg_dvf_bucketed(spark, sf):
+    """Deduplication of a raw table that is bucketed by its identifier: no exchange."""
+    raw = _bucketed(spark, roles.raw_dvf(spark, sf), "raw_dvf", ["id_mutation"])
+    return staging.stg_dvf(raw)
+
+
 @query("A12_fct_transactions", select("fct_transactions"))
 def fct_transactions(spark, sf):
     return Warehouse(spark, sf).transactions
@@ -173,6 +188,17 @@ def enriched(spark, sf):
     return warehouse.enriched_transactions(w.transactions, w.communes, w.ecln_year)
 
 
+@query("A22_enriched_bucketed",
+       compose(f"SELECT {', '.join(warehouse.ENRICHED_COLUMNS)} FROM fct_transactions_enriched"))
+def enriched_bucketed(spark, sf):
+    """Transactions and contexts bucketed by year and commune: joined without an exchange."""
+    w = Warehouse(spark, sf, landed=True)
+    keys = warehouse.COMMUNE_YEAR
+    return warehouse.enriched_transactions(
+        _bucketed(spark, w.transactions, "transactions", keys),
+        _bucketed(spark, w.communes, "communes", keys), w.ecln_year)
+
+
 @query("A23_rpt_prix_commune", select("rpt_prix_commune"))
 def rpt_prix_commune(spark, sf):
     return warehouse.rpt_prix_commune(Warehouse(spark, sf).sold(

@@ -96,6 +96,27 @@ def materialize(
     return spark.table(name)
 
 
+def bucketed(
+    df: DataFrame, name: str, keys: list[str], buckets: int, sort: list[str] | None = None,
+    location: str | None = None,
+) -> DataFrame:
+    """A table whose rows with equal ``keys`` lie in one of ``buckets`` files, sorted.
+
+    What groups, ranks or joins on the keys (or, for one table alone, on more columns than
+    the keys) reads the buckets as they are, without an exchange; two tables are joined so
+    if they have the same keys and as many buckets. One shuffle at the time of writing
+    replaces one at every reading. A bucket is read by one task: take keys without hot
+    values, such as an identifier, and enough buckets for one to fit in a task.
+    """
+    order = sort or keys
+    spread = df.repartition(buckets, *keys)  # one file a bucket
+    writer = spread.write.mode("overwrite").format("parquet").bucketBy(buckets, *keys).sortBy(*order)
+    if location:
+        writer = writer.option("path", location)
+    writer.saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def write_predictions(df: DataFrame, horizons: bool, table: str | None = None) -> int:
     """Append versioned predictions, one or several horizons ahead."""
     spec = TABLES["preds_lstm_prix_m2" if horizons else "preds_ml_prix_m2"]

@@ -211,6 +211,39 @@ def test_materialize_table(spark, names):
     assert "PartitionFilters: [isnotnull(annee" in pruned._jdf.queryExecution().executedPlan().toString()
 
 
+def exchanges(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("Exchange hashpartitioning")
+
+
+def test_bucketed_tables_need_no_exchange(spark, names, tmp_path):
+    from terrier.plans import staging, warehouse
+
+    raw = spark.range(2000).selectExpr(
+        "cast(id % 700 AS STRING) AS id_mutation", "cast(id % 3 AS STRING) AS id_parcelle", "2021 AS annee",
+        "cast(id % 50 AS STRING) AS code_commune", "1000D + id AS valeur_fonciere", "timestamp_seconds(id) AS _loaded_at")
+    spec = TABLES["raw_dvf"]
+    full = raw.select(*[
+        (F.col(f.name) if f.name in raw.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in spec.schema.fields])
+    table = sinks.bucketed(full, names["raw"], ["id_mutation"], 4, location=f"{tmp_path}/b")
+    plain, laid = staging.stg_dvf(full), staging.stg_dvf(table)
+    assert exchanges(laid) == 0 and exchanges(plain) == 1
+    assert laid.exceptAll(plain).count() == 0 and laid.count() == plain.count()
+
+    keys = warehouse.COMMUNE_YEAR
+    right = full.groupBy(*keys).agg(F.max("valeur_fonciere").alias("most"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        a = sinks.bucketed(full, names["state"], keys, 4, location=f"{tmp_path}/a")
+        b = sinks.bucketed(right, names["state"] + "_c", keys, 4, location=f"{tmp_path}/c")
+        joined = a.join(b, keys, "left")
+        assert exchanges(joined) == 0 and joined.count() == 2000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.sql(f"DROP TABLE IF EXISTS {names['state']}_c")
+
+
 def test_filters_reach_the_scan(spark, data):
     df = spark.read.parquet(f"{data}/orders.parquet").select("o_orderkey", "o_orderdate", "o_orderstatus")
     text = state.since_next_day(df, "o_orderdate", "1999-01-01").select(
