@@ -14,10 +14,11 @@ that repeat the same passages more or less often or have them in another order.
    so members that are joined already are not compared again and no pair list arises.
    A pair is settled by a banded alignment of its shingles; a pair whose shingles moved
    further than the band is settled on the shingle sets.
-4. Links give connected components. Where a bucket has several chunks and still several
-   components, one member of each component is compared first, so that a large group of
-   near copies becomes one component; then chunks of different components are compared
-   in the same way.
+4. Buckets of a few sketches come first, whole, and their links give connected components.
+   Of all buckets only those that still hold several components go on: one member of each
+   component is compared first, so that a large group of near copies becomes one
+   component; then all that is still apart, chunk by chunk and chunks of different
+   components with each other. A text moves only into buckets that go on.
 
 Similarity is shared over all distinct shingles (Jaccard); links have 0.8 or more.
 """
@@ -35,6 +36,8 @@ from terrier.llm.blocks import blocks, grams, mix, whole_windows
 from terrier.session import cut_lineage
 
 SHINGLE, SIMILARITY, SKETCHES, SETS, SAMPLED, CHUNK, BAND = 5, 0.8, 20, 20, 3, 512, 32
+#: Sketches of either kind whose buckets come first.
+EARLY = 4
 #: Turns in which only heads of classes meet; what they leave apart is compared whole.
 HEAD_TURNS = 3
 _SKETCHED = "doc_id long, h1 long, h2 long, sketches array<long>"
@@ -296,12 +299,17 @@ def classes(docs: DataFrame) -> DataFrame:
 
 
 def buckets(heads: DataFrame) -> DataFrame:
-    """bucket, id, n for buckets of two or more members; equal member sets are met once."""
-    placed = heads.select("id", F.explode("sketches").alias("bucket"))
+    """bucket, id, n, early for buckets of two or more members; equal member sets are met once.
+
+    ``early`` says that one of the buckets with these members is of the first sketches.
+    """
+    placed = heads.select("id", F.posexplode("sketches").alias("place", "bucket"))
     mark = F.xxhash64("id")
-    kinds = placed.groupBy("bucket").agg(F.count("*").alias("n"), F.sum(mark.cast("decimal(30,0)")).alias("s"), F.bit_xor(mark).alias("x"))
-    once = kinds.where("n > 1").groupBy("n", "s", "x").agg(F.min("bucket").alias("bucket")).select("bucket", "n")
-    return placed.join(once, "bucket")
+    turn = F.when(F.col("place") < SKETCHES, F.col("place")).otherwise(F.col("place") - SKETCHES)
+    kinds = placed.groupBy("bucket").agg(
+        F.count("*").alias("n"), F.sum(mark.cast("decimal(30,0)")).alias("s"), F.bit_xor(mark).alias("x"), F.min(turn).alias("turn"))
+    once = kinds.where("n > 1").groupBy("n", "s", "x").agg(F.min("bucket").alias("bucket"), (F.min("turn") < EARLY).alias("early"))
+    return placed.select("id", "bucket").join(once.select("bucket", "n", "early"), "bucket")
 
 
 def near_links(heads: DataFrame, docs: DataFrame) -> DataFrame:
@@ -312,24 +320,21 @@ def near_links(heads: DataFrame, docs: DataFrame) -> DataFrame:
     """
     members = cut_lineage(buckets(heads), "buckets")
     chunks = F.expr(f"cast(ceil(n / {CHUNK}) as long)")
-    dealt = members.withColumns({"chunk": F.pmod(F.xxhash64("id"), chunks), "side": F.lit(0), "class": F.col("id")})
+    dealt = members.where("early").withColumns({"chunk": F.pmod(F.xxhash64("id"), chunks), "side": F.lit(0), "class": F.col("id")})
     schema = "a long, b long"
     asked = members.select(F.col("id").alias("doc_id")).distinct()
     texts = docs.select("doc_id", "text").join(asked.hint("merge"), "doc_id", "left_semi")
     words = cut_lineage(word_hashes(texts).groupBy("id").agg(F.min("words").alias("words")), "words")
-    first = cut_lineage(dealt.join(words, "id").groupBy("bucket", "chunk").applyInArrow(_compare, schema), "links")
-    large = members.where(f"n > {CHUNK}")
-    if not large.head(1):
-        return first
-    # Buckets of several chunks: heads of classes first, so that large groups become one class.
-    links, known = first, with_classes(large, first)
+    first = cut_lineage(dealt.drop("n", "early").join(words, "id").groupBy("bucket", "chunk").applyInArrow(_compare, schema), "links")
+    # Heads of classes next, so that large groups become one class before their texts move.
+    links, known = first, with_classes(members.select("bucket", "id"), first)
     for turn in range(HEAD_TURNS):
         met = class_heads(known, turn).join(words, "id").groupBy("bucket", "chunk").applyInArrow(_compare, schema)
         met = cut_lineage(met, "links")
         if not met.head(1):
             break
         links = links.unionByName(met)
-        known = with_classes(large, links)
+        known = with_classes(known.select("bucket", "id"), links)
     # Then compare all that is still apart.
     apart = known.groupBy("bucket").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo <> hi").select("bucket")
     # Chunks in order of class, so that chunks of one class are told apart from mixed ones.
