@@ -15,10 +15,10 @@ that repeat the same passages more or less often or have them in another order.
    A pair is settled by a banded alignment of its shingles; a pair whose shingles moved
    further than the band is settled on the shingle sets.
 4. Buckets of a few sketches come first, whole, and their links give connected components.
-   Of all buckets only those that still hold several components go on: one member of each
-   component is compared first, so that a large group of near copies becomes one
-   component; then all that is still apart, chunk by chunk and chunks of different
-   components with each other. A text moves only into buckets that go on.
+   Of the other buckets only those that still hold several components go on. In large
+   ones, one member of each component is compared first, so that a large group of near
+   copies becomes one component; then all that is still apart, chunk by chunk and chunks
+   of different components with each other. A text moves only into buckets that go on.
 
 Similarity is shared over all distinct shingles (Jaccard); links have 0.8 or more.
 """
@@ -38,6 +38,8 @@ from terrier.session import cut_lineage
 SHINGLE, SIMILARITY, SKETCHES, SETS, SAMPLED, CHUNK, BAND = 5, 0.8, 20, 20, 3, 512, 32
 #: Sketches of either kind whose buckets come first.
 EARLY = 4
+#: Buckets of more members begin with heads of classes; smaller ones are compared whole at once.
+HEADS = 32
 #: Turns in which only heads of classes meet; what they leave apart is compared whole.
 HEAD_TURNS = 3
 _SKETCHED = "doc_id long, h1 long, h2 long, sketches array<long>"
@@ -327,16 +329,16 @@ def near_links(heads: DataFrame, docs: DataFrame) -> DataFrame:
     words = cut_lineage(word_hashes(texts).groupBy("id").agg(F.min("words").alias("words")), "words")
     first = cut_lineage(dealt.drop("n", "early").join(words, "id").groupBy("bucket", "chunk").applyInArrow(_compare, schema), "links")
     # Heads of classes next, so that large groups become one class before their texts move.
-    links, known = first, with_classes(members.select("bucket", "id"), first)
+    links, known = first, with_classes(members, first)
     for turn in range(HEAD_TURNS):
-        met = class_heads(known, turn).join(words, "id").groupBy("bucket", "chunk").applyInArrow(_compare, schema)
+        met = class_heads(known.where(f"n > {HEADS}"), turn).join(words, "id").groupBy("bucket", "chunk").applyInArrow(_compare, schema)
         met = cut_lineage(met, "links")
         if not met.head(1):
             break
         links = links.unionByName(met)
-        known = with_classes(known.select("bucket", "id"), links)
-    # Then compare all that is still apart.
-    apart = known.groupBy("bucket").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo <> hi").select("bucket")
+        known = with_classes(known.drop("class"), links)
+    # Then compare all that is still apart and was not compared whole already.
+    apart = known.where(f"NOT early OR n > {CHUNK}").groupBy("bucket").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo <> hi").select("bucket")
     # Chunks in order of class, so that chunks of one class are told apart from mixed ones.
     place = F.row_number().over(Window.partitionBy("bucket").orderBy("class", "id")) - 1
     placed = cut_lineage(known.join(apart, "bucket").select("bucket", "id", "class", F.floor(place / CHUNK).alias("chunk")), "chunks")
