@@ -175,13 +175,17 @@ def test_probabilities_sum_to_one():
     assert abs(float(p.sum()) - 1) < 1e-5
 
 
-def test_classes_equal_brute_force(spark):
+@pytest.mark.parametrize("chunk, heads, copies", [(512, 32, 8), (6, 3, 25)])
+def test_classes_equal_brute_force(spark, monkeypatch, chunk, heads, copies):
+    """Also with small chunks and turns of heads, which large groups meet."""
+    monkeypatch.setattr(dedup, "CHUNK", chunk)
+    monkeypatch.setattr(dedup, "HEADS", heads)
     make = random.Random(4)
     words = ["".join(make.choices("abcdefgh", k=make.randint(2, 6))) for _ in range(400)]
     rows, n = [], 0
     for _ in range(25):
         base = make.choices(words, k=make.randint(3, 200))
-        for _ in range(make.randint(1, 8)):
+        for _ in range(make.randint(1, copies)):
             copy = list(base)
             for _ in range(make.randint(0, 3)):
                 copy[make.randrange(len(copy))] = make.choice(words)
