@@ -12,15 +12,19 @@ that repeat the same passages more or less often or have them in another order.
    met once. Members of a bucket are dealt into chunks of bounded size.
 3. Inside a chunk, members of different classes are compared; a link joins their classes,
    so members that are joined already are not compared again and no pair list arises.
-   A pair is settled by a banded alignment of its shingles; a pair whose shingles moved
-   further than the band is settled on the shingle sets.
+   A pair is settled by a banded alignment of its shingles: see below.
 4. Buckets of a few sketches come first, whole, and their links give connected components.
    Of the other buckets only those that still hold several components go on. In large
    ones, one member of each component is compared first, so that a large group of near
    copies becomes one component; then all that is still apart, chunk by chunk and chunks
    of different components with each other. A text moves only into buckets that go on.
 
-Similarity is shared over all distinct shingles (Jaccard); links have 0.8 or more.
+Similarity is aligned over all distinct shingles, and links have 0.8 or more. Aligned are
+the distinct shingles in chains of equal labelled shingles, each chain in increasing order
+inside a band round the densest diagonal of what is left, so that moved paragraphs align
+with a chain of their own. A stretch of fewer than ``CHAIN`` shingles (of fewer than all, in
+shorter texts) far from the next one of its chain is chance and aligns nothing. Aligned shingles are shared ones, so pairs that
+share less than 0.8 of their sets are left out before any alignment.
 """
 
 from __future__ import annotations
@@ -35,14 +39,18 @@ from pyspark.sql import functions as F
 from terrier.llm.blocks import blocks, grams, mix, whole_windows
 from terrier.session import cut_lineage
 
-SHINGLE, SIMILARITY, SKETCHES, SETS, SAMPLED, CHUNK, BAND = 5, 0.8, 20, 20, 3, 512, 32
+SHINGLE, SIMILARITY, SKETCHES, SETS, SAMPLED, CHUNK, BAND, CHAIN = 5, 0.8, 20, 20, 3, 512, 32, 4
+#: Members and words of a chunk that is compared with others: bounds of a task's memory.
+MEMBERS, WORDS = 2048, 1 << 21
 #: Sketches of either kind whose buckets come first.
 EARLY = 4
 #: Buckets of more members begin with heads of classes; smaller ones are compared whole at once.
 HEADS = 32
+#: Heads meet where they are at most this share of the members; else the whole bucket costs little more.
+FEW = 0.25
 #: Turns in which only heads of classes meet; what they leave apart is compared whole.
 HEAD_TURNS = 3
-_SKETCHED = "doc_id long, h1 long, h2 long, sketches array<long>"
+_SKETCHED = "doc_id long, h1 long, h2 long, size long, sketches array<long>"
 
 
 def shingles(words: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -117,7 +125,7 @@ def _smallest(labelled: np.ndarray, owners: np.ndarray, seeds: np.ndarray, order
 
 
 def sketched(docs: DataFrame) -> DataFrame:
-    """Per row: 128-bit digest of the words, sketches; a text without words has NULL sketches."""
+    """Per row: 128-bit digest and number of the words, sketches; a text without words has NULL sketches."""
     def run(batches):
         for block in blocks(batches, "text", 2 << 20):
             starts, ends = block.words
@@ -132,8 +140,8 @@ def sketched(docs: DataFrame) -> DataFrame:
                 total = np.concatenate([[np.uint64(0)], np.cumsum(mixed)])
                 digests.append(mix(total[stops] - total[stops - counts] + counts.astype(np.uint64)).astype(np.int64))
             yield pa.RecordBatch.from_arrays([
-                block.rows.column("doc_id").cast(pa.int64()), pa.array(digests[0]), pa.array(digests[1]),
-                pa.array([r if n else None for r, n in zip(rows, counts)], pa.list_(pa.int64()))], names=["doc_id", "h1", "h2", "sketches"])
+                block.rows.column("doc_id").cast(pa.int64()), pa.array(digests[0]), pa.array(digests[1]), pa.array(counts, pa.int64()),
+                pa.array([r if n else None for r, n in zip(rows, counts)], pa.list_(pa.int64()))], names=["doc_id", "h1", "h2", "size", "sketches"])
 
     return docs.select("doc_id", "text").mapInArrow(run, _SKETCHED)
 
@@ -211,26 +219,47 @@ class Chunk:
         return self.links
 
     def similar(self, i: int, j: int, both: float) -> bool:
-        aligned = np.unique(self.runs[i][banded(self.labelled[i], self.labelled[j])])
+        """Whether the aligned distinct shingles are 0.8 or more of all."""
         union = len(self.sets[i]) + len(self.sets[j]) - both
-        if len(aligned) >= SIMILARITY * union:
-            return True
-        return both >= SIMILARITY * union - 1e-6        # moved beyond the band: the sets decide
+        return aligned(self.runs[i], self.labelled[i], self.labelled[j], SIMILARITY * union - 1e-6)
 
 
-def banded(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Places in ``a`` that the longest alignment within the band matches with ``b``.
+def aligned(run: np.ndarray, a: np.ndarray, b: np.ndarray, wanted: float) -> bool:
+    """Whether chains align at least ``wanted`` distinct shingles of ``run``, those of text ``a``.
 
-    Labelled shingles are distinct within a text, so an alignment is an increasing chain of
-    equal places; places further apart than the band (and the difference in length) are
-    left out, and the longest chain is found by bisection.
+    Each chain lies in a band round the densest diagonal of the places that no chain has
+    taken yet, and breaks where the next equal place is further away than the band is wide.
+    Stretches of fewer than ``CHAIN`` places do not count. The search ends when enough are
+    aligned or all places are taken.
     """
     _, x, y = np.intersect1d(a, b, assume_unique=True, return_indices=True)
-    near = np.abs(x - y) <= BAND + abs(len(a) - len(b))
-    order = np.argsort(x[near])
-    x, y = x[near][order], y[near][order]
+    order = np.argsort(x)
+    x, y = x[order], y[order]
+    least = min(CHAIN, len(a), len(b))
+    found = np.zeros(len(a), bool)
+    while len(x) >= least:
+        diagonal = x - y
+        slots, counts = np.unique(diagonal // BAND, return_counts=True)
+        middle = np.median(diagonal[diagonal // BAND == slots[np.argmax(counts)]])
+        near = np.flatnonzero(np.abs(diagonal - middle) <= BAND)
+        chain = near[increasing(y[near])]
+        cuts = np.flatnonzero((np.diff(x[chain]) > BAND) | (np.diff(y[chain]) > BAND)) + 1
+        kept = [piece for piece in np.split(chain, cuts) if len(piece) >= least]
+        rest = np.ones(len(x), bool)
+        if kept:
+            chain = np.concatenate(kept)
+            found[x[chain]] = True
+            if len(np.unique(run[found])) >= wanted:
+                return True
+        rest[chain] = False
+        x, y = x[rest], y[rest]
+    return len(np.unique(run[found])) >= wanted
+
+
+def increasing(y: np.ndarray) -> np.ndarray:
+    """Places of the longest increasing chain of ``y``, found by bisection."""
     if not len(y) or (np.diff(y) > 0).all():
-        return x
+        return np.arange(len(y))
     tails, heads, back = [], [], np.empty(len(y), np.int64)
     for k, v in enumerate(y.tolist()):
         at = bisect_left(tails, v)
@@ -240,7 +269,7 @@ def banded(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     while k >= 0:
         chain.append(k)
         k = back[k]
-    return x[chain[::-1]]
+    return np.array(chain[::-1])
 
 
 def _compare(table: pa.Table) -> pa.Table:
@@ -263,7 +292,7 @@ def components(links: DataFrame, label: str = "classes") -> DataFrame:
     edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
     state = cut_lineage(edges, label)
     before = None
-    for _ in range(64):
+    while True:
         both = state.unionByName(state.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -289,9 +318,9 @@ def classes(docs: DataFrame) -> DataFrame:
     """
     known = docs.where(F.col("doc_id").isNotNull())
     rows = cut_lineage(sketched(known), "sketches")
-    firsts = cut_lineage(rows.groupBy("h1", "h2").agg(F.min("doc_id").alias("id"), F.min_by("sketches", "doc_id").alias("sketches")), "heads")
+    firsts = cut_lineage(rows.groupBy("h1", "h2").agg(F.min("doc_id").alias("id"), F.min_by("sketches", "doc_id").alias("sketches"), F.min("size").alias("size")), "heads")
     reps = rows.select("doc_id", "h1", "h2").join(firsts.select("h1", "h2", "id"), ["h1", "h2"]).select("doc_id", F.col("id").alias("rep"))
-    links = near_links(firsts.where("sketches IS NOT NULL").select("id", "sketches"), known)
+    links = near_links(firsts.where("sketches IS NOT NULL").select("id", "size", "sketches"), known)
     named = reps.join(components(links).withColumnRenamed("id", "rep"), "rep", "left")
     out = cut_lineage(named.select("doc_id", F.coalesce("class", "rep").alias("class_id")), "classes")
     sizes = out.groupBy("class_id").agg(F.count("*").alias("class_size"))
@@ -301,17 +330,17 @@ def classes(docs: DataFrame) -> DataFrame:
 
 
 def buckets(heads: DataFrame) -> DataFrame:
-    """bucket, id, n, early for buckets of two or more members; equal member sets are met once.
+    """bucket, id, size, n, early for buckets of two or more members; equal member sets are met once.
 
     ``early`` says that one of the buckets with these members is of the first sketches.
     """
-    placed = heads.select("id", F.posexplode("sketches").alias("place", "bucket"))
+    placed = heads.select("id", "size", F.posexplode("sketches").alias("place", "bucket"))
     mark = F.xxhash64("id")
     turn = F.when(F.col("place") < SKETCHES, F.col("place")).otherwise(F.col("place") - SKETCHES)
     kinds = placed.groupBy("bucket").agg(
         F.count("*").alias("n"), F.sum(mark.cast("decimal(30,0)")).alias("s"), F.bit_xor(mark).alias("x"), F.min(turn).alias("turn"))
     once = kinds.where("n > 1").groupBy("n", "s", "x").agg(F.min("bucket").alias("bucket"), (F.min("turn") < EARLY).alias("early"))
-    return placed.select("id", "bucket").join(once.select("bucket", "n", "early"), "bucket")
+    return placed.select("id", "size", "bucket").join(once.select("bucket", "n", "early"), "bucket")
 
 
 def near_links(heads: DataFrame, docs: DataFrame) -> DataFrame:
@@ -327,7 +356,7 @@ def near_links(heads: DataFrame, docs: DataFrame) -> DataFrame:
     asked = members.select(F.col("id").alias("doc_id")).distinct()
     texts = docs.select("doc_id", "text").join(asked.hint("merge"), "doc_id", "left_semi")
     words = cut_lineage(word_hashes(texts).groupBy("id").agg(F.min("words").alias("words")), "words")
-    first = cut_lineage(dealt.drop("n", "early").join(words, "id").groupBy("bucket", "chunk").applyInArrow(_compare, schema), "links")
+    first = cut_lineage(dealt.drop("n", "early", "size").join(words, "id").groupBy("bucket", "chunk").applyInArrow(_compare, schema), "links")
     # Heads of classes next, so that large groups become one class before their texts move.
     links, known = first, with_classes(members, first)
     for turn in range(HEAD_TURNS):
@@ -339,9 +368,11 @@ def near_links(heads: DataFrame, docs: DataFrame) -> DataFrame:
         known = with_classes(known.drop("class"), links)
     # Then compare all that is still apart and was not compared whole already.
     apart = known.where(f"NOT early OR n > {CHUNK}").groupBy("bucket").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo <> hi").select("bucket")
-    # Chunks in order of class, so that chunks of one class are told apart from mixed ones.
-    place = F.row_number().over(Window.partitionBy("bucket").orderBy("class", "id")) - 1
-    placed = cut_lineage(known.join(apart, "bucket").select("bucket", "id", "class", F.floor(place / CHUNK).alias("chunk")), "chunks")
+    # Chunks in order of class, so that chunks of one class are told apart from mixed ones. A
+    # member's share of a chunk is the greater of its shares of the members and of the words.
+    share = F.greatest(F.lit(WORDS // MEMBERS), "size")
+    filled = F.sum(share).over(Window.partitionBy("bucket").orderBy("class", "id").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    placed = cut_lineage(known.join(apart, "bucket").select("bucket", "id", "class", F.floor((filled - 1) / WORDS).alias("chunk")), "chunks")
     ranges = placed.groupBy("bucket", "chunk").agg(F.min("class").alias("lo"), F.max("class").alias("hi"))
     per = ranges.groupBy("bucket").agg(F.collect_list(F.struct("chunk", "lo", "hi")).alias("all"))
     pairs = ranges.join(per, "bucket").select("bucket", "chunk", F.explode(F.filter("all", lambda c: (c["chunk"] > F.col("chunk")) & ~((c["lo"] == F.col("hi")) & (c["hi"] == F.col("lo")) & (F.col("lo") == F.col("hi"))))).alias("other"))
@@ -361,10 +392,10 @@ def with_classes(members: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def class_heads(known: DataFrame, turn: int) -> DataFrame:
-    """One member of each class of a bucket with several, dealt into chunks; another one each turn."""
+    """One member of each class of a bucket with several but few, dealt into chunks; another one each turn."""
     mark = F.xxhash64("id", F.lit(turn))
-    heads = known.groupBy("bucket", "class").agg(F.min_by("id", mark).alias("id"))
-    sizes = heads.groupBy("bucket").agg(F.count("*").alias("heads")).where("heads > 1")
+    heads = known.groupBy("bucket", "class").agg(F.min_by("id", mark).alias("id"), F.max("n").alias("n"))
+    sizes = heads.groupBy("bucket").agg(F.count("*").alias("heads"), F.max("n").alias("n")).where(f"heads > 1 AND heads <= {FEW} * n")
     chunks = F.ceil(F.col("heads") / CHUNK).cast("long")
     return heads.join(sizes, "bucket").select("bucket", "id", "class", F.pmod(mark, chunks).alias("chunk"), F.lit(0).alias("side"))
 

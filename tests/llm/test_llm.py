@@ -179,6 +179,8 @@ def test_probabilities_sum_to_one():
 def test_classes_equal_brute_force(spark, monkeypatch, chunk, heads, copies):
     """Also with small chunks and turns of heads, which large groups meet."""
     monkeypatch.setattr(dedup, "CHUNK", chunk)
+    monkeypatch.setattr(dedup, "MEMBERS", chunk)
+    monkeypatch.setattr(dedup, "WORDS", chunk * 300)
     monkeypatch.setattr(dedup, "HEADS", heads)
     make = random.Random(4)
     words = ["".join(make.choices("abcdefgh", k=make.randint(2, 6))) for _ in range(400)]
@@ -231,12 +233,42 @@ def test_repeats_and_moved_paragraphs_are_linked(spark):
 
 def test_large_buckets_meet_across_chunks(spark, monkeypatch):
     monkeypatch.setattr(dedup, "CHUNK", 4)
+    monkeypatch.setattr(dedup, "MEMBERS", 4)
+    monkeypatch.setattr(dedup, "WORDS", 4 * 200)
     base = [f"w{i}" for i in range(120)]
     rows = [(i, " ".join([*base[:i], f"q{i}", *base[i + 1:]])) for i in range(30)]
     got = dedup.classes(spark.createDataFrame(rows, "doc_id long, text string"))
     assert {r.class_id for r in got.collect()} == {0}
 
 
+def every_shingle_once(letters, seed):
+    """A text in which each sequence of five of the letters stands once, in an order of the seed."""
+    make, ways, path, out = random.Random(seed), {}, [(letters[0],) * 4], []
+    while path:
+        after = ways.setdefault(path[-1], make.sample(letters, len(letters)))
+        if after:
+            path.append((*path[-1][1:], after.pop()))
+        else:
+            out.append(path.pop()[-1])
+    return [letters[0]] * 3 + out[::-1]
+
+
+def test_alignment_decides(spark):
+    letters = list("vwxyz")
+    one, two = every_shingle_once(letters, 1), every_shingle_once(letters, 2)
+    cut = lambda w: {tuple(w[k:k + 5]) for k in range(len(w) - 4)}
+    assert cut(one) == cut(two) and len(cut(one)) == 5**5
+    edited = one[:1000] + ["new"] + one[1000:]
+    rows = [(1, " ".join(one)), (2, " ".join(two)), (3, " ".join(edited)), (4, " ".join(two[1500:] + two[:1500]))]
+    got = {r.doc_id: r.class_id for r in dedup.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 1, 2: 2, 3: 1, 4: 2}
+
+
+def test_long_chains_of_components(spark):
+    links = spark.createDataFrame([(i, i + 1) for i in range(300)], "a long, b long")
+    assert {r["class"] for r in dedup.components(links).collect()} == {0}
+
+
 def test_keep_first_keeps_columns(docs):
     kept = dedup.keep_first(docs)
     assert kept.columns == docs.columns
