@@ -12,7 +12,7 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 pytest.importorskip("terrier.llm")
 
-from terrier.llm import codes, integers, negatives  # noqa: E402
+from terrier.llm import codes, integers, negatives, search  # noqa: E402
 
 SCHEMA = "vec_id long, embedding array<double>, label int, score string, rank int, part long, width int"
 TOP = (1 << 63) - 1
@@ -211,3 +211,56 @@ def test_anchors_take_the_nearest_points():
     far = np.array([((x - x[p]) ** 2).sum(1) for p in pivots])
     assert np.allclose(far[owner, np.arange(500)], far.min(0))
     assert set(codes.anchors(np.zeros((9, 2)), 4).tolist()) == {0}
+
+
+@pytest.mark.parametrize("spread", [1.0, 1e12, 1e30, 1e300])
+def test_top_k_equals_brute_force(spark, spread):
+    rows = strange(300, 8, spread=spread)
+    good = [(i, floors(v, 256)) for i, v, _ in rows if usable(v) and i is not None]
+    want = []
+    for a in sorted({i for i, _ in good if i % 50 == 0}):
+        scored = sorted((-sum(x * y for x, y in zip(q, v)), i) for n, q in good if n == a for i, v in good if i != a and len(v) == len(q))
+        want += [(a, r, i, max(-TOP - 1, min(TOP, -s))) for r, (s, i) in enumerate(scored[:5], 1)]
+    got = sorted(map(tuple, search.top_k(frame(spark, rows), shard=64, block=2).collect()))
+    assert got == sorted(want) and len(want) > 20
+
+
+def test_search_of_few(spark):
+    assert search.top_k(frame(spark, [])).count() == 0
+    assert search.top_k(frame(spark, [(1, [1.0], 1), (2, [1.0], 1)])).count() == 0          # no query
+    assert search.top_k(frame(spark, [(50, [1.0], 1)])).count() == 0                         # no other row
+    assert search.top_k(frame(spark, [(50, [1.0], 1), (1, [2.0], 1)])).collect() == [(50, 1, 1, 131072)]
+
+
+def clustered(n, seed):
+    make = np.random.default_rng(seed)
+    centres = make.normal(0, 4000, (20, 8))
+    return np.floor(centres[np.arange(n) % 20] + make.normal(0, 50, (n, 8))).astype(np.int64)
+
+
+def test_inner_nodes_leave_leaves_out():
+    matrix = clustered(8000, 4)
+    tree = search.BallTree(matrix)
+    ids, ordered = tree.order.astype(np.int64), matrix[tree.order]
+    leaves = sum(c == 0 for c in tree.child)
+    assert leaves < len(tree.child) and sorted(ids.tolist()) == list(range(8000))
+    at = np.arange(0, 8000, 1600)
+    tops, whose, visited = search.best(tree, ordered, ids, matrix[at], at, np.full(len(at), -np.inf, object), 5)
+    assert visited < leaves / 3
+    for i, a in enumerate(at):
+        scores = sorted((-int(matrix[a] @ m), n) for n, m in enumerate(matrix) if n != a)[:5]
+        assert [(-s, n) for s, n in scores] == list(zip(tops[i].astype(int).tolist(), whose[i].tolist()))
+    better = search.best(tree, ordered, ids, matrix[at], at, tops[:, -1].astype(np.int64).astype(object), 5)
+    assert (better[0] == tops).all() and better[2] <= visited
+
+
+def test_blocks_meet_few_shards(spark):
+    rows = [(i, v) for i, v in enumerate((clustered(4000, 6) / 256).tolist())]
+    good = spark.createDataFrame(rows, "vec_id long, v array<double>")
+    shards, asked = search.packed(good, 100, 256, "shards"), search.packed(good.where("vec_id % 50 = 0"), 4, 256, "queries")
+    seeds = search.pairs(asked, shards, 8)
+    assert seeds.count() == asked.count()
+    first = search._meet(seeds, asked.selectExpr("*", "cast(NULL AS array<struct<place:int,key:binary>>) AS kth"), shards, 5)
+    known = first.groupBy("block").agg({"key": "min"}).toDF("part", "least")
+    met = search.pairs(asked.join(known, "part"), shards, 8)
+    assert met.count() < asked.count() * shards.count() / 3
