@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import importlib.util
+import itertools
 import math
 import os
 import random
@@ -376,6 +377,47 @@ def test_chance_is_no_url_rule(spark):
     assert {r.verdict for r in urls.judge(pages, marks).collect()} == {"allow"}
 
 
+def all_rules(rows, least, confidence):
+    """Rules from all combinations of tokens: (tokens, share of blocked rows)."""
+    bound = lambda h, n: (h / n + 1.645**2 / (2 * n) - 1.645 * math.sqrt(h / n * (1 - h / n) / n + 1.645**2 / (4 * n * n))) / (1 + 1.645**2 / n)
+    every = {frozenset(c) for t, b in rows if b for k in range(1, len(t) + 1) for c in itertools.combinations(sorted(t), k)}
+    found = {}
+    for c in every:
+        has = [b for t, b in rows if c <= t]
+        if sum(has) >= least and sum(has) / len(has) >= confidence and bound(sum(has), len(has)) > sum(b for _, b in rows) / len(rows):
+            found[c] = sum(has) / len(has)
+    return {c: x for c, x in found.items() if not any(d < c and found[d] >= x for d in found)}
+
+
+@pytest.mark.parametrize("longest", [12, 0])
+@pytest.mark.parametrize("seed", [1, 2])
+def test_url_rules_equal_all_combinations(spark, monkeypatch, longest, seed):
+    monkeypatch.setattr(urls, "LONGEST", longest)
+    make = random.Random(seed)
+    rows = []
+    for _ in range(300):
+        tokens = frozenset(make.sample("abcdefgh", make.randint(0, 5)))
+        rows.append((tokens, make.random() < (0.9 if {"a", "b"} <= tokens or {"c", "d", "e"} <= tokens else 0.15)))
+    rows += [(frozenset("xyz"), True)] * 4 + [(frozenset("xyw"), True)] * 2 + [(frozenset("x"), False)] * 2
+    rows = [(t, b) for t, b in rows if t]
+    frame = spark.createDataFrame([(sorted(t), b) for t, b in rows], "tokens array<string>, blocked boolean")
+    got = urls.mine(frame, 3, 0.6).collect()
+    want = all_rules(rows, 3, 0.6)
+    assert len(want) >= 3
+    assert {frozenset(p for part in r.need for p in part): round(r.confidence, 9) for r in got} == {c: round(x, 9) for c, x in want.items()}
+
+
+def test_long_url_of_common_tokens(spark):
+    long = [f"t{i}" for i in range(40)]
+    rows = [(long, True)] * 3 + [([t, f"own{t}"], False) for t in long] + [(["other"], False)] * 200
+    got = urls.mine(spark.createDataFrame(rows, "tokens array<string>, blocked boolean"), 3, 0.6).collect()
+    assert {tuple(sorted(p for part in r.need for p in part)) for r in got} == {
+        c for k in (1, 2) for c in itertools.combinations(sorted(long), k)}         # 3 of 4 rows, then 3 of 3
+    pages = spark.createDataFrame([(i, "http://bad.org/" + "/".join("abcdefghijklmnopqrstuvwxyz")) for i in range(4)], "page_id long, url string")
+    assert {r.verdict for r in urls.judge(pages, spark.createDataFrame([], "doc_id long, quality int, toxic int")).collect()} == {"allow"}
+    assert urls.judge(pages.limit(0), spark.createDataFrame([(1, 0, 0)], "doc_id long, quality int, toxic int")).count() == 0
+
+
 def test_search_equals_brute_force(spark):
     make = np.random.default_rng(3)
     rows = [(i, make.normal(size=8).round(1).tolist()) for i in range(300)]
