@@ -82,9 +82,13 @@ def test_every_id_is_packed_once(spark, docs):
     want = collections.Counter()
     for r in docs.collect():
         want[(r.doc_id, len(library.encode(r.text or "", add_special_tokens=False).ids) + 1)] += 1
+    texts = collections.defaultdict(list)
+    for r in docs.collect():
+        texts[r.doc_id].append([*library.encode(r.text or "", add_special_tokens=False).ids, 1])
     got = collections.Counter()
     for p in pieces:
         got[(p.doc_id, p.doc_tokens)] += p.length
+        assert p.ids_crc32 in {zlib.crc32(np.array(ids[p.start: p.start + p.length], "<u4").tobytes()) for ids in texts[p.doc_id]}
     assert got == collections.Counter({k: k[1] * n for k, n in want.items()})
     rows = collections.defaultdict(list)
     for p in pieces:
