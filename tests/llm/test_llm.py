@@ -446,3 +446,10 @@ def test_stages_keep_columns(spark, data):
         assert after.columns == docs.columns and 0 < after.count() <= docs.count()
         if name == "quality_classifier":
             assert set(after.select("doc_id").toPandas()["doc_id"]) <= set(range(10**6))
+
+
+def test_empty_tables(docs, labels):
+    none = docs.limit(0)
+    assert pii.digest(pii.detect(none.select("doc_id", "text"))).count() == 0 and pii.masked(none).count() == 0
+    assert licenses.scan(none).count() == 0
+    assert quality.keep_good(none, labels).count() == 0
