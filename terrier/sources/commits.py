@@ -14,16 +14,19 @@ built on it work on it unchanged.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections import deque
+from collections.abc import Callable, Iterable, Iterator
+from concurrent.futures import Future, ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from terrier.sources.loaders import SourceSpec
+from terrier.sources.loaders import SourceSpec, Unit
 from terrier.sources.schemas import TABLES, TableSpec, declare_table
 from terrier.sources.sinks import laid_out, stamped
 from terrier.sources.state import get_watermark
@@ -108,22 +111,52 @@ class Ledger:
         return rows.join(found, [UNIT, ATTEMPT], "left_semi").select(*declared.fieldNames())
 
 
+def _side_by_side(work: Callable, items: Iterable, parallel: int) -> Iterator:
+    """Results in the order of the items, of which ``parallel`` are worked on at a time.
+
+    An item that cannot be made, or whose work fails, raises after all results before it.
+    """
+    items, ahead = iter(items), deque()
+
+    def start(pool: ThreadPoolExecutor) -> None:
+        try:
+            ahead.append(pool.submit(work, next(items)))
+        except StopIteration:
+            pass
+        except Exception as e:
+            ahead.append(Future())
+            ahead[-1].set_exception(e)
+
+    with ThreadPoolExecutor(parallel) as pool:
+        for _ in range(parallel):
+            start(pool)
+        while ahead:
+            yield ahead.popleft().result()
+            start(pool)
+
+
 def committed_load(
     spark: SparkSession, source: SourceSpec, ledger: Ledger, full_refresh: bool = False,
-    since: str | None = None,
+    since: str | None = None, parallel: int = 4,
 ) -> int:
     """Load what follows the mark; every unit appears together with its mark.
 
-    A crash leaves complete units with their marks and no part of another one.
+    Up to ``parallel`` units are written side by side, as one alone leaves cores idle, and
+    committed in their order. A crash leaves complete units with their marks and no part of
+    another one.
     """
     declare_table(spark, TABLES[COMMITS], ledger.commits)
     # A commit of a unit without a mark (a keyless reload) does not hide the mark before it.
     mark = None if full_refresh else (since or get_watermark(spark, source.name, ledger.commits))
+
+    def stage(unit: Unit) -> tuple[Unit, Attempt]:
+        mark = unit.mark if isinstance(unit.mark, Column) else None
+        return unit, ledger.stage(unit.rows, uuid.uuid4().hex, mark)
+
     written = 0
-    for unit in source.units(spark, mark):
-        by_rows = isinstance(unit.mark, Column)
-        done = ledger.stage(unit.rows, uuid.uuid4().hex, unit.mark if by_rows else None)
-        value = done.mark if by_rows else unit.mark
+    run = inheritable_thread_target(spark)(stage)
+    for unit, done in _side_by_side(run, source.units(spark, mark), parallel):
+        value = done.mark if isinstance(unit.mark, Column) else unit.mark
         if done.rows or value is not None:
             ledger.commit(spark, done, source.name, value, unit.also if value is not None else ())
         written += done.rows

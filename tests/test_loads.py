@@ -1,5 +1,6 @@
 import json
 import os
+import threading
 import uuid
 
 import pytest
@@ -309,6 +310,35 @@ def test_a_failing_unit_leaves_the_ones_before_it(spark, names, tmp_path, ledger
     assert mark_of(spark, names, "dvf") == "2021" and ledger.read(spark).count() == 2
 
 
+def test_units_are_written_side_by_side_and_committed_in_order(spark, names, tmp_path, ledger):
+    both = threading.Barrier(2, timeout=60)
+
+    class Meeting(commits.Ledger):
+        def stage(self, df, unit, mark=None, at=None):
+            both.wait()     # passed by two at a time only
+            return super().stage(df, unit, mark, at)
+
+    meeting = Meeting(ledger.spec, ledger.path, ledger.commits)
+    assert commits.committed_load(spark, loaders.dvf(yearly(tmp_path, range(2021, 2025)), 2024), meeting) == 8
+    order = spark.table(ledger.commits).where("last_value IS NOT NULL").orderBy(TABLES[commits.COMMITS].version)
+    assert [r.last_value for r in order.collect()] == ["2021", "2022", "2023", "2024"]
+
+
+def test_no_unit_is_committed_after_one_that_fails(spark, names, tmp_path, ledger):
+    class Failing(commits.Ledger):
+        def stage(self, df, unit, mark=None, at=None):
+            if df.where("annee = 2022").head(1):
+                raise OSError("disk")
+            return super().stage(df, unit, mark, at)
+
+    failing = Failing(ledger.spec, ledger.path, ledger.commits)
+    spec = loaders.dvf(yearly(tmp_path, range(2021, 2025)), 2024)
+    with pytest.raises(OSError):
+        commits.committed_load(spark, spec, failing)
+    assert mark_of(spark, names, "dvf") == "2021" and ledger.read(spark).count() == 2
+    assert commits.committed_load(spark, spec, ledger) == 6 and ledger.read(spark).count() == 8
+
+
 def test_a_unit_is_read_from_its_newest_commit(spark, ledger):
     commits.load_batch(spark, lots(spark, range(5)), ledger, "s", 0)
     commits.load_batch(spark, lots(spark, range(5, 8)), ledger, "s", 1)
