@@ -241,6 +241,45 @@ def test_a_fit_that_is_not_needed_is_called_off(spark, monkeypatch):
     assert df.count() == 600                                  # nothing else is cancelled
 
 
+def test_the_first_trees_are_a_fit_of_that_many(spark):
+    rows = boosted_rows(spark).withColumn("unused", F.lit(1.0))
+    inputs = fc.inputs_pipeline(["a", "b", "unused"]).fit(rows)
+    df = inputs.transform(rows).coalesce(1)
+    params = fc.TreeParams(depth=3, step=0.3, min_leaf=2)
+    long, alone = (params.regressor(n, "prix_m2_med").fit(df) for n in (7, 4))
+    cut = fc.first_trees(spark, long, 4)
+    assert (cut.getNumTrees, cut.getMaxIter(), long.getNumTrees) == (4, 4, 7) and cut.treeWeights == alone.treeWeights
+    got, want = (m.transform(df).select("code_commune", "prediction").collect() for m in (cut, alone))
+    assert {r[0]: round(r[1], 9) for r in got} == {r[0]: round(r[1], 9) for r in want}
+    trees = fc.forest(cut)
+    assert len(trees.roots) == 4 and np.isclose(trees.base, fc.forest(alone).base)
+    ranks = [fc.feature_importance(fc.PipelineModel([m]), ["a", "b", "unused"]).collect() for m in (cut, alone)]
+    assert [r.feature for r in ranks[0]] == [r.feature for r in ranks[1]] and len(ranks[0]) == 4
+    assert np.allclose([r.importance for r in ranks[0]], [r.importance for r in ranks[1]])
+
+
+def test_the_final_fit_goes_on_beside_the_one_that_chooses(spark, monkeypatch):
+    df = fc.inputs_pipeline(["a", "b"]).fit(boosted_rows(spark)).transform(boosted_rows(spark))
+    train, held = df.where("annee < 1992"), df.where("annee = 1992")
+    grown, regressor, best = [], fc.TreeParams.regressor, {}
+    monkeypatch.setattr(fc.TreeParams, "regressor", lambda p, trees, *a: grown.append(trees) or regressor(p, trees, *a))
+    monkeypatch.setattr(
+        fc.GBTRegressionModel, "evaluateEachIteration",
+        lambda m, rows, loss: [float(abs(i + 1 - best[m.getNumTrees])) for i in range(m.getNumTrees)])
+    for most, bests, count, want in (
+            (64, {4: 4, 8: 3}, 3, [4, 4, 8]),                          # no third fit after the second
+            (8, {4: 4, 8: 6}, 6, [4, 8, 8]),                           # the longest fit settles on any count
+            (64, {4: 4, 8: 6, 14: 9}, 9, [4, 4, 6, 8, 9, 14]),         # a later best: a final fit of its own
+            (64, {4: 4, 8: 6, 14: 12, 28: 12}, 12, [4, 4, 6, 8, 14, 24, 28])):   # the next double has both again
+        params = fc.TreeParams(trees=most, first=4, patience=4, depth=2, min_leaf=1)
+        grown.clear(), best.clear(), best.update(bests)
+        done = fc.fit_boosted(train, held, "prix_m2_med", params, ahead=True)
+        assert sorted(grown) == want and done.trees == done.model.getNumTrees == count
+        alone = regressor(params, count, "prix_m2_med").fit(train.unionByName(held).coalesce(1))
+        got, same = ({r[0]: r[1] for r in m.transform(df).select("code_commune", "prediction").collect()} for m in (done.model, alone))
+        assert len(got) == 600 and all(np.isclose(got[k], same[k]) for k in same)
+
+
 def test_small_data_is_fitted_by_some_tasks():
     p = fc.TreeParams()
     assert [fc.fit_tasks(n, p) for n in (0, 600, 24_999, 25_000, 47_953, 59_939)] == [1, 1, 1, 2, 3, 4]
